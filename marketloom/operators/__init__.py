@@ -8,7 +8,15 @@ from marketloom.operators.exchange import (
     without_exchange_rate,
 )
 from marketloom.operators.latest import latest
-from marketloom.operators.nested import first_of_path, read_json, unnest, unnest_path, unnest_variant
+from marketloom.operators.nested import (
+    first_of_path,
+    prune_type,
+    quoted,
+    read_json,
+    unnest,
+    unnest_path,
+    unnest_variant,
+)
 from marketloom.operators.skew import hot_keys, key_condition, with_hot_salt
 from marketloom.operators.timezone import shift_timezone
 
@@ -21,6 +29,8 @@ __all__ = [
     "key_condition",
     "latest",
     "one_rate_per_day",
+    "prune_type",
+    "quoted",
     "read_json",
     "shift_timezone",
     "unnest",

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketloom.operators.nested import quoted
 from marketloom.operators.skew import SALT, hot_keys, with_hot_salt
 
 RANK = "__rank"
@@ -22,6 +23,7 @@ def latest(
     scope: str = "global",
     source_col: str | None = None,
     hot_rows: int | None = 1_000_000,
+    key_rows: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of the newest batch of every key; NULL keys form one group.
 
@@ -35,6 +37,7 @@ def latest(
     most one row per key and task, so no key can overload a task. With ``ties="all"``
     the newest batch of one key may itself be huge: hot keys are found first, their
     stale rows are dropped in place and the rest is spread over several tasks.
+    ``key_rows`` may give the same keys and batches from a narrower scan for that.
     """
     if ties not in ("all", "one"):
         raise ValueError(f"ties must be 'all' or 'one', not {ties!r}")
@@ -53,11 +56,11 @@ def latest(
             raise ValueError("ties='one' needs a tie_break for a repeatable result")
         window = Window.partitionBy(*keys).orderBy(newest_first, *breaks)
         ranked = df.withColumn(RANK, F.row_number().over(window))
-        return ranked.where(F.col(RANK) == 1).select(*columns)
+        return ranked.where(F.col(RANK) == 1).select(*[quoted(name) for name in columns])
 
     partition = list(keys)
     if hot_rows is not None:
-        hot = hot_keys(df, keys, hot_rows, {NEWEST: F.max(order_col)})
+        hot = hot_keys(df if key_rows is None else key_rows, keys, hot_rows, {NEWEST: F.max(order_col)})
         df = with_hot_salt(df, keys, hot)
         stale = F.col(order_col) < F.col(NEWEST)
         unknown = F.col(NEWEST).isNotNull() & F.col(order_col).isNull()
@@ -65,4 +68,4 @@ def latest(
         partition.append(SALT)
     window = Window.partitionBy(*partition).orderBy(newest_first)
     ranked = df.withColumn(RANK, F.dense_rank().over(window))
-    return ranked.where(F.col(RANK) == 1).select(*columns)
+    return ranked.where(F.col(RANK) == 1).select(*[quoted(name) for name in columns])

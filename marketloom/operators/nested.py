@@ -1,20 +1,27 @@
 """Flattening of nested arrays, JSON text and variants.
 
-An unnested array *replaces* its column when it is a top-level one, and becomes a
-new column named after the field otherwise, so later expressions can simply say
-``orderLine.lineNumber``. All of it is row-local: no shuffle.
+All of it is row-local: no shuffle. The feeds use :func:`unnest_path`, whose result has
+one flat column per struct field, called ``alias.field`` with a literal dot. Flat
+columns keep the plan of twenty chained arrays free of struct extractions, which the
+optimizer would otherwise move around between the generators.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def quoted(name: str) -> Column:
+    """Column of exactly this name, dots included."""
+    return F.col(f"`{name}`")
 
 
 def unnest(df: DataFrame, path: str, alias: str | None = None, outer: bool = True) -> DataFrame:
-    """One row per element of the array at ``path``.
+    """One row per element of the array at ``path``, as column ``alias``.
 
     ``outer`` keeps a row (with NULL) whose array is NULL or empty; otherwise the
     row goes. Two arrays unnested one after the other give their product per row.
@@ -23,22 +30,95 @@ def unnest(df: DataFrame, path: str, alias: str | None = None, outer: bool = Tru
     return df.withColumn(alias or path.rpartition(".")[2], explode(F.col(path)))
 
 
-def unnest_path(df: DataFrame, paths: Iterable[str], outer: bool = True) -> DataFrame:
-    """Unnest several arrays in order; ``parent.child`` reads an unnested parent."""
+def _element_type(types: dict[str, T.DataType], path: str) -> T.DataType:
+    if path not in types:
+        match = [name for name in types if name.lower() == path.lower()]
+        path = match[0] if match else path
+    return types[path].elementType
+
+
+def _step(
+    df: DataFrame, types: dict[str, T.DataType], path: str, kind: str, keep: bool
+) -> DataFrame:
+    """Replace the array ``path`` by columns of its elements, or of its first element."""
+    alias = path.rpartition(".")[2]
+    element = _element_type(types, path)
+    kept = [name for name in types if keep or name.lower() != path.lower()]
+    array = quoted(path)
+    if isinstance(element, T.StructType):
+        names = [f"{alias}.{field.name}" for field in element]
+        new_types = {name: field.dataType for name, field in zip(names, element)}
+    else:
+        names, new_types = [alias], {alias: element}
+    if kind == "first":
+        first = F.get(array, F.lit(0))
+        if isinstance(element, T.StructType):
+            new = [first.getField(field.name).alias(n) for n, field in zip(names, element)]
+        else:
+            new = [first.alias(alias)]
+    elif isinstance(element, T.StructType):
+        generate = F.inline_outer if kind == "outer" else F.inline
+        new = [generate(array).alias(*names)]
+    else:
+        generate = F.explode_outer if kind == "outer" else F.explode
+        new = [generate(array).alias(alias)]
+    copies = {name: types[name] for name in kept}
+    types.clear()
+    types.update(copies)
+    types.update(new_types)
+    return df.select(*[quoted(name) for name in kept], *new)
+
+
+def _walk(df: DataFrame, paths: Iterable[str], kind: str, keep: Iterable[str]) -> DataFrame:
+    types = {field.name: field.dataType for field in df.schema}
+    keep = set(keep)
     for path in paths:
-        df = unnest(df, path, outer=outer)
+        df = _step(df, types, path, kind, path in keep)
     return df
 
 
-def first_of_path(df: DataFrame, paths: Iterable[str]) -> DataFrame:
+def unnest_path(
+    df: DataFrame, paths: Iterable[str], outer: bool = True, keep: Iterable[str] = ()
+) -> DataFrame:
+    """Unnest arrays of structs in order; ``parent.child`` reads an unnested parent.
+
+    The array column is replaced by the columns ``alias.field`` of its elements, where
+    the alias is the last part of the path; arrays named in ``keep`` stay as well.
+    """
+    return _walk(df, paths, "outer" if outer else "inner", keep)
+
+
+def first_of_path(df: DataFrame, paths: Iterable[str], keep: Iterable[str] = ()) -> DataFrame:
     """Like :func:`unnest_path`, but keeps only the first element of each array.
 
     When one row of the product is wanted anyway, this picks the row of the first
     elements without ever building the product.
     """
+    return _walk(df, paths, "first", keep)
+
+
+def prune_type(schema: T.StructType, paths: Iterable[str]) -> T.StructType:
+    """The schema narrowed to the given dotted paths (case ignored)."""
+    wanted: dict[str, list[str]] = {}
+    whole = set()
     for path in paths:
-        df = df.withColumn(path.rpartition(".")[2], F.get(F.col(path), F.lit(0)))
-    return df
+        head, _, rest = path.partition(".")
+        wanted.setdefault(head.lower(), [])
+        if rest:
+            wanted[head.lower()].append(rest)
+        else:
+            whole.add(head.lower())
+    fields = []
+    for field in schema:
+        name, kind = field.name.lower(), field.dataType
+        if name not in wanted:
+            continue
+        rest = wanted[name]
+        if name not in whole and isinstance(kind, T.ArrayType):
+            if isinstance(kind.elementType, T.StructType):
+                kind = T.ArrayType(prune_type(kind.elementType, rest), kind.containsNull)
+        fields.append(T.StructField(field.name, kind, field.nullable))
+    return T.StructType(fields)
 
 
 def read_json(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -51,14 +131,8 @@ def unnest_variant(df: DataFrame, column: str, alias: str, outer: bool = False)
 
     Adds ``<alias>_pos``, ``<alias>_key`` (NULL for arrays) and the variant ``<alias>``.
     """
-    call = F.expr(f"try_parse_json(`{column}`)")
-    keyed = df.withColumn("__variant", call)
-    view = keyed.lateralJoin if hasattr(keyed, "lateralJoin") else None
-    if view is None:
-        raise RuntimeError("lateral joins need Spark 4")
-    table = df.sparkSession.tvf
-    function = table.variant_explode_outer if outer else table.variant_explode
-    exploded = function(F.col("__variant").outer()).toDF(
-        f"{alias}_pos", f"{alias}_key", alias
-    )
-    return keyed.lateralJoin(exploded).drop("__variant")
+    parsed = df.withColumn("__variant", F.try_parse_json(F.col(column)))
+    tables = df.sparkSession.tvf
+    explode = tables.variant_explode_outer if outer else tables.variant_explode
+    elements = explode(F.col("__variant").outer()).toDF(f"{alias}_pos", f"{alias}_key", alias)
+    return parsed.lateralJoin(elements).drop("__variant")

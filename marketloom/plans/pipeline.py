@@ -23,6 +23,8 @@ from marketloom.operators import (
     first_of_path,
     latest,
     one_rate_per_day,
+    prune_type,
+    quoted,
     unnest_path,
     without_exchange_rate,
 )
@@ -69,6 +71,21 @@ def key_paths(spec: FeedSpec) -> tuple[str, ...]:
     return tuple(path for path in spec.unnest if path in needed)
 
 
+def raw_paths(spec: FeedSpec, outputs: Iterable[Output]) -> list[str]:
+    """Dotted paths inside the raw rows that the given outputs are read from."""
+    roots: dict[str, str] = {}
+    for path in spec.unnest:
+        parent, _, field = path.rpartition(".")
+        roots[field] = f"{roots[parent]}.{field}" if parent else field
+    paths = []
+    for output in outputs:
+        if "(" in output.source:
+            continue
+        alias, _, field = output.source.partition(".")
+        paths.append(f"{roots[alias]}.{field}" if field else alias)
+    return paths
+
+
 class _Projection:
     """Output expressions of a feed over its (partly) unnested rows."""
 
@@ -78,52 +95,71 @@ class _Projection:
     def columns(self, df: DataFrame, outputs: Iterable[Output]) -> list[Column]:
         outputs = list(outputs)
         runtime = f"`{self.settings.lineage.runtime}`"
-        texts = [output.source.format(runtime=runtime) for output in outputs]
-        columns = [F.expr(text) for text in texts]
-        if self.settings.tz_offsets:
-            nested = [col.alias(f"c{i}") for i, col in enumerate(columns)]
-            kinds = [kind for _, kind in df.select(*nested).dtypes]
-            columns = [
+        kinds: dict[str, str] = dict(df.dtypes) if self.settings.tz_offsets else {}
+        columns = []
+        for output in outputs:
+            if "(" in output.source:
+                column = F.expr(output.source.format(runtime=runtime))
+            else:
+                column = quoted(output.source)
                 # Top-level date-times were shifted when the source was tagged.
-                datetime_add(col, F.col(HOURS), "HOUR")
-                if "." in text and is_datetime(kind) and "(" not in text
-                else col
-                for col, text, kind in zip(columns, texts, kinds)
-            ]
-        return [
-            (col.cast(output.cast) if output.cast else col).alias(output.name)
-            for output, col in zip(outputs, columns)
-        ]
+                if "." in output.source and is_datetime(kinds.get(output.source, "")):
+                    column = datetime_add(column, F.col(HOURS), "HOUR")
+            column = column.cast(output.cast) if output.cast else column
+            columns.append(column.alias(output.name))
+        return columns
 
 
 def _tagged_rows(
     spark: SparkSession,
     spec: FeedSpec,
-    registry: Registry,
+    tables: list[SourceTable],
     settings: Settings,
     mark: int | None,
-    schema: str | None,
-) -> DataFrame | None:
-    tables = registry.match(spec.like, spec.not_like, schema)
-    if not tables:
-        return None
-    names = raw_columns(spec)
-    rows = consolidate(
-        [tag_source(table.load(spark), table, names, settings, mark) for table in tables]
-    )
+    outputs: Iterable[Output],
+) -> DataFrame:
+    """All sources of a feed, narrowed to what the outputs need, tagged and united."""
+    paths = raw_paths(spec, outputs)
+    heads = {path.partition(".")[0].lower() for path in paths}
+    names = [name for name in raw_columns(spec) if name.lower() in heads]
+    frames = []
+    for table in tables:
+        df = table.load(spark)
+        if table.load_narrow is not None and any("." in path for path in paths):
+            bare = [name.removeprefix("_") for name in settings.lineage.names]
+            narrow = prune_type(df.schema, [*paths, *settings.lineage.names, *bare])
+            df = table.load_narrow(spark, narrow)
+        frames.append(tag_source(df, table, names, settings, mark))
+    rows = consolidate(frames)
     if settings.tz_offsets:
         local = [name for name, kind in rows.dtypes if is_datetime(kind)]
         rows = shift_timezone(rows, local, F.col(HOURS))
     return rows
 
 
-def _scalar_columns(df: DataFrame, skip: set[str]) -> list[str]:
+def _keyed_rows(
+    rows: DataFrame,
+    keys: list[Output],
+    paths: Iterable[str],
+    settings: Settings,
+    passed: Iterable[str] = (),
+) -> tuple[DataFrame, list[str]]:
+    """Rows unnested as far as ``paths`` say, with the business key as columns."""
+    rows = unnest_path(rows, paths, settings.outer_unnest, keep=passed)
+    names = [f"__key_{i}" for i in range(len(keys))]
+    columns = _Projection(settings).columns(rows, keys)
+    rows = rows.withColumns(dict(zip(names, columns)))
+    return rows, [BRAND, STORE, *names] if settings.lineage_in_key else names
+
+
+def _all_columns_break(df: DataFrame, skip: set[str]) -> list[Column]:
+    """Tie break over a whole row: its scalar columns, then a hash of the nested ones."""
     nested = (T.ArrayType, T.StructType, T.MapType, T.VariantType)
-    return [
-        field.name
-        for field in df.schema
-        if not isinstance(field.dataType, nested) and field.name not in skip
-    ]
+    fields = [field for field in df.schema if field.name not in skip]
+    scalars = [f.name for f in fields if not isinstance(f.dataType, nested)]
+    others = [f.name for f in fields if isinstance(f.dataType, (T.ArrayType, T.StructType))]
+    breaks = [quoted(name).asc_nulls_last() for name in scalars]
+    return breaks + ([F.xxhash64(*[quoted(name) for name in others])] if others else [])
 
 
 def unify(
@@ -136,26 +172,31 @@ def unify(
     schema: str | None = None,
 ) -> DataFrame:
     """The unified rows of one feed: all of them, or those from ``mark`` on."""
-    rows = _tagged_rows(spark, spec, registry, settings, mark, schema)
-    if rows is None:
+    tables = registry.match(spec.like, spec.not_like, schema)
+    if not tables:
         return spark.createDataFrame([], output_schema(spark, spec, settings))
     lineage = settings.lineage
     project = _Projection(settings)
     by_name = {output.name.lower(): output for output in spec.outputs}
 
+    keys = [by_name[key.lower()] for key in spec.keys]
+
     # Inner unnesting drops rows, so it has to be complete before the dedup.
     early = key_paths(spec) if settings.outer_unnest else spec.unnest
-    rows = unnest_path(rows, early, settings.outer_unnest)
-    key_columns = project.columns(rows, [by_name[key.lower()] for key in spec.keys])
-    names = [f"__key_{i}" for i in range(len(key_columns))]
-    rows = rows.withColumns(dict(zip(names, key_columns)))
-    if settings.lineage_in_key:
-        names = [BRAND, STORE, *names]
+    breaks = [Output(path, path) for path in spec.tie_break]
+    contract = [*spec.outputs, *spec.after_batch_id, *breaks]
+    rows = _tagged_rows(spark, spec, tables, settings, mark, contract)
+    passed = {output.source for output in spec.outputs}
+    rows, names = _keyed_rows(rows, keys, early, settings, passed)
+    key_rows = None
+    if spec.ties == "all" and settings.outer_unnest and early:
+        slim = _tagged_rows(spark, spec, tables, settings, mark, keys)
+        key_rows, _ = _keyed_rows(slim, keys, early, settings)
     tie_break = ()
     if spec.ties == "one":
         skip = {*names, lineage.runtime, HOURS}
-        tie_break = [*[F.col(path).asc_nulls_last() for path in spec.tie_break],
-                     *_scalar_columns(rows, skip)]
+        tie_break = [*[quoted(path).asc_nulls_last() for path in spec.tie_break],
+                     *_all_columns_break(rows, skip)]
     rows = latest(
         rows,
         names,
@@ -165,10 +206,12 @@ def unify(
         scope=spec.scope,
         source_col=SOURCE,
         hot_rows=settings.hot_key_rows,
+        key_rows=key_rows,
     )
 
     late = [path for path in spec.unnest if path not in early]
-    flat = first_of_path(rows, late) if spec.ties == "one" else unnest_path(rows, late)
+    flatten = first_of_path if spec.ties == "one" else unnest_path
+    flat = flatten(rows, late, keep=passed)
     return _finish(flat, spec, rates, settings, project)
 
 
@@ -181,9 +224,7 @@ def _finish(
 ) -> DataFrame:
     """Project the output contract and add rates and audit columns."""
     lineage = settings.lineage
-    after = [
-        Output(output.name, output.source, output.cast) for output in spec.after_batch_id
-    ]
+    after = spec.after_batch_id
     stamp = F.current_timestamp() if settings.run_ts is None else F.lit(settings.run_ts)
     business = [output.name for output in spec.outputs]
     out = flat.select(
@@ -230,7 +271,7 @@ def output_schema(spark: SparkSession, spec: FeedSpec, settings: Settings = Sett
         run_ts=settings.run_ts, run_id=settings.run_id,
     )
     rows = tag_source(table.load(spark), table, raw_columns(spec), bare)
-    flat = unnest_path(rows, spec.unnest)
+    flat = unnest_path(rows, spec.unnest, keep={output.source for output in spec.outputs})
     return _finish(flat, spec, None, bare, _Projection(bare)).schema
 
 

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def discover(
@@ -41,12 +42,17 @@ def like_matches(name: str, pattern: str) -> bool:
 
 @dataclass(frozen=True)
 class SourceTable:
-    """One raw table: its original name, where it lives and how to read it."""
+    """One raw table: its original name, where it lives and how to read it.
+
+    A reader that takes a schema can leave out nested fields nobody asks for; the
+    Parquet scan then skips their column chunks.
+    """
 
     name: str
     load: Callable[[SparkSession], DataFrame]
     schema: str = ""
     catalog: str = ""
+    load_narrow: Callable[[SparkSession, T.StructType], DataFrame] | None = None
 
     @property
     def full_name(self) -> str:
@@ -70,7 +76,14 @@ class Registry:
         cls, paths: Mapping[str, str], schema: str = "", fmt: str = "parquet"
     ) -> Registry:
         return cls(
-            SourceTable(name, lambda spark, p=path: spark.read.format(fmt).load(p), schema)
+            SourceTable(
+                name,
+                lambda spark, p=path: spark.read.format(fmt).load(p),
+                schema,
+                load_narrow=lambda spark, kind, p=path: spark.read.format(fmt)
+                .schema(kind)
+                .load(p),
+            )
             for name, path in paths.items()
         )
 
