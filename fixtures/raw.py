@@ -82,8 +82,14 @@ class Duck:
 class _Walk:
     def __init__(self, dialect, spec: FeedSpec):
         self.dialect = dialect
-        self.keys = {o.source.rpartition(".")[2].lower() for o in spec.outputs
-                     if o.name.lower() in {k.lower() for k in spec.keys}}
+        # Feeds that share a raw table agree on which of its fields are keys.
+        self.keys = {
+            output.source.rpartition(".")[2].lower()
+            for other in SPECS.values()
+            if other.feed == spec.feed
+            for output in other.outputs
+            if output.name.lower() in {key.lower() for key in other.keys}
+        }
         self.null_key = spec.keys[0].lower()
         self.j = 0
 

@@ -123,7 +123,8 @@ def prune_type(schema: T.StructType, paths: Iterable[str]) -> T.StructType:
 
 def read_json(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Parse JSON text columns into the given nested types (DDL), one parse per column."""
-    return df.withColumns({name: F.from_json(F.col(name), ddl) for name, ddl in types.items()})
+    parsed = {name: F.from_json(F.col(name), ddl) for name, ddl in types.items()}
+    return df.withColumns(parsed) if parsed else df
 
 
 def unnest_variant(df: DataFrame, column: str, alias: str, outer: bool = False) -> DataFrame:

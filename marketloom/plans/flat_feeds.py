@@ -12,7 +12,7 @@ from marketloom.plans.spec import (
     FxRule,
     Output,
     Sink,
-    ddl_names,
+    record,
     renamed,
 )
 
@@ -155,25 +155,24 @@ TOP_TRENDING = """
     superDepartmentName string, existsForSeller string, rank bigint, brand string"""
 
 
-def _outputs(ddl: str) -> tuple[Output, ...]:
+def _outputs(names: list[str]) -> tuple[Output, ...]:
     return tuple(
-        Output("Item_Brand" if name.lower() == "brand" else name, name)
-        for name in ddl_names(ddl)
+        Output("Item_Brand" if name.lower() == "brand" else name, name) for name in names
     )
 
 
 def flat_feeds(marketplace: str, label: str) -> list[FeedSpec]:
     """Specifications of the flat feeds of one marketplace."""
 
-    def feed(name, pattern, ddl, keys, day=None, cluster=None, by_day=False, **more):
-        raw = ddl.format(label=label)
+    def feed(name, pattern, columns, keys, day=None, cluster=None, by_day=False, **more):
+        raw = record(columns.format(label=label))
         keys = tuple(keys.format(label=label).split())
         return FeedSpec(
             name=name,
             feed=pattern.replace("%", ""),
             like=f"%{marketplace}%{pattern}",
             raw_schema=raw,
-            outputs=_outputs(raw) + more.pop("derived", ()),
+            outputs=_outputs(raw.names) + more.pop("derived", ()),
             keys=keys,
             sink=Sink(tuple(cluster.split()) if cluster else keys, day, by_day),
             **more,

@@ -9,80 +9,116 @@ from marketloom.plans.spec import (
     Sink,
     dated,
     part_of,
+    record,
     renamed,
     same,
+    strings,
 )
 
-# Nested types of the raw feeds.
-MONEY = "array<struct<currency:string,amount:double>>"
-UNIT_MONEY = "array<struct<currencyAmount:double,currencyUnit:string>>"
-QUANTITY = "array<struct<unit:string,amount:double>>"
-MEASURE = "array<struct<unitOfMeasure:string,measurementValue:double>>"
+# Row types of the raw feeds and of the arrays inside them.
+MONEY = record("currency string, amount double")
+UNIT_MONEY = record("currencyAmount double, currencyUnit string")
+PRICE = record("amount double, currency string")
+QUANTITY = record("unit string, amount double")
+MEASURE = record("unitOfMeasure string, measurementValue double")
 
-ADDRESS = """array<struct<name:string,address1:string,address2:string,address3:string,
-    address4:string,city:string,state:string,postalCode:string,country:string>>"""
-ORDER_ITEM = f"""array<struct<upc:string,offerId:string,productName:string,sku:string,
-    condition:string,imageUrl:string,unitPrice:{MONEY},commission:{MONEY},
-    unitPriceWithoutTax:{MONEY}>>"""
-ORDER_CHARGES = f"""array<struct<charge:array<struct<chargeType:string,chargeName:string,
-    chargeAmount:{MONEY},tax:array<struct<taxName:string,taxAmount:{MONEY}>>>>>>"""
-ORDER_LINE = f"""array<struct<lineNumber:string,primeLineNumber:string,coLineNumber:string,
-    statusDate:date,shippingMethod:string,soPrimeLineSubLineNo:string,
-    promiseDeliveryDate:timestamp_ntz,isMSIEnabled:string,refund:string,item:{ORDER_ITEM},
-    charges:{ORDER_CHARGES},
-    orderLineQuantity:array<struct<unitOfMeasurement:string,amount:double>>,
-    seller:array<struct<id:string,name:string,shipNodeType:string>>,
-    fulfillment:array<struct<fulfillmentOption:string,shipMethod:string,
-    pickUpDateTime:timestamp_ntz,shippingProgramType:string>>,
-    orderLineStatuses:array<struct<orderLineStatus:string>>>>"""
-SHIPMENTS = """array<struct<shipmentNo:string,status:string,packageNo:string,
-    isSellerOwnedShipment:string,carrier:string,trackingNumber:string,trackingUrl:string,
-    shipmentAdditionalDate:string,shipmentLines:array<struct<primeLineNo:string,
-    shipmentLineNo:string,quantity:double>>>>"""
-ORDERS = f"""
-    statusCodeFilter string, shipNodeType string, purchaseOrderId string,
+ADDRESS = record(
+    strings("name address1 address2 address3 address4 city state postalCode country")
+)
+ORDER_ITEM = record(
+    strings("upc offerId productName sku condition imageUrl"),
+    unitPrice=MONEY,
+    commission=MONEY,
+    unitPriceWithoutTax=MONEY,
+)
+CHARGE = record(
+    strings("chargeType chargeName"),
+    chargeAmount=MONEY,
+    tax=record("taxName string", taxAmount=MONEY),
+)
+ORDER_LINE = record(
+    """lineNumber string, primeLineNumber string, coLineNumber string, statusDate date,
+    shippingMethod string, soPrimeLineSubLineNo string, promiseDeliveryDate timestamp_ntz,
+    isMSIEnabled string, refund string""",
+    item=ORDER_ITEM,
+    charges=record("", charge=CHARGE),
+    orderLineQuantity=record("unitOfMeasurement string, amount double"),
+    seller=record(strings("id name shipNodeType")),
+    fulfillment=record(
+        """fulfillmentOption string, shipMethod string, pickUpDateTime timestamp_ntz,
+        shippingProgramType string"""
+    ),
+    orderLineStatuses=record("orderLineStatus string"),
+)
+ORDERS = record(
+    """statusCodeFilter string, shipNodeType string, purchaseOrderId string,
     customerOrderId string, customerEmailId string, orderType string,
     orderDate timestamp_ntz, billingInfo string, totalLines bigint, totalQuantity bigint,
-    shipNode string, rfc string, paymentMethod string, cfdi string,
-    shippingInfo array<struct<phone:string,estimatedDeliveryDate:date,
-    estimatedShipDate:date,methodCode:string,postalAddress:{ADDRESS}>>,
-    shipments {SHIPMENTS}, orderTotal {MONEY},
-    orderLines array<struct<orderLine:{ORDER_LINE}>>"""
+    shipNode string, rfc string, paymentMethod string, cfdi string""",
+    shippingInfo=record(
+        """phone string, estimatedDeliveryDate date, estimatedShipDate date,
+        methodCode string""",
+        postalAddress=ADDRESS,
+    ),
+    shipments=record(
+        strings(
+            "shipmentNo status packageNo isSellerOwnedShipment carrier trackingNumber"
+            " trackingUrl shipmentAdditionalDate"
+        ),
+        shipmentLines=record("primeLineNo string, shipmentLineNo string, quantity double"),
+    ),
+    orderTotal=MONEY,
+    orderLines=record("", orderLine=ORDER_LINE),
+)
 
-RETURN_CHARGES = f"""array<struct<chargeCategory:string,chargeName:string,
-    isDiscount:string,isBillable:string,excessCharge:string,references:string,
-    chargePerUnit:{UNIT_MONEY},tax:array<struct<taxName:string,excessTax:{UNIT_MONEY},
-    taxPerUnit:{UNIT_MONEY}>>>>"""
-RETURN_LINES = f"""array<struct<returnOrderLineNumber:string,salesOrderLineNumber:string,
-    returnReason:string,purchaseOrderId:string,purchaseOrderLineNumber:string,
-    isReturnForException:string,itemReturnSettings:string,cancellableQty:string,
-    returnExpectedFlag:string,isFastReplacement:string,isKeepIt:string,lastItem:string,
-    refundedQty:double,rechargeableQty:string,refundChannel:string,
-    returnTrackingDetail:string,status:string,statusTime:timestamp_ntz,
-    currentDeliveryStatus:string,currentRefundStatus:string,
-    item:array<struct<sku:string,productName:string,itemWeight:{MEASURE}>>,
-    charges:{RETURN_CHARGES},unitPrice:{UNIT_MONEY},quantity:{MEASURE},
-    chargeTotals:array<struct<name:string,value:{UNIT_MONEY}>>>>"""
-RETURNS = f"""
-    returnOrderId string, customerEmailId string, customerOrderId string,
+RETURN_CHARGE = record(
+    strings("chargeCategory chargeName isDiscount isBillable excessCharge references"),
+    chargePerUnit=UNIT_MONEY,
+    tax=record("taxName string", excessTax=UNIT_MONEY, taxPerUnit=UNIT_MONEY),
+)
+RETURN_LINE = record(
+    """returnOrderLineNumber string, salesOrderLineNumber string, returnReason string,
+    purchaseOrderId string, purchaseOrderLineNumber string, isReturnForException string,
+    itemReturnSettings string, cancellableQty string, returnExpectedFlag string,
+    isFastReplacement string, isKeepIt string, lastItem string, refundedQty double,
+    rechargeableQty string, refundChannel string, returnTrackingDetail string,
+    status string, statusTime timestamp_ntz, currentDeliveryStatus string,
+    currentRefundStatus string""",
+    item=record("sku string, productName string", itemWeight=MEASURE),
+    charges=RETURN_CHARGE,
+    unitPrice=UNIT_MONEY,
+    quantity=MEASURE,
+    chargeTotals=record("name string", value=UNIT_MONEY),
+)
+RETURNS = record(
+    """returnOrderId string, customerEmailId string, customerOrderId string,
     returnOrderDate timestamp_ntz, returnByDate timestamp_ntz, refundMode string,
-    returnLineGroups string, customerName array<struct<firstName:string,lastName:string>>,
-    totalRefundAmount {UNIT_MONEY}, returnChannel array<struct<channelName:string>>,
-    returnOrderLines {RETURN_LINES}"""
+    returnLineGroups string""",
+    customerName=record("firstName string, lastName string"),
+    totalRefundAmount=UNIT_MONEY,
+    returnChannel=record("channelName string"),
+    returnOrderLines=RETURN_LINE,
+)
 
-INVENTORY = f"""
-    sku string,
-    nodes array<struct<shipNode:string,inputQty:{QUANTITY},availToSellQty:{QUANTITY}>>"""
-SHIP_NODES = """
-    sku string, shipNodes array<struct<modifiedDate:timestamp_ntz,availToSellQty:bigint,
-    onHandQty:bigint,shipNodeType:string>>"""
-PRICE = "array<struct<amount:double,currency:string>>"
-UNPUBLISHED = f"""
-    gtin string, marketPrice {PRICE}, offerStartDate date, marketTrending string,
-    lifecycleStatus string, unpublishReasons string, conversionRate double,
-    productName string, gmvAmount {PRICE}, itemId string, customerRating double,
-    pageViews bigint, price {PRICE}, unpublishedDate date, brand string, sku string,
-    productType string, offerEndDate date, publishStatus string"""
+INVENTORY = record(
+    "sku string",
+    nodes=record("shipNode string", inputQty=QUANTITY, availToSellQty=QUANTITY),
+)
+SHIP_NODES = record(
+    "sku string",
+    shipNodes=record(
+        "modifiedDate timestamp_ntz, availToSellQty bigint, onHandQty bigint, shipNodeType string"
+    ),
+)
+UNPUBLISHED = record(
+    """gtin string, offerStartDate date, marketTrending string, lifecycleStatus string,
+    unpublishReasons string, conversionRate double, productName string, itemId string,
+    customerRating double, pageViews bigint, unpublishedDate date, brand string,
+    sku string, productType string, offerEndDate date, publishStatus string""",
+    marketPrice=PRICE,
+    gmvAmount=PRICE,
+    price=PRICE,
+)
 
 ADDRESS_LINES = "address1 address2 address3 address4 city state"
 

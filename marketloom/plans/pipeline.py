@@ -25,12 +25,13 @@ from marketloom.operators import (
     one_rate_per_day,
     prune_type,
     quoted,
+    read_json,
     unnest_path,
     without_exchange_rate,
 )
 from marketloom.operators.exchange import CODE, RATE
 from marketloom.operators.timezone import is_datetime, shift_timezone
-from marketloom.plans.spec import FeedSpec, Output, ddl_names
+from marketloom.plans.spec import FeedSpec, Output, record
 from marketloom.settings import Lineage, Settings
 from marketloom.sinks import exists, read_table, upsert, write_table
 from marketloom.sources import BRAND, HOURS, SOURCE, STORE, Registry, SourceTable, tag_source
@@ -43,14 +44,8 @@ RUN_ID = "_run_id"
 def raw_type(spec: FeedSpec, lineage: Lineage = Lineage()) -> T.StructType:
     """Declared schema of a raw table, ingestion columns included."""
     user, runtime, batch = lineage.names
-    meta = f"`{user}` string, `{runtime}` bigint, `{batch}` bigint"
-    return T.StructType.fromDDL(f"{spec.raw_schema}, {meta}")
-
-
-def raw_columns(spec: FeedSpec) -> list[str]:
-    if "<" in spec.raw_schema:
-        return T.StructType.fromDDL(spec.raw_schema).names
-    return ddl_names(spec.raw_schema)
+    meta = record(f"{user} string, {runtime} bigint, {batch} bigint")
+    return T.StructType([*spec.raw_schema, *meta])
 
 
 def business_key(spec: FeedSpec, settings: Settings) -> list[str]:
@@ -110,6 +105,16 @@ class _Projection:
         return columns
 
 
+def _json_types(spec: FeedSpec, df: DataFrame, paths: list[str]) -> dict[str, str]:
+    """Arrays of the feed that this raw table holds as JSON text, with their types."""
+    present = {name.lower(): kind for name, kind in df.dtypes}
+    return {
+        field.name: field.dataType.simpleString()
+        for field in prune_type(raw_type(spec), paths)
+        if isinstance(field.dataType, T.ArrayType) and present[field.name.lower()] == "string"
+    }
+
+
 def _tagged_rows(
     spark: SparkSession,
     spec: FeedSpec,
@@ -121,7 +126,7 @@ def _tagged_rows(
     """All sources of a feed, narrowed to what the outputs need, tagged and united."""
     paths = raw_paths(spec, outputs)
     heads = {path.partition(".")[0].lower() for path in paths}
-    names = [name for name in raw_columns(spec) if name.lower() in heads]
+    names = [name for name in spec.raw_schema.names if name.lower() in heads]
     frames = []
     for table in tables:
         df = table.load(spark)
@@ -129,6 +134,7 @@ def _tagged_rows(
             bare = [name.removeprefix("_") for name in settings.lineage.names]
             narrow = prune_type(df.schema, [*paths, *settings.lineage.names, *bare])
             df = table.load_narrow(spark, narrow)
+        df = read_json(df, _json_types(spec, df, paths))
         frames.append(tag_source(df, table, names, settings, mark))
     rows = consolidate(frames)
     if settings.tz_offsets:
@@ -215,6 +221,12 @@ def unify(
     return _finish(flat, spec, rates, settings, project)
 
 
+def audit_columns(settings: Settings) -> list[Column]:
+    """Load stamp and run id of a run."""
+    stamp = F.current_timestamp() if settings.run_ts is None else F.lit(settings.run_ts)
+    return [stamp.alias(LOAD_STAMP), F.lit(settings.run_id).alias(RUN_ID)]
+
+
 def _finish(
     flat: DataFrame,
     spec: FeedSpec,
@@ -225,7 +237,6 @@ def _finish(
     """Project the output contract and add rates and audit columns."""
     lineage = settings.lineage
     after = spec.after_batch_id
-    stamp = F.current_timestamp() if settings.run_ts is None else F.lit(settings.run_ts)
     business = [output.name for output in spec.outputs]
     out = flat.select(
         F.col(BRAND).alias("brand"),
@@ -257,8 +268,7 @@ def _finish(
         *trailing,
         *lineage.names,
         *[output.name for output in after],
-        stamp.alias(LOAD_STAMP),
-        F.lit(settings.run_id).alias(RUN_ID),
+        *audit_columns(settings),
     )
 
 
@@ -270,7 +280,7 @@ def output_schema(spark: SparkSession, spec: FeedSpec, settings: Settings = Sett
         lineage=settings.lineage, brand_from_name=False, store_from_name=False,
         run_ts=settings.run_ts, run_id=settings.run_id,
     )
-    rows = tag_source(table.load(spark), table, raw_columns(spec), bare)
+    rows = tag_source(table.load(spark), table, spec.raw_schema.names, bare)
     flat = unnest_path(rows, spec.unnest, keep={output.source for output in spec.outputs})
     return _finish(flat, spec, None, bare, _Projection(bare)).schema
 
@@ -283,6 +293,7 @@ def run(
     rates: DataFrame | None = None,
     settings: Settings = Settings(),
     full_refresh: bool = False,
+    null_safe: bool = False,
     strict: bool = False,
 ) -> None:
     """Load one feed into the table at ``target``, incrementally when it exists."""
@@ -295,7 +306,7 @@ def run(
     updates = unify(spark, spec, registry, rates, mark, settings)
     upsert(
         updates, target, business_key(spec, settings), spec.sink,
-        hot_rows=settings.hot_key_rows, strict=strict,
+        null_safe=null_safe, strict=strict, hot_rows=settings.hot_key_rows,
     )
 
 

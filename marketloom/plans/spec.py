@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import types as T
+
 from marketloom.sinks import Sink
 
 # ``{runtime}`` in an expression stands for the batch-runtime column.
@@ -36,7 +38,7 @@ class FeedSpec:
     name: str
     feed: str
     like: str
-    raw_schema: str
+    raw_schema: T.StructType
     outputs: tuple[Output, ...]
     keys: tuple[str, ...]
     sink: Sink
@@ -74,6 +76,25 @@ def dated(names: str) -> tuple[Output, ...]:
     return tuple(Output(name, name, "date") for name in names.split())
 
 
-def ddl_names(ddl: str) -> list[str]:
-    """Column names of a flat DDL list (no commas inside the types)."""
-    return [column.split()[0] for column in ddl.split(",")]
+TYPES = {
+    "string": T.StringType(),
+    "double": T.DoubleType(),
+    "bigint": T.LongType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
+def record(columns: str, **arrays: T.StructType) -> T.StructType:
+    """A row type: ``name type`` pairs separated by commas, then arrays of row types."""
+    fields = []
+    for column in filter(None, (text.strip() for text in columns.split(","))):
+        name, kind = column.split()
+        fields.append(T.StructField(name, TYPES[kind]))
+    fields += [T.StructField(name, T.ArrayType(row)) for name, row in arrays.items()]
+    return T.StructType(fields)
+
+
+def strings(names: str) -> str:
+    """Column text for names that are all strings."""
+    return ", ".join(f"{name} string" for name in names.split())
