@@ -122,9 +122,19 @@ def prune_type(schema: T.StructType, paths: Iterable[str]) -> T.StructType:
 
 
 def read_json(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Parse JSON text columns into the given nested types (DDL), one parse per column."""
-    parsed = {name: F.from_json(F.col(name), ddl) for name, ddl in types.items()}
-    return df.withColumns(parsed) if parsed else df
+    """Parse JSON text columns into the given nested types (DDL), one parse per column.
+
+    The parsed columns come out of a generator over one struct. Filters on them, such
+    as those derived from an inner unnest, are not moved below a generator, so the text
+    is not parsed again for each of them.
+    """
+    if not types:
+        return df
+    parsed = F.struct(*[F.from_json(F.col(name), ddl).alias(name) for name, ddl in types.items()])
+    others = [quoted(name) for name in df.columns if name not in types]
+    return df.select(*others, F.inline_outer(F.array(parsed))).select(
+        *[quoted(name) for name in df.columns]
+    )
 
 
 def unnest_variant(df: DataFrame, column: str, alias: str, outer: bool = False) -> DataFrame:
