@@ -162,11 +162,23 @@ def _source_rule(brand: str) -> str:
 DELIVERED = "(v = 0 or (v = 1 and n % 3 = 0) or (v = 2 and n % 7 = 0)) and (t = 0 or n % 11 = 0)"
 
 
-def raw_frame(spark: SparkSession, sf_dir: str, name: str, brand: str, batches: int = 3) -> DataFrame:
-    """One raw table: the first ``batches`` deliveries of one source of one feed."""
+def raw_frame(
+    spark: SparkSession,
+    sf_dir: str,
+    name: str,
+    brand: str,
+    batches: int = 3,
+    files: int | None = None,
+) -> DataFrame:
+    """One raw table: the first ``batches`` deliveries of one source of one feed.
+
+    ``files`` spreads the row numbers over that many tasks, to write as many files.
+    """
     table, number, rows = BASES.get(name, ITEM)
     base = spark.read.parquet(f"{sf_dir}/{table}.parquet").where(rows)
     numbered = base.select(F.expr(f"cast({number} as bigint)").alias("n"))
+    if files is not None:
+        numbered = numbered.repartition(files)
     deliveries = [
         F.struct(
             F.lit(v).alias("v"), F.lit(BATCHES[v]).cast("bigint").alias("rt"), F.lit(t).alias("t")

@@ -54,7 +54,7 @@ def latest(
         breaks = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in tie_break]
         if not breaks:
             raise ValueError("ties='one' needs a tie_break for a repeatable result")
-        window = Window.partitionBy(*keys).orderBy(newest_first, *breaks)
+        window = Window.partitionBy(*map(quoted, keys)).orderBy(newest_first, *breaks)
         ranked = df.withColumn(RANK, F.row_number().over(window))
         return ranked.where(F.col(RANK) == 1).select(*[quoted(name) for name in columns])
 
@@ -66,6 +66,6 @@ def latest(
         unknown = F.col(NEWEST).isNotNull() & F.col(order_col).isNull()
         df = df.where(~F.coalesce(stale | unknown, F.lit(False)))
         partition.append(SALT)
-    window = Window.partitionBy(*partition).orderBy(newest_first)
+    window = Window.partitionBy(*map(quoted, partition)).orderBy(newest_first)
     ranked = df.withColumn(RANK, F.dense_rank().over(window))
     return ranked.where(F.col(RANK) == 1).select(*[quoted(name) for name in columns])

@@ -1,8 +1,11 @@
 """Spreading of business keys that hold very many rows.
 
-Hot keys are found with a map-side combined count over the key columns alone. With
-a threshold of ``hot_rows`` there are at most ``rows / hot_rows`` of them (100,000
-for 100 billion rows and the default), which bounds what is broadcast.
+Hot keys are found by counting a hash of the key, combined before the shuffle: 16 bytes
+per key and task move. Only where some hash is crowded are its rows counted by the key
+itself, so the result is exact; adaptive execution drops that second count when there
+is nothing to count. With a threshold of ``hot_rows`` there are at most
+``rows / hot_rows`` hot keys (100,000 for 100 billion rows and the default), which
+bounds what is broadcast.
 """
 
 from __future__ import annotations
@@ -12,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketloom.operators.nested import quoted
+
 SALT = "__salt"
 PIECES = "__pieces"
 
@@ -19,7 +24,9 @@ PIECES = "__pieces"
 def key_condition(left: DataFrame, right: DataFrame, names: dict[str, str], null_safe: bool) -> Column:
     """Equality of key columns; ``names`` maps left names to right names."""
     pairs = [
-        left[a].eqNullSafe(right[b]) if null_safe else left[a] == right[b]
+        left[f"`{a}`"].eqNullSafe(right[f"`{b}`"])
+        if null_safe
+        else left[f"`{a}`"] == right[f"`{b}`"]
         for a, b in names.items()
     ]
     return reduce(Column.__and__, pairs)
@@ -27,11 +34,17 @@ def key_condition(left: DataFrame, right: DataFrame, names: dict[str, str], null
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int, extra: dict[str, Column] | None = None) -> DataFrame:
     """Keys with at least ``hot_rows`` rows, and into how many pieces to split each."""
+    hashed = F.xxhash64(*[quoted(key) for key in keys])
+    counts = df.groupBy(hashed.alias("__crowd")).agg(F.count(F.lit(1)).alias("__rows"))
+    crowded = counts.where(F.col("__rows") >= hot_rows).select("__crowd")
+    candidates = df.withColumn("__hash", hashed).join(
+        F.broadcast(crowded), F.col("__hash") == F.col("__crowd"), "left_semi"
+    )
     aggregates = [col.alias(name) for name, col in (extra or {}).items()]
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), *aggregates)
+    counted = candidates.groupBy(*[quoted(key) for key in keys]).agg(F.count(F.lit(1)).alias("__rows"), *aggregates)
     pieces = F.ceil(F.col("__rows") / F.lit(hot_rows)) + 1
     return counted.where(F.col("__rows") >= hot_rows).select(
-        *[F.col(key).alias(f"__hot_{i}") for i, key in enumerate(keys)],
+        *[quoted(key).alias(f"__hot_{i}") for i, key in enumerate(keys)],
         pieces.cast("int").alias(PIECES),
         *(extra or {}),
     )

@@ -150,11 +150,19 @@ def _keyed_rows(
     settings: Settings,
     passed: Iterable[str] = (),
 ) -> tuple[DataFrame, list[str]]:
-    """Rows unnested as far as ``paths`` say, with the business key as columns."""
+    """Rows unnested as far as ``paths`` say, and the names of the business key columns.
+
+    A key that is a raw column is used as it is, so that it is not shuffled twice.
+    """
     rows = unnest_path(rows, paths, settings.outer_unnest, keep=passed)
-    names = [f"__key_{i}" for i in range(len(keys))]
     columns = _Projection(settings).columns(rows, keys)
-    rows = rows.withColumns(dict(zip(names, columns)))
+    names, derived = [], {}
+    for i, (key, column) in enumerate(zip(keys, columns)):
+        plain = key.cast is None and "(" not in key.source and not settings.tz_offsets
+        names.append(key.source if plain else f"__key_{i}")
+        if not plain:
+            derived[names[-1]] = column
+    rows = rows.withColumns(derived) if derived else rows
     return rows, [BRAND, STORE, *names] if settings.lineage_in_key else names
 
 
