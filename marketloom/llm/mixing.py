@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from marketloom.llm.common import WORD, blocks_for, numbered, store, uniform_hash
 
 SLOTS = 1 << 17
-ROWS_PER_BLOCK = 50_000
+ROWS_PER_BLOCK = 5_000
 WEIGHTS = (3, 1, 2)
 GOLDEN = 2_654_435_769  # 2^32 / phi: the points in whole numbers
 

@@ -27,7 +27,7 @@ from marketloom.llm.common import blocks_for, numbered, store, uniform_hash
 
 CAPACITY = 1024
 END = 2
-ROWS_PER_BLOCK = 50_000
+ROWS_PER_BLOCK = 5_000
 PIECE = "piece int, start long, length long, ids_crc32 long"
 
 
