@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 BLANKS = r"\x20\x09-\x0D"
 WORD = rf"[^{BLANKS}]+"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -21,10 +22,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared scratch folder and read it again; this cuts the lineage."""
+    """Write a table to the shared scratch folder and read it again; this cuts the lineage.
+
+    The shuffle files of the write are not needed any more when it has ended, so Spark is
+    told to remove them then, and not when the driver happens to collect its garbage.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -9,8 +9,11 @@ a group with a smaller document, so the most significant digits are handled as f
   so one row stands for a run of about sixteen suffixes; equal windows have equal anchors.
 * Second digit: the bytes that a run spans. Runs with the same gram and span are equal to
   full depth at once; all but those of the smallest document are repeated.
-* Last digit: where runs share the gram but not the span (the edges of a passage), and
-  only there, each suffix of the smallest document's run is sorted to full depth.
+* Third digit: where runs share the gram but not the span, a few hashed bits of the bytes
+  that all suffixes of the run's right (or left) half share. Grams that two documents
+  share by chance differ here.
+* Last digit: half runs that still share a group (the edges of a passage), and only these,
+  are sorted suffix by suffix to full depth.
 
 Groups of a digit are formed in each task first, and a task sends one row per group, so
 that a passage in a third of all documents does not pile up in one place.
@@ -37,24 +40,39 @@ LENGTH = 50
 GRAM = 20
 PIECE_BYTES = 1 << 20
 CHUNK = 1_200_000  # runs that a task groups at once
+HALF = 15  # suffixes that start at most so many bytes before the anchor are the right half
+SENT = 16  # runs of one gram that a task sends before it asks for full depth itself
 HIT, REQUEST, GROUP, MANY = 0, 1, 2, 3
 NO_ID = (1 << 63) - 1
 
 
-def packed(variant: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """Place of a run in one number: which text of the id, first suffix, suffixes."""
-    return (variant.astype(np.int64) << 48) | (start.astype(np.int64) << 8) | (count.astype(np.int64) << 2)
+def packed(variant: np.ndarray, start: np.ndarray, count: np.ndarray, ahead: np.ndarray) -> np.ndarray:
+    """Place of a run in one number: which text of the id, first suffix, bytes from there
+    to the anchor, suffixes, and two bits for the kind."""
+    return (variant.astype(np.int64) << 48) | (start << 13) | (ahead << 8) | (count << 2)
 
 
-def unpacked(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return (places >> 8) & ((1 << 40) - 1), (places >> 2) & 63
+def unpacked(places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First suffix, suffixes and bytes to the anchor."""
+    return (places >> 13) & ((1 << 35) - 1), (places >> 2) & 63, (places >> 8) & 31
+
+
+def halves(places: np.ndarray, right: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Places cut to the wanted halves of their runs."""
+    start, count, ahead = unpacked(places)
+    beyond = np.clip(ahead - HALF, 0, count)  # suffixes of the left half
+    skip = np.where(left, 0, beyond)
+    count = np.where(right, count, beyond) - skip
+    return packed(places >> 48, start + skip, count, np.maximum(ahead - skip, 0)) | REQUEST
 
 
 def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Runs of suffixes with one anchor: gram hash, span hash, row, first suffix, suffixes."""
+    """Runs of suffixes with one anchor: gram hash, span hash, row, first suffix,
+    suffixes, bytes to the anchor. The low bits of the span hash are twelve bits for the
+    right half and twelve for the left (0 where a half has no suffix)."""
     n, last = len(data), len(data) - LENGTH + 1
     if last <= 0:
-        return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
+        return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64, np.int64))
     up, down = powers(n + 1, BASE)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
@@ -76,8 +94,16 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     new = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
     first, count = at[new], np.diff(np.concatenate([new, [len(at)]]))
     row = np.searchsorted(offsets, first, side="right") - 1
-    span = span_hashes(data, first, first + count - 1 + LENGTH, BASE_2)
-    return mix(h[anchor[new]]), span, row, first - offsets[row], count
+    span = span_hashes(data, first, first + count - 1 + LENGTH, BASE_2) & np.uint64(2**64 - 2**24)
+    anchor = anchor[new]
+    ahead = anchor - first
+    has_right, has_left = ahead - count < HALF, ahead > HALF
+    for has, start, length, shift in (
+        (has_right, anchor, LENGTH - HALF, 12), (has_left, anchor - HALF - 1, GRAM + HALF + 1, 0)):
+        start = np.where(has, start, 0)
+        half = span_hashes(data, start, np.where(has, start + length, 0), BASE) % np.uint64(4095) + np.uint64(1)
+        span |= np.where(has, half, np.uint64(0)) << np.uint64(shift)
+    return mix(h[anchor]), span, row, first - offsets[row], count, ahead
 
 
 def _changes(*columns: np.ndarray) -> np.ndarray:
@@ -103,7 +129,7 @@ def _sorted_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hit = doc > _spread(_changes(gram, span), doc)
         new_gram = _changes(gram)
         group = np.cumsum(new_gram) - 1
-        many = (np.bincount(group, ~hit) > 1)[group] & ~hit
+        many = (np.bincount(group, ~hit) > SENT)[group] & ~hit
         kind = np.where(hit, HIT, np.where(many, REQUEST, GROUP))
         # Hits and requests are final here; they travel to anywhere.
         digit = np.where(kind == GROUP, gram, mix(place.view(np.uint64) ^ mix(doc.view(np.uint64))))
@@ -122,10 +148,10 @@ def _sorted_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = 0
     for batch in batches:
         for rows, data, offsets in pieces(batch, "text", PIECE_BYTES):
-            gram, span, row, start, count = runs(data, offsets)
+            gram, span, row, start, count, ahead = runs(data, offsets)
             doc = rows.column(rows.schema.names.index("doc")).to_numpy()[row]
             variant = rows.column(rows.schema.names.index("variant")).to_numpy()[row]
-            held.append((gram, span, doc, packed(variant, start, count)))
+            held.append((gram, span, doc, packed(variant, start, count, ahead)))
             size += len(gram)
             if size > CHUNK:
                 yield grouped()
@@ -148,6 +174,13 @@ def _complete(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa
         yield held
 
 
+def _shared(group: np.ndarray, half: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Rows whose half (not 0) occurs in several spans of the group."""
+    key = (group.astype(np.int64) << 12) | half.astype(np.int64)
+    found, inverse = np.unique(key, return_inverse=True)
+    return (np.bincount(inverse, first, len(found)) > 1)[inverse] & (half != 0)
+
+
 def _joined_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Join what tasks sent of a gram: hits of larger documents, requests where spans differ."""
     for table in _complete((b for b in batches if b.num_rows), ["digit"]):
@@ -160,11 +193,12 @@ def _joined_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(digit):
             new = _changes(digit, span, mark)
             group = np.cumsum(_changes(digit)) - 1
-            kinds = np.bincount(group, new & ~mark)
-            many = (kinds > 1) | (np.bincount(group, mark) > 0)
+            all_of_it = (np.bincount(group, mark) > 0)[group]
             hit = ~mark & (doc > _spread(new, doc))
-            ask = ~mark & ~hit & many[group]
-            out += [(doc[hit], (place[hit] & ~3) | HIT), (doc[ask], (place[ask] & ~3) | REQUEST)]
+            rest = ~mark & ~hit
+            several = [all_of_it | _shared(group, (span.view(np.uint64) >> np.uint64(shift)) % np.uint64(4096), new & ~mark) for shift in (12, 0)]
+            ask = rest & (several[0] | several[1])
+            out += [(doc[hit], (place[hit] & ~3) | HIT), (doc[ask], halves(place[ask], several[0][ask], several[1][ask]))]
         doc, place = (np.concatenate(x) for x in zip(*out))
         yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(place)], names=["doc", "place"])
 
@@ -193,14 +227,14 @@ def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         data, offsets = buffers(batch.column(batch.schema.names.index("text")))
         for i, (doc, wanted) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1))):
             places = np.sort(wanted.values.to_numpy())
-            start, count = unpacked(places)
+            start, count, _ = unpacked(places)
             at = np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
             text = data[offsets[i] : offsets[i + 1]]
             variant = np.repeat(places >> 48, count)
             ends = at + LENGTH
             held.append((
                 span_hashes(text, at, ends, BASE), span_hashes(text, at, ends, BASE_2),
-                np.full(len(at), doc, np.int64), packed(variant, at, np.ones(len(at), np.int64))))
+                np.full(len(at), doc, np.int64), packed(variant, at, np.ones(len(at), np.int64), np.zeros(len(at), np.int64))))
             size += len(at)
             if size > CHUNK:
                 yield grouped()
@@ -249,7 +283,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text = data[offsets[i] : offsets[i + 1]]
             gone = np.zeros(len(text), bool)
             if places.is_valid:
-                start, count = unpacked(places.values.to_numpy())
+                start, count, _ = unpacked(places.values.to_numpy())
                 edge = np.zeros(len(text) + 1, np.int32)
                 np.add.at(edge, start, 1)
                 np.add.at(edge, start + count - 1 + LENGTH, -1)
