@@ -10,8 +10,10 @@
    unbounded group. In a group, sketches are compared and links form a maximum
    spanning forest: fewer links than members, not all pairs.
 4. These candidates are confirmed on the full sets, and components are built. A second
-   pass takes every remaining sketch match whose two ends are still in different
-   components and confirms those too, so no link between components is lost.
+   pass takes every member that still has a sketch match in another component, brings
+   the texts of those members into the groups, compares full sets there, and returns one
+   link for each two components it joins. No link between components is lost, and what
+   is sent grows with the members of a group, not with its pairs.
 
 With the defaults, a pair of similarity 0.85 shares no band with a chance of 3e-7, and
 its sketches differ in more than ``most_bits`` bits with a chance of about 1e-6.
@@ -34,7 +36,7 @@ from marketloom.llm.textnum import mix, pieces, shingle_sets, signed
 WIDTH = 5
 BANDS, ROWS = 26, 5
 BITS = 512
-BLOCK = 1000
+BLOCK = 1500
 SIGNATURE = "n_shingles long, set_a long, set_b long, bands array<long>, sketch binary"
 
 
@@ -114,69 +116,137 @@ def _forest(sketch: np.ndarray, size: np.ndarray, limit: int, ratio: float) -> l
     return out
 
 
-def _across(sketch: np.ndarray, size: np.ndarray, comp: np.ndarray, limit: int, ratio: float) -> list[tuple[int, int]]:
-    """All sketch matches in a group whose ends are in different components."""
-    out = []
+def _fits(sketch: np.ndarray, size: np.ndarray, i: int, rest: np.ndarray, limit: int, ratio: float) -> np.ndarray:
+    """Those of ``rest`` whose sketch and size match member ``i``."""
+    differ = np.bitwise_count(sketch[rest] ^ sketch[i]).sum(axis=1)
+    return rest[(differ <= limit) & (np.minimum(size[rest], size[i]) >= ratio * np.maximum(size[rest], size[i]))]
+
+
+def _crossing(sketch: np.ndarray, size: np.ndarray, comp: np.ndarray, limit: int, ratio: float) -> np.ndarray:
+    """Members of a group with a sketch match in another component."""
+    taken = np.zeros(len(sketch), bool)
     for i in range(len(sketch) - 1):
-        rest = np.flatnonzero(comp[i + 1 :] != comp[i]) + i + 1
-        if len(rest):
-            differ = np.bitwise_count(sketch[rest] ^ sketch[i]).sum(axis=1)
-            fits = (differ <= limit) & (np.minimum(size[rest], size[i]) >= ratio * np.maximum(size[rest], size[i]))
-            out += [(i, int(j)) for j in rest[fits]]
+        found = _fits(sketch, size, i, np.flatnonzero(comp[i + 1 :] != comp[i]) + i + 1, limit, ratio)
+        if len(found):
+            taken[i] = taken[found] = True
+    return np.flatnonzero(taken)
+
+
+def _joins(sets: list[np.ndarray], sketch: np.ndarray, size: np.ndarray, comp: np.ndarray, limit: int, ratio: float) -> list[tuple[int, int]]:
+    """Links on full sets that join components of a group; further ones between joined
+    components are left out."""
+    ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    starts = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    percent, mark, comp, out = round(100 * ratio), np.zeros(len(ids), bool), comp.copy(), []
+    for i in range(len(sets) - 1):
+        rest = _fits(sketch, size, i, np.flatnonzero(comp[i + 1 :] != comp[i]) + i + 1, limit, ratio)
+        if not len(rest):
+            continue
+        mine = ids[starts[i] : starts[i + 1]]
+        mark[mine] = True
+        for j in rest:
+            if comp[j] != comp[i]:
+                both = int(mark[ids[starts[j] : starts[j + 1]]].sum())
+                if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                    out.append((i, int(j)))
+                    comp[comp == comp[j]] = comp[i]
+        mark[mine] = False
     return out
 
 
-def candidates(classes: DataFrame, similarity: float, across: bool) -> DataFrame:
-    """Pairs (u, v) of classes to confirm, from buckets of equal band keys.
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Sorted batches, cut so that groups (key, i, j) are whole, and where groups begin."""
+    held: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        held = table if held is None else pa.concat_tables([held, table])
+        ids = [held[c].to_numpy() for c in ("key", "i", "j")]
+        change = np.flatnonzero(np.any([x[1:] != x[:-1] for x in ids], axis=0)) + 1
+        if len(change):
+            yield held.slice(0, int(change[-1])), np.concatenate([[0], change[:-1]])
+            held = held.slice(int(change[-1]))
+    if held is not None and held.num_rows:
+        yield held, np.array([0, held.num_rows])
 
-    ``classes`` has ``rep``, ``n_shingles``, ``bands``, ``sketch`` and, with ``across``,
-    ``comp``; buckets that lie inside one component are then left out.
-    """
-    limit = most_bits(similarity)
-    comp = F.col("comp") if across else F.col("rep")
-    slim = classes.select(F.explode("bands").alias("key"), "rep", comp.alias("comp"))
+
+def _columns(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(-1, BITS // 64)
+    return table["rep"].to_numpy(), table["comp"].to_numpy(), table["n_shingles"].to_numpy(), sketch
+
+
+def _links(rep: np.ndarray, found: list[tuple[int, int]]) -> pa.RecordBatch:
+    ends = [(max(rep[x], rep[y]), min(rep[x], rep[y])) for x, y in found if rep[x] != rep[y]]
+    return pa.RecordBatch.from_arrays([pa.array([e[k] for e in ends], pa.int64()) for k in (0, 1)], names=["u", "v"])
+
+
+def grouped(classes: DataFrame) -> DataFrame:
+    """Members of buckets that hold at least two components, by pairs of blocks."""
+    slim = classes.select(F.explode("bands").alias("key"), "rep", "comp")
     crowded = slim.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("a"), F.max("comp").alias("b"))
     crowded = crowded.where("a < b").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     # Only members of crowded buckets carry their sketch through the shuffle.
     members = slim.join(crowded, "key").join(classes.select("rep", "n_shingles", "sketch"), "rep")
     own = F.pmod(F.xxhash64(F.lit(5), "rep"), F.col("blocks")).cast("int")
     members = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    members = members.select(
+    return dealt(members.select(
         "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
         "rep", "comp", "n_shingles", "sketch",
-    )
-    dealt = members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "rep")
+    ))
+
+
+def dealt(members: DataFrame) -> DataFrame:
+    return members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "rep")
+
+
+def candidates(classes: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (u, v) of classes to confirm: forests of the sketch matches in each group."""
+    limit = most_bits(similarity)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(table: pa.Table, bounds: np.ndarray) -> pa.RecordBatch:
-            rep = table["rep"].to_numpy()
-            comp = table["comp"].to_numpy()
-            size = table["n_shingles"].to_numpy()
-            sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(-1, BITS // 64)
-            u, v = [], []
-            for a, b in zip(bounds[:-1], bounds[1:]):
+        for table, begins in _groups(batches):
+            rep, _, size, sketch = _columns(table)
+            found = []
+            for a, b in zip(begins, np.append(begins[1:], table.num_rows)):
                 if b - a > 1:
-                    part = (sketch[a:b], size[a:b])
-                    found = _across(*part, comp[a:b], limit, similarity) if across else _forest(*part, limit, similarity)
-                    for x, y in found:
-                        if rep[a + x] != rep[a + y]:
-                            u.append(max(rep[a + x], rep[a + y]))
-                            v.append(min(rep[a + x], rep[a + y]))
-            return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
-
-        held: pa.Table | None = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
-            ids = [held[c].to_numpy() for c in ("key", "i", "j")]
-            change = np.flatnonzero(np.any([x[1:] != x[:-1] for x in ids], axis=0)) + 1
-            if len(change):
-                yield pairs(held, np.concatenate([[0], change]))
-                held = held.slice(int(change[-1]))
-        if held is not None and held.num_rows:
-            yield pairs(held, np.array([0, held.num_rows]))
+                    found += [(a + x, a + y) for x, y in _forest(sketch[a:b], size[a:b], limit, similarity)]
+            yield _links(rep, found)
+
+    return grouped(classes.withColumn("comp", F.col("rep"))).mapInArrow(compare, "u long, v long").distinct()
 
-    return dealt.mapInArrow(compare, "u long, v long").distinct()
+
+def crossing_links(classes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+    """Confirmed links (u, v) between classes whose components (``comp``) differ."""
+    limit = most_bits(similarity)
+    members = grouped(classes)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, begins in _groups(batches):
+            _, comp, size, sketch = _columns(table)
+            rows = []
+            for a, b in zip(begins, np.append(begins[1:], table.num_rows)):
+                if b - a > 1:
+                    rows.append(a + _crossing(sketch[a:b], size[a:b], comp[a:b], limit, similarity))
+            taken = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+            yield from table.take(pa.array(taken, pa.int64())).combine_chunks().to_batches()
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, begins in _groups(batches):
+            rep, comp, size, sketch = _columns(table)
+            found = []
+            for a, b in zip(begins, np.append(begins[1:], table.num_rows)):
+                rows = table.slice(int(a), int(b - a)).select(["text"]).combine_chunks().to_batches()
+                sets = [x for batch in rows for _, d, o in pieces(batch) for x in shingle_sets(d, o, WIDTH)]
+                found += [(a + x, a + y) for x, y in _joins(sets, sketch[a:b], size[a:b], comp[a:b], limit, similarity)]
+            yield _links(rep, found)
+
+    kept = store(members.mapInArrow(pick, members.schema), "crossing")
+    texts = texts_of(docs, kept.select("rep").distinct())
+    return dealt(kept.join(texts, "rep")).mapInArrow(join, "u long, v long")
+
+
+def texts_of(docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """Texts (rep, text) of the wanted documents; both sides may be large."""
+    return docs.join(reps.hint("merge"), docs["doc_id"] == reps["rep"]).select("rep", "text")
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
@@ -221,18 +291,14 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.85, id_col: str = "do
         "bands",
     )
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select("u").union(pairs.select("v")).distinct().withColumnRenamed("u", "rep")
-        texts = docs.join(ends, docs["doc_id"] == ends["rep"]).select("rep", "text")
-        return store(confirm(pairs, texts, similarity), "confirmed")
-
-    tried = store(candidates(classes, similarity, across=False), "tried")
-    links = confirmed(tried)
+    tried = store(candidates(classes, similarity), "tried")
+    ends = tried.select(F.col("u").alias("rep")).union(tried.select("v")).distinct()
+    links = store(confirm(tried, store(texts_of(docs, ends), "texts"), similarity), "confirmed")
     first = components(links)
     labelled = classes.join(first, classes["rep"] == first["node"], "left").withColumn("comp", F.coalesce("component", "rep"))
-    more = store(candidates(labelled, similarity, across=True).join(tried, ["u", "v"], "left_anti"), "across")
+    more = store(crossing_links(labelled.drop("node", "component"), docs, similarity), "across")
     if more.limit(1).count():
-        first = components(links.union(confirmed(more)))
+        first = components(links.union(more))
     # A class goes by its smallest id; ids that occur with several texts join classes.
     members = rows.join(reps, digest, "left").select(rows["doc_id"], rows["n_shingles"], "rep")
     shared = named.groupBy("doc_id").agg(F.min(F.struct(*digest)).alias("x"), F.max(F.struct(*digest)).alias("y")).where("x <> y")

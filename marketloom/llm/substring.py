@@ -29,7 +29,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -205,22 +204,19 @@ def _joined_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Last digit inside a task: all suffixes of the requested runs, to full depth."""
-    names = ["a", "b", "doc", "places", "hit"]
     held: list[tuple[np.ndarray, ...]] = []
 
     def grouped() -> pa.RecordBatch:
         a, b, doc, place = (np.concatenate(x) for x in zip(*held))
-        order = np.lexsort((place, doc, b, a))
+        order = np.lexsort((doc, b, a))
         a, b, doc, place = a[order], b[order], doc[order], place[order]
-        new = _changes(a, b, doc)
         hit = doc > _spread(_changes(a, b), doc)
-        at = np.flatnonzero(new)
-        lists = pa.ListArray.from_arrays(pa.array(np.append(at, len(a)), pa.int32()), pa.array(place))
-        hit = hit[at]
         # Hits are final here; they travel to anywhere.
-        anywhere = mix(doc[at].view(np.uint64) ^ a[at])
+        a = np.where(hit, place.view(np.uint64) >> np.uint64(13) & np.uint64(1023), a)
+        place = place | np.where(hit, HIT, GROUP)
         return pa.RecordBatch.from_arrays(
-            [signed(np.where(hit, anywhere, a[at])), signed(b[at]), pa.array(doc[at]), lists, pa.array(hit)], names=names)
+            [signed(a), pa.array(np.where(hit, 0, b).astype(np.int32)), pa.array(doc), pa.array(place)],
+            names=["a", "b", "doc", "place"])
 
     size = 0
     for batch in batches:
@@ -233,7 +229,7 @@ def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             variant = np.repeat(places >> 48, count)
             ends = at + LENGTH
             held.append((
-                span_hashes(text, at, ends, BASE), span_hashes(text, at, ends, BASE_2),
+                span_hashes(text, at, ends, BASE), span_hashes(text, at, ends, BASE_2) >> np.uint64(33),
                 np.full(len(at), doc, np.int64), packed(variant, at, np.ones(len(at), np.int64), np.zeros(len(at), np.int64))))
             size += len(at)
             if size > CHUNK:
@@ -245,15 +241,15 @@ def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def _joined_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table in _complete((b for b in batches if b.num_rows), ["a", "b"]):
-        a, b, doc = (table[c].to_numpy() for c in ("a", "b", "doc"))
-        final = table["hit"].to_numpy()
-        hit = (doc > _spread(_changes(a, b, final), doc)) | final
-        places = table["places"].combine_chunks()
-        lengths = pc.list_value_length(places).to_numpy(zero_copy_only=False)
-        chosen = np.repeat(hit, lengths)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(doc, lengths)[chosen]), pa.array(pc.list_flatten(places).to_numpy()[chosen])],
-            names=["doc", "place"])
+        a, b, doc, place = (table[c].to_numpy() for c in ("a", "b", "doc", "place"))
+        final = (place & 3) == HIT
+        out = [(doc[final], place[final])]
+        a, b, doc, place = a[~final], b[~final], doc[~final], place[~final]
+        if len(a):
+            hit = doc > _spread(_changes(a, b), doc)
+            out.append((doc[hit], place[hit] & ~3))
+        doc, place = (np.concatenate(x) for x in zip(*out))
+        yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(place)], names=["doc", "place"])
 
 
 def _variants(docs: DataFrame) -> DataFrame:
@@ -310,8 +306,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     found = store(dealt.mapInArrow(_joined_runs, "doc long, place long"), "runs")
     kind = F.col("place").bitwiseAND(3)
     asked = _with_places(texts, found.where(kind == REQUEST), "inner")
-    windows = asked.mapInArrow(_sorted_windows, "a long, b long, doc long, places array<long>, hit boolean")
-    windows = windows.repartition("a").sortWithinPartitions("a", "b", "hit", "doc")
+    windows = asked.mapInArrow(_sorted_windows, "a long, b int, doc long, place long")
+    windows = windows.repartition("a").sortWithinPartitions("a", "b", "doc")
     more = store(windows.mapInArrow(_joined_windows, "doc long, place long"), "windows")
     hits = found.where(kind == HIT).union(more)
     out = _with_places(texts, hits, "left").mapInArrow(
