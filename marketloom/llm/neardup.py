@@ -166,7 +166,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.nd
             yield held.slice(0, int(change[-1])), np.concatenate([[0], change[:-1]])
             held = held.slice(int(change[-1]))
     if held is not None and held.num_rows:
-        yield held, np.array([0, held.num_rows])
+        yield held, np.array([0])
 
 
 def _columns(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
