@@ -153,13 +153,16 @@ class CountFilter:
 
     @staticmethod
     def positions(grams: np.ndarray, level: int, segment_bits: int) -> Iterator[np.ndarray]:
-        """Probes of a level, inside the segment of the gram's bucket."""
+        """Probes of a level, inside the segment of the gram's bucket (below 2^32 bits)."""
         start = (grams >> np.uint64(56)) * np.uint64(segment_bits)
         h = mix(grams + np.uint64(level * BASE_2 % 2**64))
         step = (h >> np.uint64(32)) | np.uint64(1)
-        low = h & np.uint64(0xFFFFFFFF)
-        for i in range(PROBES):
-            yield start + (low + np.uint64(i) * step) % np.uint64(segment_bits)
+        for _ in range(PROBES):
+            yield start + ((h & np.uint64(0xFFFFFFFF)) * np.uint64(segment_bits) >> np.uint64(32))
+            h = h + step
+
+    def set_bits(self, at: np.ndarray) -> np.ndarray:
+        return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
     def counts(self, grams: np.ndarray) -> np.ndarray:
         """Mean training count of the level that each gram is found at; 0 if not found."""
@@ -167,9 +170,12 @@ class CountFilter:
         alive = np.arange(len(grams))
         for q in range(self.first, len(self.means)):
             g = grams[alive]
+            # Most n-grams end at the first probe; only the others make the rest.
+            first = next(self.positions(g, q, self.segment_bits))
+            alive, g = (x[self.set_bits(first)] for x in (alive, g))
             found = np.ones(len(g), bool)
             for at in self.positions(g, q, self.segment_bits):
-                found &= (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+                found &= self.set_bits(at)
             alive = alive[found]
             level[alive] = q
             if not len(alive):
