@@ -42,6 +42,7 @@ CHUNK = 1_200_000  # runs that a task groups at once
 HALF = 15  # suffixes that start at most so many bytes before the anchor are the right half
 SENT = 16  # runs of one gram that a task sends before it asks for full depth itself
 HIT, REQUEST, GROUP, MANY = 0, 1, 2, 3
+TWINS = 1  # kind of a hit that holds for all equal suffixes of its document
 NO_ID = (1 << 63) - 1
 
 
@@ -211,6 +212,11 @@ def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         order = np.lexsort((doc, b, a))
         a, b, doc, place = a[order], b[order], doc[order], place[order]
         hit = doc > _spread(_changes(a, b), doc)
+        # Of equal suffixes of one document the first is sent, and stands for its twins.
+        first = _changes(a, b, doc)
+        twins = (np.bincount(np.cumsum(first) - 1) > 1)[np.cumsum(first) - 1] & ~hit
+        keep = first | hit
+        a, b, doc, hit, place = a[keep], b[keep], doc[keep], hit[keep], (place | (twins.astype(np.int64) << 8))[keep]
         # Hits are final here; they travel to anywhere.
         a = np.where(hit, place.view(np.uint64) >> np.uint64(13) & np.uint64(1023), a)
         place = place | np.where(hit, HIT, GROUP)
@@ -247,7 +253,8 @@ def _joined_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         a, b, doc, place = a[~final], b[~final], doc[~final], place[~final]
         if len(a):
             hit = doc > _spread(_changes(a, b), doc)
-            out.append((doc[hit], place[hit] & ~3))
+            twins = (place[hit] >> 8) & 1
+            out.append((doc[hit], (place[hit] & ~0x103) | (twins * TWINS)))
         doc, place = (np.concatenate(x) for x in zip(*out))
         yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(place)], names=["doc", "place"])
 
@@ -279,7 +286,14 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text = data[offsets[i] : offsets[i + 1]]
             gone = np.zeros(len(text), bool)
             if places.is_valid:
-                start, count, _ = unpacked(places.values.to_numpy())
+                places = places.values.to_numpy()
+                start, count, _ = unpacked(places)
+                twins = start[(places & 3) == TWINS]
+                if len(twins):
+                    every = np.arange(len(text) - LENGTH + 1)
+                    h = span_hashes(text, every, every + LENGTH, BASE)
+                    more = every[np.isin(h, h[twins])]
+                    start, count = np.append(start, more), np.append(count, np.ones(len(more), np.int64))
                 edge = np.zeros(len(text) + 1, np.int32)
                 np.add.at(edge, start, 1)
                 np.add.at(edge, start + count - 1 + LENGTH, -1)
