@@ -26,8 +26,8 @@ BASES = {
     "m05_delivery_defect_on_request": LINE,
     "m15_reconciliation": LINE,
     "m12_orders": ("orders", "o_orderkey", "true"),
-    "m18_returns": ("lineitem", "l_orderkey", "l_returnflag = 'R'"),
-    "m19_returns_order_lines": ("lineitem", "l_orderkey", "l_returnflag = 'R'"),
+    "m18_returns": ("lineitem", "l_orderkey", "true"),
+    "m19_returns_order_lines": ("lineitem", "l_orderkey", "true"),
 }
 ITEM = ("part", "p_partkey", "true")
 
@@ -60,7 +60,8 @@ class Spark:
         return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in fields) + ")"
 
     def array(self, size, index, element):
-        return f"transform(slice(sequence(1, 4), 1, cast({size} as int)), {index} -> {element})"
+        indexes = f"if({size} > 0, sequence(1, cast({size} as int)), array())"
+        return f"transform({indexes}, {index} -> {element})"
 
 
 class Duck:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketloom.functions import as_date
 
@@ -16,6 +17,12 @@ RATE_TYPE = "decimal(38,9)"
 RATE_PIECES = 256
 
 
+def _rate_type(rates: DataFrame) -> T.DataType | str:
+    """Numbers keep their own type, and with it all their digits; text becomes decimal."""
+    given = rates.schema["value"].dataType
+    return given if isinstance(given, T.NumericType) else RATE_TYPE
+
+
 def _rate_table(rates: DataFrame, base_currency: str | None) -> DataFrame:
     if base_currency is not None:
         rates = rates.where(F.col("from_currency_code") == base_currency)
@@ -23,7 +30,7 @@ def _rate_table(rates: DataFrame, base_currency: str | None) -> DataFrame:
         F.col("date").cast("date").alias("__rate_date"),
         F.col("from_currency_code").alias("__rate_from"),
         F.col("to_currency_code").alias("__rate_to"),
-        F.col("value").cast(RATE_TYPE).alias("__rate_value"),
+        F.col("value").cast(_rate_type(rates)).alias("__rate_value"),
     )
 
 
@@ -32,8 +39,9 @@ def one_rate_per_day(rates: DataFrame) -> DataFrame:
     best = F.min_by(
         F.struct("from_currency_code", "value"), F.struct("from_currency_code", "value")
     )
+    days = rates.withColumn("date", F.col("date").cast("date"))
     return (
-        rates.groupBy("date", "to_currency_code")
+        days.groupBy("date", "to_currency_code")
         .agg(best.alias("best"))
         .select("date", "to_currency_code", "best.from_currency_code", "best.value")
     )
@@ -49,7 +57,7 @@ def attach_exchange_rate(
 ) -> DataFrame:
     """Left join of the day's rate to each row's currency.
 
-    A row without a rate gets rate 1 and its own currency code; several source
+    Numeric rates keep their type. A row without a rate gets rate 1 and its own currency code; several source
     currencies for one day and target multiply the row, unless ``base_currency``
     restricts them. The rates are counted, up to the limit, to decide whether they may
     be broadcast; beyond it the rows are salted and the rates copied once per salt.
@@ -73,7 +81,7 @@ def attach_exchange_rate(
         )
     return joined.select(
         *[F.col(name) for name in df.columns],
-        F.coalesce("__rate_value", F.lit(1).cast(RATE_TYPE)).alias(RATE),
+        F.coalesce("__rate_value", F.lit(1).cast(_rate_type(rates))).alias(RATE),
         F.coalesce("__rate_from", "__fx_local").alias(CODE),
     )
 
@@ -88,8 +96,9 @@ def without_exchange_rate(df: DataFrame, currency_col: Column | str | None) -> D
 
 
 def convert_amounts(df: DataFrame, columns: list[str], suffix: str = "_converted") -> DataFrame:
-    """Local amounts divided by the attached rate, next to the originals."""
-    rate = F.col(RATE).cast("double")
+    """Local amounts divided by the attached rate, next to the originals; a rate of zero
+    converts nothing and gives NULL."""
+    rate = F.when(F.col(RATE) != 0, F.col(RATE).cast("double"))
     return df.withColumns(
         {name + suffix: F.col(name).cast("double") / rate for name in columns}
     )

@@ -326,11 +326,17 @@ def run_all(
     rates: DataFrame | None = None,
     settings: Settings = Settings(),
     concurrent: int = 4,
+    full_refresh: bool = False,
+    null_safe: bool = False,
+    strict: bool = False,
 ) -> None:
     """Load several feeds; they are independent, so a few jobs are submitted at a time."""
     with ThreadPoolExecutor(max_workers=concurrent) as pool:
         jobs = [
-            pool.submit(run, spark, spec, registry, targets[spec.name], rates, settings)
+            pool.submit(
+                run, spark, spec, registry, targets[spec.name], rates, settings,
+                full_refresh, null_safe, strict,
+            )
             for spec in specs
         ]
         for job in jobs:

@@ -7,7 +7,6 @@ partition field. Reading a table drops it, so a round trip gives the same column
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from dataclasses import dataclass
 from functools import reduce
@@ -33,10 +32,8 @@ class Sink:
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder name below the shared folder of the cluster (local only if unset)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="marketloom-")
+    """A new folder name below the shared folder of the cluster, or below the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/marketloom-{uuid.uuid4().hex}"
 
 
@@ -57,10 +54,24 @@ def _delete(spark: SparkSession, path: str) -> None:
     files.delete(location, True)
 
 
+def _beside(path: str, what: str) -> str:
+    """A new folder next to the table, on the same file system."""
+    return f"{path.rstrip('/')}--{what}-{uuid.uuid4().hex}"
+
+
 def exists(spark: SparkSession, path: str) -> bool:
-    """True for a table whose first write was committed."""
-    files, location = _hadoop(spark, f"{path}/_SUCCESS")
-    return files.exists(location)
+    """True for a table with data files, whether or not its writer left a marker.
+
+    A table appears by one move of a complete folder, so files mean a whole table.
+    """
+    files, location = _hadoop(spark, path)
+    if not files.exists(location):
+        return False
+    found = files.listFiles(location, True)
+    while found.hasNext():
+        if found.next().getPath().getName().endswith(".parquet"):
+            return True
+    return files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS"))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -87,8 +98,32 @@ def layout(df: DataFrame, sink: Sink) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, sink: Sink) -> None:
-    """Write the whole table, replacing what is there. ``path`` must not be an input."""
-    layout(df, sink).write.mode("overwrite").partitionBy(PART).parquet(path)
+    """Write the whole table, replacing what is there.
+
+    The new table is written next to the old one and moved in when it is complete; a run
+    that fails leaves the old table as it was.
+    """
+    spark = df.sparkSession
+    staged, old = _beside(path, "new"), _beside(path, "old")
+    files, location = _hadoop(spark, path)
+    as_path = spark._jvm.org.apache.hadoop.fs.Path
+    try:
+        (
+            layout(df, sink)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(PART)
+            .parquet(staged)
+        )
+        if files.exists(location):
+            files.rename(location, as_path(old))
+        files.mkdirs(location.getParent())
+        if not files.rename(as_path(staged), location):
+            files.rename(as_path(old), location)
+            raise OSError(f"cannot move the new table to {path}")
+    finally:
+        _delete(spark, staged)
+    _delete(spark, old)
 
 
 def _touched_parts(
@@ -102,18 +137,16 @@ def _touched_parts(
         names = {key: f"__touched_{i}" for i, key in enumerate(keys)}
         wanted = updates.select(*[F.col(k).alias(n) for k, n in names.items()]).distinct()
         slim = target.select(*keys, F.col(PART).cast("date").alias(PART))
-        # Distinct before the join: one row per key and day is all that has to move.
-        found = slim.distinct().join(
-            wanted, key_condition(slim, wanted, names, null_safe), "left_semi"
-        )
+        found = slim.join(wanted, key_condition(slim, wanted, names, null_safe), "left_semi")
         parts = parts.union(found.select(PART))
     return [row[0] for row in parts.distinct().collect()]  # days: some thousands
 
 
 def _in_parts(values: list) -> Column:
-    present = [F.col(PART) == F.lit(value) for value in values if value is not None]
-    absent = [F.col(PART).isNull()] if None in values else []
-    return reduce(Column.__or__, present + absent, F.lit(False))
+    """One membership test, however many days are touched."""
+    present = [value for value in values if value is not None]
+    inside = F.col(PART).isin(present) if present else F.lit(False)
+    return inside | F.col(PART).isNull() if None in values else inside
 
 
 def upsert(
@@ -133,9 +166,19 @@ def upsert(
     its rows is removed last. Repeating an interrupted run gives the same table.
     """
     spark = updates.sparkSession
-    staged = scratch_folder(spark)
-    updates.write.parquet(staged)
-    updates = spark.read.parquet(staged)
+    staged = _beside(path, "updates")
+    try:
+        updates.write.mode("overwrite").parquet(staged)
+        _merge_staged(spark.read.parquet(staged), path, keys, sink, null_safe, strict, hot_rows)
+    finally:
+        _delete(spark, staged)
+
+
+def _merge_staged(
+    updates: DataFrame, path: str, keys: list[str], sink: Sink,
+    null_safe: bool, strict: bool, hot_rows: int | None,
+) -> None:
+    spark = updates.sparkSession
     target = spark.read.parquet(path)
     parts = _touched_parts(target, updates, keys, sink, null_safe)
     folders = [f"{path}/{PART}={NULL_FOLDER if v is None else v}" for v in parts]
@@ -153,7 +196,6 @@ def upsert(
     for folder, names in before.items():
         if names and names == _file_names(spark, folder):
             _delete(spark, folder)
-    _delete(spark, staged)
 
 
 def merge_into_table(updates: DataFrame, table: str, keys: list[str], null_safe: bool = False) -> None:

@@ -72,5 +72,6 @@ def tag_source(
     brand, store = brand_and_store(table.name, settings)
     tags = {BRAND: F.lit(brand), STORE: F.lit(store), SOURCE: F.lit(table.full_name)}
     if settings.tz_offsets:
-        tags[HOURS] = F.lit(settings.tz_offsets.get(table.name, 0))
+        offsets = settings.tz_offsets  # by full name first: schemas may share table names
+        tags[HOURS] = F.lit(offsets.get(table.full_name, offsets.get(table.name, 0)))
     return df.select(*raw_columns, *lineage.names).withColumns(tags)

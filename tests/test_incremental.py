@@ -124,3 +124,43 @@ def test_merge_statement_needs_a_row_level_format(spark, updates):
     with pytest.raises(PySparkException, match="UNSUPPORTED_FEATURE|MERGE"):
         merge_into_table(updates, "merged.plain", ["k"])
     spark.sql("drop database merged cascade")
+
+
+def test_upsert_over_very_many_days(spark, tmp_path):
+    days = spark.range(700).select(
+        F.col("id").cast("int").alias("k"),
+        F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("day"),
+        F.lit("old").alias("x"),
+    )
+    path = str(tmp_path / "many")
+    write_table(days, path, DAILY)
+    upsert(days.withColumn("x", F.lit("new")), path, ["k"], DAILY)
+    assert read_table(spark, path).groupBy("x").count().collect() == [("new", 700)]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["many"]
+
+
+def test_table_without_marker_exists(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(dated(spark, (1, "2024-01-01", "a")), path, DAILY)
+    (tmp_path / "t" / "_SUCCESS").unlink()
+    assert exists(spark, path)
+
+
+def test_full_refresh_leaves_no_old_day(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_table(dated(spark, (1, "2024-01-01", "a"), (2, "2024-01-02", "b")), path, DAILY)
+        write_table(dated(spark, (3, "2024-01-03", "c")), path, DAILY)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert rows(read_table(spark, path)) == [("3", "2024-01-03", "c")]
+
+
+def test_failed_refresh_keeps_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(dated(spark, (1, "2024-01-01", "a")), path, DAILY)
+    broken = dated(spark, (2, "2024-01-02", "b")).withColumn("x", F.raise_error(F.lit("stop")).cast("string"))
+    with pytest.raises(Exception, match="stop"):
+        write_table(broken, path, DAILY)
+    assert rows(read_table(spark, path)) == [("1", "2024-01-01", "a")]

@@ -197,3 +197,14 @@ def test_scalars(spark):
     assert tuple(row) == ("Canada", "zz", None, dt.datetime(2024, 2, 1, 0, 30))
     with pytest.raises(ValueError):
         datetime_add("d", 1, "fortnight")
+
+
+def test_rates_keep_their_digits_and_days(spark):
+    rates = spark.sql(
+        "select timestamp'2024-01-01 05:00:00' as date, 'USD' as from_currency_code,"
+        " 'CAD' as to_currency_code, 0.0000157123456789D as value"
+        " union all select timestamp'2024-01-01 09:00:00', 'USD', 'CAD', 0.5D"
+    )
+    sold = spark.sql("select date'2024-01-01' as t, 'CAD' as cur")
+    got = attach_exchange_rate(sold, one_rate_per_day(rates), "t", "cur").collect()
+    assert [row.exchange_currency_rate for row in got] == [0.0000157123456789]
