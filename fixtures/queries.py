@@ -9,7 +9,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fixtures.oracle import RENDERED, pipeline_sql
+from fixtures.oracle import RENDERED, nested_type, pipeline_sql, rendered
 from fixtures.raw import (
     BATCHES,
     RATES_SQL,
@@ -37,7 +37,6 @@ from marketloom.operators import (
     latest,
     read_json,
     shift_timezone,
-    unnest,
     unnest_path,
     unnest_variant,
     without_exchange_rate,
@@ -77,8 +76,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def render(name: str, df: DataFrame) -> DataFrame:
     """Nested columns that pass through, as text for the comparison."""
     texts = {
-        column: F.coalesce(F.array_join(F.col(column).getField(field), ","), F.lit(""))
-        for column, field in RENDERED.get(name, {}).items()
+        column: F.expr(rendered(nested_type(name, column), f"`{column}`", duck=False))
+        for column in RENDERED.get(name, ())
     }
     return df.withColumns(texts) if texts else df
 
@@ -118,10 +117,7 @@ def incremental(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return render(name, read_table(spark, target))
 
 
-for _name in (
-    "m01_buy_box", "m06_inventory", "m08_item_performance", "m12_orders", "m14_promotions",
-    "m18_returns", "m19_returns_order_lines", "m25_unpublished_items",
-):
+for _name in SPECS:
     _fx = SPECS[_name].fx is not None
     query(
         merged_sql(
@@ -148,7 +144,10 @@ def json_inner(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-for _name in ("m06_inventory", "m12_orders", "m25_unpublished_items", "m26_wfs_inventory"):
+for _name in (
+    "m06_inventory", "m12_orders", "m18_returns", "m19_returns_order_lines",
+    "m25_unpublished_items", "m26_wfs_inventory",
+):
     query(pipeline_sql(_name, outer=False), f"{_name}_json_inner")(partial(json_inner, _name))
 
 
@@ -192,6 +191,17 @@ def src_schema_filter(spark, sf_dir):
     return discover(listing(spark, sf_dir), "%mkt%report%", schema="BUILDING")
 
 
+SPARSE = "m06_inventory"
+
+
+@query(pipeline_sql(SPARSE, replace="case when s_brand = 'Acme' then nodes end as nodes"))
+def src_missing_column(spark, sf_dir):
+    """One store delivers its table without a declared column."""
+    frames = {source_name(SPARSE, b): raw_frame(spark, sf_dir, SPARSE, b) for b in STORES}
+    frames[source_name(SPARSE, "Globex")] = frames[source_name(SPARSE, "Globex")].drop("nodes")
+    return unify(spark, SPECS[SPARSE], Registry.from_frames(frames), settings=SETTINGS)
+
+
 def _shared_sql() -> str:
     parts = [
         f"select '{name}' as pipeline, brand, store, count(*) as n"
@@ -306,9 +316,9 @@ def raw_union_sql(name: str) -> str:
            from (select sku, unnest(case when coalesce(len(nodes), 0) = 0 then [null] else nodes
                  end) as node from ({raw_union_sql("m06_inventory")}))""")
 def prj_struct_flatten(spark, sf_dir):
-    rows = unnest(raw_union(spark, sf_dir, "m06_inventory").select("sku", "nodes"), "nodes", "node")
-    first = F.get("node.inputQty", F.lit(0)).getField("amount")
-    return rows.select("sku", "node.shipNode", first.alias("first_amount"))
+    rows = unnest_path(raw_union(spark, sf_dir, "m06_inventory").select("sku", "nodes"), ["nodes"])
+    first = F.get("`nodes.inputQty`", F.lit(0)).getField("amount")
+    return rows.select("sku", F.col("`nodes.shipNode`").alias("shipNode"), first.alias("first_amount"))
 
 
 @query("""select event_id, try_cast(json_extract_string(props, '$.k') as bigint) as k,
@@ -345,8 +355,36 @@ def prj_report_date_cast(spark, sf_dir):
 
 @query(pipeline_sql("m14_promotions", rates=False))
 def prj_fx_flag_off(spark, sf_dir):
-    name = "m14_promotions"
-    return unify(spark, SPECS[name], registry(spark, sf_dir, name), settings=SETTINGS)
+    return flag_off("m14_promotions", spark, sf_dir)
+
+
+def flag_off(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = registry(spark, sf_dir, name)
+    return render(name, unify(spark, SPECS[name], raw, settings=SETTINGS))
+
+
+for _name in ("m10_item", "m11_item_on_request", "m18_returns"):
+    query(pipeline_sql(_name, rates=False), f"{_name}_flag_off")(partial(flag_off, _name))
+
+
+DATED = "m13_promo_on_request"
+
+
+TEXT_DATES = '''case when md5("SKU") < '8' then 'n/a' else
+    cast("Promo_Effective_Date" as varchar) end as "Promo_Effective_Date" '''
+
+
+@query(pipeline_sql(DATED, replace=TEXT_DATES))
+def prj_lenient_dates(spark, sf_dir):
+    """Dates delivered as text, some of them unreadable."""
+    day = F.col("Promo_Effective_Date").cast("date").cast("string")
+    text = F.when(F.md5(F.col("SKU").cast("binary")) < "8", "n/a").otherwise(day)
+    frames = {
+        source_name(DATED, brand): raw_frame(spark, sf_dir, DATED, brand).withColumn("Promo_Effective_Date", text)
+        for brand in STORES
+    }
+    settings = Settings(run_ts=RUN_TS, lenient_dates=True)
+    return unify(spark, SPECS[DATED], Registry.from_frames(frames), settings=settings)
 
 
 @query(pipeline_sql("m19_returns_order_lines", rates=False))
@@ -422,6 +460,28 @@ def join_fx_salted(spark, sf_dir):
     return priced(spark, sf_dir, broadcast_rows=1)
 
 
+SMALL_RATES_SQL = f"select * replace (cast(value as double) / 5283123.7 as value) from ({RATES_SQL})"
+
+
+@query(fx_sql(SMALL_RATES_SQL).replace("cast(1 as decimal(38,9))", "cast(1 as double)"))
+def join_fx_small_rate(spark, sf_dir):
+    """Rates whose digits go beyond nine decimals."""
+    rates = rates_frame(spark, sf_dir)
+    rates = rates.withColumn("value", F.col("value").cast("double") / 5283123.7)
+    rows = raw_union(spark, sf_dir, M14).select(*FX_COLUMNS)
+    return attach_exchange_rate(rows, rates, "ReportDate", "Current_Price_Currency")
+
+
+@query(pipeline_sql("m10_item", rates=True))
+def join_fx_timestamp_rates(spark, sf_dir):
+    """Rates quoted twice a day still give one row per key."""
+    hours = F.explode(F.array(F.lit(0), F.lit(9)))
+    rates = rates_frame(spark, sf_dir).withColumn("hour", hours)
+    moment = datetime_add(F.col("date").cast("timestamp_ntz"), F.col("hour"), "HOUR")
+    rates = rates.withColumn("date", moment).drop("hour")
+    return unify(spark, SPECS["m10_item"], registry(spark, sf_dir, "m10_item"), rates, settings=SETTINGS)
+
+
 @query(f"""select *, "Current_Price" / cast(exchange_currency_rate as double)
            as "Current_Price_converted" from ({fx_sql()})""")
 def fx_convert_amounts(spark, sf_dir):
@@ -442,15 +502,19 @@ def unnest_sql(name: str, steps: list[tuple[str, str]], outer: bool = True) -> s
 @query(f"""select sku, e."availToSellQty" as "availToSellQty", e."shipNodeType" as "shipNodeType"
            from ({unnest_sql("m26_wfs_inventory", [('"shipNodes"', "e")])})""")
 def unnest_outer(spark, sf_dir):
-    rows = unnest(raw_union(spark, sf_dir, "m26_wfs_inventory"), "shipNodes", "e")
-    return rows.select("sku", "e.availToSellQty", "e.shipNodeType")
+    return ship_nodes(spark, sf_dir, outer=True)
+
+
+def ship_nodes(spark: SparkSession, sf_dir: str, outer: bool) -> DataFrame:
+    rows = unnest_path(raw_union(spark, sf_dir, "m26_wfs_inventory"), ["shipNodes"], outer)
+    fields = ("availToSellQty", "shipNodeType")
+    return rows.select("sku", *[F.col(f"`shipNodes.{f}`").alias(f) for f in fields])
 
 
 @query(f"""select sku, e."availToSellQty" as "availToSellQty", e."shipNodeType" as "shipNodeType"
            from ({unnest_sql("m26_wfs_inventory", [('"shipNodes"', "e")], False)})""")
 def unnest_inner(spark, sf_dir):
-    rows = unnest(raw_union(spark, sf_dir, "m26_wfs_inventory"), "shipNodes", "e", outer=False)
-    return rows.select("sku", "e.availToSellQty", "e.shipNodeType")
+    return ship_nodes(spark, sf_dir, outer=False)
 
 
 CHAIN = [("nodes", "node"), ('node."inputQty"', "qty")]
@@ -716,6 +780,46 @@ def snk_upsert_partitions(spark, sf_dir):
     return read_table(spark, path)
 
 
+REFRESHED = "m01_buy_box"
+
+
+@query(pipeline_sql(REFRESHED, batches=1))
+def snk_full_refresh_dynamic_conf(spark, sf_dir):
+    """A full refresh leaves nothing of the old table, whatever the session's overwrite mode."""
+    path, sink, setting = scratch_folder(spark), SPECS[REFRESHED].sink, "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(setting, "dynamic")
+    try:
+        for batches in (3, 1):
+            raw = registry(spark, sf_dir, REFRESHED, batches)
+            write_table(unify(spark, SPECS[REFRESHED], raw, settings=SETTINGS), path, sink)
+    finally:
+        spark.conf.unset(setting)
+    return read_table(spark, path)
+
+
+ORDERED_SQL = "select o_orderkey, cast(o_orderdate as date) as o_day, o_totalprice from orders"
+
+
+@query(merged_sql(
+    ORDERED_SQL,
+    "select o_orderkey, cast(o_day + 400 as date) as o_day, -o_totalprice as o_totalprice"
+    f" from ({ORDERED_SQL}) where o_orderkey % 3 = 0",
+    ["o_orderkey"],
+))
+def snk_upsert_many_days(spark, sf_dir):
+    """Upsert that touches all days of several years; a third of the rows moves on."""
+    old = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.to_date("o_orderdate").alias("o_day"), "o_totalprice"
+    )
+    new = old.where("o_orderkey % 3 = 0").select(
+        "o_orderkey", F.date_add("o_day", 400).alias("o_day"), (-F.col("o_totalprice")).alias("o_totalprice")
+    )
+    path, sink = scratch_folder(spark), Sink(("o_orderkey",), "o_day")
+    write_table(old, path, sink)
+    upsert(new, path, ["o_orderkey"], sink)
+    return read_table(spark, path)
+
+
 KEYED = "m06_inventory"
 
 

@@ -40,10 +40,13 @@ SIZES = {
     "nodes": "2",
     "shipNodes": "2",
     "returnOrderLines": "1 + n % 2",
-    "chargeTotals": "2",
+    "chargeTotals": "3",
     "charges": "1 + n % 2",
 }
 
+# Fields with the same value in all elements, so that positions decide between them.
+REPEATED = {"returnOrderLineNumber"}
+
 SPECS = catalog()
 
 
@@ -92,6 +95,8 @@ class _Walk:
             if output.name.lower() in {key.lower() for key in other.keys}
         }
         self.null_key = spec.keys[0].lower()
+        # Keys repeat inside an array where one row per key is kept.
+        self.tail = "1 + {} % 2" if spec.ties == "one" else "{}"
         self.j = 0
 
     def value(self, name, kind, indexes=()):
@@ -102,6 +107,7 @@ class _Walk:
             return self.dialect.struct(fields)
         self.j += 1
         at = "(" + " + ".join(["0", *(f"{3 ** d} * {i}" for d, i in enumerate(indexes))]) + ")"
+        at = "0" if name in REPEATED else at
         is_key = name.lower() in self.keys
         d = "0" if is_key else "d"
         if isinstance(kind, T.StringType):
@@ -122,7 +128,7 @@ class _Walk:
 
     def text(self, name, at, d, is_key, indexes):
         if is_key:
-            tail = f", '_', {indexes[-1]}" if indexes else ""
+            tail = f", '_', {self.tail.format(indexes[-1])}" if indexes else ""
             return f"concat('k', {self.j}, '_', n{tail})"
         if name.lower().endswith(("currency", "currencyunit")):
             cases = " ".join(f"when {i} then '{c}'" for i, c in enumerate(CURRENCIES))

@@ -16,6 +16,7 @@ from marketloom.operators.nested import (
     unnest,
     unnest_path,
     unnest_variant,
+    with_elements,
 )
 from marketloom.operators.skew import hot_keys, key_condition, with_hot_salt
 from marketloom.operators.timezone import shift_timezone
@@ -36,6 +37,7 @@ __all__ = [
     "unnest",
     "unnest_path",
     "unnest_variant",
+    "with_elements",
     "with_hot_salt",
     "without_exchange_rate",
 ]

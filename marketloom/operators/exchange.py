@@ -34,8 +34,10 @@ def _rate_table(rates: DataFrame, base_currency: str | None) -> DataFrame:
     )
 
 
-def one_rate_per_day(rates: DataFrame) -> DataFrame:
+def one_rate_per_day(rates: DataFrame, base_currency: str | None = None) -> DataFrame:
     """Reduce rates to one per day and target currency, the lowest source code."""
+    if base_currency is not None:
+        rates = rates.where(F.col("from_currency_code") == base_currency)
     best = F.min_by(
         F.struct("from_currency_code", "value"), F.struct("from_currency_code", "value")
     )
@@ -57,9 +59,9 @@ def attach_exchange_rate(
 ) -> DataFrame:
     """Left join of the day's rate to each row's currency.
 
-    Numeric rates keep their type. A row without a rate gets rate 1 and its own currency code; several source
-    currencies for one day and target multiply the row, unless ``base_currency``
-    restricts them. The rates are counted, up to the limit, to decide whether they may
+    Numeric rates keep their type. A row without a rate gets rate 1 and its own currency
+    code; several source currencies for one day and target multiply the row, unless
+    ``base_currency`` restricts them. The rates are counted, up to the limit, to decide whether they may
     be broadcast; beyond it the rows are salted and the rates copied once per salt.
     """
     local = F.col(currency_col) if isinstance(currency_col, str) else currency_col

@@ -9,12 +9,16 @@ optimizer would otherwise move around between the generators.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+POSITION = "__position_"
+
+
 def quoted(name: str) -> Column:
     """Column of exactly this name, dots included."""
     return F.col(f"`{name}`")
@@ -37,8 +41,36 @@ def _element_type(types: dict[str, T.DataType], path: str) -> T.DataType:
     return types[path].elementType
 
 
+def _below(path: str, paths: list[str]) -> list[str]:
+    """Those of ``paths`` that are read from the elements of ``path``."""
+    alias = path.rpartition(".")[2]
+    return [other for other in paths if "." in other and other.partition(".")[0] == alias]
+
+
+def _gives_rows(array: Column, path: str, paths: list[str]) -> Column:
+    """Whether an inner unnest of the array and of all arrays inside it leaves a row."""
+    below = _below(path, paths)
+    if not below:
+        return F.coalesce(F.size(array), F.lit(0)) > 0
+    return F.coalesce(F.exists(array, lambda e: _element_gives_rows(e, below, paths)), F.lit(False))
+
+
+def _element_gives_rows(element: Column, below: list[str], paths: list[str]) -> Column:
+    inside = [_gives_rows(element.getField(p.partition(".")[2]), p, paths) for p in below]
+    return reduce(Column.__and__, inside)
+
+
+def with_elements(df: DataFrame, paths: Iterable[str]) -> DataFrame:
+    """Rows that an inner unnest of ``paths`` would keep, with the arrays still in place."""
+    paths = list(paths)
+    inner = {path for outer in paths for path in _below(outer, paths)}
+    tests = [_gives_rows(quoted(path), path, paths) for path in paths if path not in inner]
+    return df.where(reduce(Column.__and__, tests)) if tests else df
+
+
 def _step(
-    df: DataFrame, types: dict[str, T.DataType], path: str, kind: str, keep: bool
+    df: DataFrame, types: dict[str, T.DataType], path: str, kind: str, keep: bool,
+    positions: bool, below: list[str], paths: list[str],
 ) -> DataFrame:
     """Replace the array ``path`` by columns of its elements, or of its first element."""
     alias = path.rpartition(".")[2]
@@ -50,7 +82,9 @@ def _step(
         new_types = {name: field.dataType for name, field in zip(names, element)}
     else:
         names, new_types = [alias], {alias: element}
-    if kind == "first":
+    if kind.startswith("first"):
+        if kind == "first inner" and below:
+            array = F.filter(array, lambda e: _element_gives_rows(e, below, paths))
         first = F.get(array, F.lit(0))
         if isinstance(element, T.StructType):
             new = [first.getField(field.name).alias(n) for n, field in zip(names, element)]
@@ -58,7 +92,17 @@ def _step(
             new = [first.alias(alias)]
     elif isinstance(element, T.StructType):
         generate = F.inline_outer if kind == "outer" else F.inline
+        if positions:
+            fields = [field.name for field in element]
+            array = F.transform(array, lambda e, i: F.struct(
+                i.alias(POSITION), *[e.getField(name).alias(name) for name in fields]
+            ))
+            names, new_types = [POSITION + alias, *names], {POSITION + alias: T.IntegerType(), **new_types}
         new = [generate(array).alias(*names)]
+    elif positions:
+        generate = F.posexplode_outer if kind == "outer" else F.posexplode
+        new_types = {POSITION + alias: T.IntegerType(), **new_types}
+        new = [generate(array).alias(*new_types)]
     else:
         generate = F.explode_outer if kind == "outer" else F.explode
         new = [generate(array).alias(alias)]
@@ -69,32 +113,43 @@ def _step(
     return df.select(*[quoted(name) for name in kept], *new)
 
 
-def _walk(df: DataFrame, paths: Iterable[str], kind: str, keep: Iterable[str]) -> DataFrame:
+def _walk(
+    df: DataFrame, paths: Iterable[str], kind: str, keep: Iterable[str], positions: bool = False
+) -> DataFrame:
     types = {field.name: field.dataType for field in df.schema}
-    keep = set(keep)
+    keep, paths = set(keep), list(paths)
     for path in paths:
-        df = _step(df, types, path, kind, path in keep)
+        df = _step(df, types, path, kind, path in keep, positions, _below(path, paths), paths)
     return df
 
 
 def unnest_path(
-    df: DataFrame, paths: Iterable[str], outer: bool = True, keep: Iterable[str] = ()
+    df: DataFrame,
+    paths: Iterable[str],
+    outer: bool = True,
+    keep: Iterable[str] = (),
+    positions: bool = False,
 ) -> DataFrame:
     """Unnest arrays of structs in order; ``parent.child`` reads an unnested parent.
 
     The array column is replaced by the columns ``alias.field`` of its elements, where
     the alias is the last part of the path; arrays named in ``keep`` stay as well.
+    ``positions`` adds ``__position_alias``, the place of the element in its array.
     """
-    return _walk(df, paths, "outer" if outer else "inner", keep)
+    return _walk(df, paths, "outer" if outer else "inner", keep, positions)
 
 
-def first_of_path(df: DataFrame, paths: Iterable[str], keep: Iterable[str] = ()) -> DataFrame:
-    """Like :func:`unnest_path`, but keeps only the first element of each array.
+def first_of_path(
+    df: DataFrame, paths: Iterable[str], outer: bool = True, keep: Iterable[str] = ()
+) -> DataFrame:
+    """Like :func:`unnest_path`, but keeps only the first row of each row's product.
 
     When one row of the product is wanted anyway, this picks the row of the first
-    elements without ever building the product.
+    elements without ever building the product. Without ``outer``, elements that an
+    inner unnest would drop are passed over; rows without any are the caller's to drop
+    (:func:`with_elements`).
     """
-    return _walk(df, paths, "first", keep)
+    return _walk(df, paths, "first" if outer else "first inner", keep)
 
 
 def prune_type(schema: T.StructType, paths: Iterable[str]) -> T.StructType:

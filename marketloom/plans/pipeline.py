@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketloom.functions import datetime_add
+from marketloom.functions import as_date, datetime_add, epoch_ms_to_date
 from marketloom.operators import (
     attach_exchange_rate,
     consolidate,
@@ -27,11 +27,13 @@ from marketloom.operators import (
     quoted,
     read_json,
     unnest_path,
+    with_elements,
     without_exchange_rate,
 )
 from marketloom.operators.exchange import CODE, RATE
+from marketloom.operators.nested import POSITION
 from marketloom.operators.timezone import is_datetime, shift_timezone
-from marketloom.plans.spec import FeedSpec, Output, record
+from marketloom.plans.spec import BATCH_DATE, FeedSpec, Output, record
 from marketloom.settings import Lineage, Settings
 from marketloom.sinks import exists, read_table, upsert, write_table
 from marketloom.sources import BRAND, HOURS, SOURCE, STORE, Registry, SourceTable, tag_source
@@ -74,7 +76,7 @@ def raw_paths(spec: FeedSpec, outputs: Iterable[Output]) -> list[str]:
         roots[field] = f"{roots[parent]}.{field}" if parent else field
     paths = []
     for output in outputs:
-        if "(" in output.source:
+        if output.source == BATCH_DATE:
             continue
         alias, _, field = output.source.partition(".")
         paths.append(f"{roots[alias]}.{field}" if field else alias)
@@ -88,54 +90,99 @@ class _Projection:
         self.settings = settings
 
     def columns(self, df: DataFrame, outputs: Iterable[Output]) -> list[Column]:
-        outputs = list(outputs)
-        runtime = f"`{self.settings.lineage.runtime}`"
         kinds: dict[str, str] = dict(df.dtypes) if self.settings.tz_offsets else {}
         columns = []
         for output in outputs:
-            if "(" in output.source:
-                column = F.expr(output.source.format(runtime=runtime))
+            if output.source == BATCH_DATE:
+                column = epoch_ms_to_date(quoted(self.settings.lineage.runtime))
             else:
                 column = quoted(output.source)
                 # Top-level date-times were shifted when the source was tagged.
                 if "." in output.source and is_datetime(kinds.get(output.source, "")):
                     column = datetime_add(column, F.col(HOURS), "HOUR")
-            column = column.cast(output.cast) if output.cast else column
+            if output.cast == "date":
+                column = as_date(column, self.settings.lenient_dates)
+            elif output.cast:
+                column = column.cast(output.cast)
             columns.append(column.alias(output.name))
         return columns
 
 
-def _json_types(spec: FeedSpec, df: DataFrame, paths: list[str]) -> dict[str, str]:
+def _json_types(declared: T.StructType, df: DataFrame) -> dict[str, str]:
     """Arrays of the feed that this raw table holds as JSON text, with their types."""
     present = {name.lower(): kind for name, kind in df.dtypes}
     return {
         field.name: field.dataType.simpleString()
-        for field in prune_type(raw_type(spec), paths)
-        if isinstance(field.dataType, T.ArrayType) and present[field.name.lower()] == "string"
+        for field in declared
+        if isinstance(field.dataType, T.ArrayType) and present.get(field.name.lower()) == "string"
     }
 
 
+def _completed(found: T.DataType, declared: T.DataType) -> T.DataType:
+    """The type found in a raw table, with the declared nested fields that it lacks."""
+    if isinstance(found, T.ArrayType) and isinstance(declared, T.ArrayType):
+        return T.ArrayType(_completed(found.elementType, declared.elementType))
+    if isinstance(found, T.StructType) and isinstance(declared, T.StructType):
+        wanted = {field.name.lower(): field for field in declared}
+        have = {field.name.lower() for field in found}
+        fields = [
+            T.StructField(f.name, _completed(f.dataType, wanted[f.name.lower()].dataType))
+            if f.name.lower() in wanted else f
+            for f in found
+        ]
+        return T.StructType(fields + [f for f in declared if f.name.lower() not in have])
+    return found
+
+
+def _lacks_fields(found: T.StructType, declared: T.StructType) -> bool:
+    """Whether some array of the table misses declared fields of its elements."""
+    types = {field.name.lower(): field.dataType for field in found}
+    return any(
+        isinstance(types.get(field.name.lower()), T.ArrayType)
+        and len(_leaves(_completed(types[field.name.lower()], field.dataType)))
+        > len(_leaves(types[field.name.lower()]))
+        for field in declared
+    )
+
+
+def _leaves(kind: T.DataType) -> list[str]:
+    if isinstance(kind, T.ArrayType):
+        return _leaves(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return [field.name for field in kind] + [x for field in kind for x in _leaves(field.dataType)]
+    return []
+
+
 def _tagged_rows(
     spark: SparkSession,
     spec: FeedSpec,
-    tables: list[SourceTable],
+    tables: list[tuple[SourceTable, DataFrame]],
     settings: Settings,
     mark: int | None,
     outputs: Iterable[Output],
 ) -> DataFrame:
-    """All sources of a feed, narrowed to what the outputs need, tagged and united."""
+    """All sources of a feed, narrowed to what the outputs need, tagged and united.
+
+    Stores may lack declared columns or nested fields; those are NULL. (Nested fields of
+    a table without a reader that takes a schema have to be complete.)
+    """
     paths = raw_paths(spec, outputs)
     heads = {path.partition(".")[0].lower() for path in paths}
-    names = [name for name in spec.raw_schema.names if name.lower() in heads]
+    declared = T.StructType([f for f in spec.raw_schema if f.name.lower() in heads])
+    pruned = prune_type(raw_type(spec, settings.lineage), paths)
+    kinds = {field.name.lower(): field.dataType for field in pruned}
     frames = []
-    for table in tables:
-        df = table.load(spark)
-        if table.load_narrow is not None and any("." in path for path in paths):
+    for table, df in tables:
+        nested = any("." in path for path in paths)
+        if table.load_narrow is not None and (nested or _lacks_fields(df.schema, pruned)):
             bare = [name.removeprefix("_") for name in settings.lineage.names]
             narrow = prune_type(df.schema, [*paths, *settings.lineage.names, *bare])
-            df = table.load_narrow(spark, narrow)
-        df = read_json(df, _json_types(spec, df, paths))
-        frames.append(tag_source(df, table, names, settings, mark))
+            df = table.load_narrow(spark, T.StructType([
+                T.StructField(f.name, _completed(f.dataType, kinds.get(f.name.lower(), f.dataType)))
+                for f in narrow
+            ]))
+        df = read_json(df, _json_types(pruned, df))
+        frames.append(tag_source(df, table, declared, settings, mark))
     rows = consolidate(frames)
     if settings.tz_offsets:
         local = [name for name, kind in rows.dtypes if is_datetime(kind)]
@@ -148,17 +195,22 @@ def _keyed_rows(
     keys: list[Output],
     paths: Iterable[str],
     settings: Settings,
+    late: Iterable[str],
     passed: Iterable[str] = (),
+    positions: bool = False,
 ) -> tuple[DataFrame, list[str]]:
     """Rows unnested as far as ``paths`` say, and the names of the business key columns.
 
-    A key that is a raw column is used as it is, so that it is not shuffled twice.
+    Inner unnesting drops rows, and whether it does has to be known before the dedup: so
+    the arrays that are left for later are tested here, but not multiplied out. A key that
+    is a raw column is used as it is, so that it is not shuffled twice.
     """
-    rows = unnest_path(rows, paths, settings.outer_unnest, keep=passed)
+    rows = unnest_path(rows, paths, settings.outer_unnest, keep=passed, positions=positions)
+    rows = rows if settings.outer_unnest else with_elements(rows, late)
     columns = _Projection(settings).columns(rows, keys)
     names, derived = [], {}
     for i, (key, column) in enumerate(zip(keys, columns)):
-        plain = key.cast is None and "(" not in key.source and not settings.tz_offsets
+        plain = key.cast is None and key.source != BATCH_DATE and not settings.tz_offsets
         names.append(key.source if plain else f"__key_{i}")
         if not plain:
             derived[names[-1]] = column
@@ -167,12 +219,17 @@ def _keyed_rows(
 
 
 def _all_columns_break(df: DataFrame, skip: set[str]) -> list[Column]:
-    """Tie break over a whole row: its scalar columns, then a hash of the nested ones."""
+    """Tie break over a whole row: scalar columns, positions of its elements, and a hash of
+    the rest, which decides between raw rows that differ in nested values only."""
     nested = (T.ArrayType, T.StructType, T.MapType, T.VariantType)
     fields = [field for field in df.schema if field.name not in skip]
-    scalars = [f.name for f in fields if not isinstance(f.dataType, nested)]
-    others = [f.name for f in fields if isinstance(f.dataType, (T.ArrayType, T.StructType))]
+    places = [field.name for field in fields if field.name.startswith(POSITION)]
+    fields = [field for field in fields if field.name not in places]
+    scalars = [f.name for f in fields if not isinstance(f.dataType, nested) and "." not in f.name]
+    others = [f.name for f in fields if f.name not in scalars
+              and not isinstance(f.dataType, (T.MapType, T.VariantType))]
     breaks = [quoted(name).asc_nulls_last() for name in scalars]
+    breaks += [F.coalesce(quoted(name), F.lit(0)).asc() for name in places]
     return breaks + ([F.xxhash64(*[quoted(name) for name in others])] if others else [])
 
 
@@ -184,28 +241,38 @@ def unify(
     mark: int | None = None,
     settings: Settings = Settings(),
     schema: str | None = None,
+    catalog: str | None = None,
 ) -> DataFrame:
-    """The unified rows of one feed: all of them, or those from ``mark`` on."""
-    tables = registry.match(spec.like, spec.not_like, schema)
-    if not tables:
+    """The unified rows of one feed: all of them, or those from ``mark`` on.
+
+    ``schema`` and ``catalog`` restrict the raw tables to those of one schema or catalog.
+    """
+    found = registry.match(spec.like, spec.not_like, schema, catalog)
+    if not found:
         return spark.createDataFrame([], output_schema(spark, spec, settings))
+    tables = [(table, table.load(spark)) for table in found]
     lineage = settings.lineage
     project = _Projection(settings)
     by_name = {output.name.lower(): output for output in spec.outputs}
 
     keys = [by_name[key.lower()] for key in spec.keys]
-
-    # Inner unnesting drops rows, so it has to be complete before the dedup.
-    early = key_paths(spec) if settings.outer_unnest else spec.unnest
+    early = key_paths(spec)
+    late = [path for path in spec.unnest if path not in early]
     breaks = [Output(path, path) for path in spec.tie_break]
     contract = [*spec.outputs, *spec.after_batch_id, *breaks]
     rows = _tagged_rows(spark, spec, tables, settings, mark, contract)
     passed = {output.source for output in spec.outputs}
-    rows, names = _keyed_rows(rows, keys, early, settings, passed)
+    rows, names = _keyed_rows(
+        rows, keys, early, settings, late, passed, positions=spec.ties == "one"
+    )
     key_rows = None
-    if spec.ties == "all" and settings.outer_unnest and early:
-        slim = _tagged_rows(spark, spec, tables, settings, mark, keys)
-        key_rows, _ = _keyed_rows(slim, keys, early, settings)
+    if spec.ties == "all" and early:
+        # Inner unnesting also looks at the arrays that hold no others.
+        parents = {path.partition(".")[0] for path in spec.unnest if "." in path}
+        tested = [Output(p, p) for p in late if p.rpartition(".")[2] not in parents]
+        tested = [] if settings.outer_unnest else tested
+        slim = _tagged_rows(spark, spec, tables, settings, mark, [*keys, *tested])
+        key_rows, _ = _keyed_rows(slim, keys, early, settings, late)
     tie_break = ()
     if spec.ties == "one":
         skip = {*names, lineage.runtime, HOURS}
@@ -223,9 +290,8 @@ def unify(
         key_rows=key_rows,
     )
 
-    late = [path for path in spec.unnest if path not in early]
     flatten = first_of_path if spec.ties == "one" else unnest_path
-    flat = flatten(rows, late, keep=passed)
+    flat = flatten(rows, late, settings.outer_unnest, keep=passed)
     return _finish(flat, spec, rates, settings, project)
 
 
@@ -258,9 +324,9 @@ def _finish(
         rate_columns = [RATE, CODE]
         if rates is not None:
             if spec.ties == "one":
-                rates = one_rate_per_day(rates)
+                rates = one_rate_per_day(rates, settings.base_currency)
             out = attach_exchange_rate(
-                out, rates, spec.fx.date, spec.fx.currency,
+                out, rates, spec.fx.date, spec.fx.currency, settings.base_currency,
                 broadcast_rows=settings.broadcast_rate_rows,
             )
         else:
@@ -288,7 +354,7 @@ def output_schema(spark: SparkSession, spec: FeedSpec, settings: Settings = Sett
         lineage=settings.lineage, brand_from_name=False, store_from_name=False,
         run_ts=settings.run_ts, run_id=settings.run_id,
     )
-    rows = tag_source(table.load(spark), table, spec.raw_schema.names, bare)
+    rows = tag_source(table.load(spark), table, spec.raw_schema, bare)
     flat = unnest_path(rows, spec.unnest, keep={output.source for output in spec.outputs})
     return _finish(flat, spec, None, bare, _Projection(bare)).schema
 
@@ -303,15 +369,18 @@ def run(
     full_refresh: bool = False,
     null_safe: bool = False,
     strict: bool = False,
+    schema: str | None = None,
+    catalog: str | None = None,
 ) -> None:
     """Load one feed into the table at ``target``, incrementally when it exists."""
     if full_refresh or not exists(spark, target):
-        write_table(unify(spark, spec, registry, rates, None, settings), target, spec.sink)
+        rows = unify(spark, spec, registry, rates, None, settings, schema, catalog)
+        write_table(rows, target, spec.sink)
         return
     mark = high_water_mark(
         read_table(spark, target), settings.lineage.runtime, settings.lookback_ms
     ).first()[0]
-    updates = unify(spark, spec, registry, rates, mark, settings)
+    updates = unify(spark, spec, registry, rates, mark, settings, schema, catalog)
     upsert(
         updates, target, business_key(spec, settings), spec.sink,
         null_safe=null_safe, strict=strict, hot_rows=settings.hot_key_rows,
@@ -329,13 +398,15 @@ def run_all(
     full_refresh: bool = False,
     null_safe: bool = False,
     strict: bool = False,
+    schema: str | None = None,
+    catalog: str | None = None,
 ) -> None:
     """Load several feeds; they are independent, so a few jobs are submitted at a time."""
     with ThreadPoolExecutor(max_workers=concurrent) as pool:
         jobs = [
             pool.submit(
                 run, spark, spec, registry, targets[spec.name], rates, settings,
-                full_refresh, null_safe, strict,
+                full_refresh, null_safe, strict, schema, catalog,
             )
             for spec in specs
         ]

@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 
 from marketloom.sinks import Sink
 
-# ``{runtime}`` in an expression stands for the batch-runtime column.
-BATCH_DATE = "cast(timestampadd(MILLISECOND, {runtime}, timestamp_ntz'1970-01-01') as date)"
+# Stands for the calendar date of the batch runtime.
+BATCH_DATE = "batch_date()"
 
 
 @dataclass(frozen=True)
@@ -51,10 +51,6 @@ class FeedSpec:
     # Columns written between the batch id and the load stamp.
     after_batch_id: tuple[Output, ...] = ()
 
-    @property
-    def unique_key(self) -> tuple[str, ...]:
-        return self.keys
-
 
 def same(names: str) -> tuple[Output, ...]:
     """Raw columns that keep their names."""

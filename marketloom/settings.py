@@ -50,6 +50,10 @@ class Settings:
     # Adds brand and store to the business key of the dedup and of the merge.
     lineage_in_key: bool = False
     lookback_ms: int = LOOKBACK_MS
+    # Text that is no date becomes NULL where a feed casts to a date, instead of failing.
+    lenient_dates: bool = False
+    # Only rates from this currency are attached; ``None`` attaches those from any.
+    base_currency: str | None = None
     # A business key with at least this many rows is spread over several tasks.
     hot_key_rows: int = 1_000_000
     # Exchange rates up to this many rows are broadcast, larger ones are joined salted.

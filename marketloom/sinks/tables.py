@@ -1,35 +1,46 @@
 """Partitioned and clustered Parquet tables.
 
-The partition column ``__part`` is derived: the calendar day of the declared field,
-which may itself carry a time of day or text, or one constant for a table without a
-partition field. Reading a table drops it, so a round trip gives the same columns.
+A table is partitioned by its declared field when that is a date, so a filter on the field
+picks folders. A field with a time of day, or text, stays in the files, and the folders
+are its days, ``<field>_day``; :func:`read_table` filters by them and leaves them out. So
+a round trip gives the same columns in the same order.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketloom.operators.skew import key_condition
 from marketloom.streaming.incremental import merge_upsert
 
-PART = "__part"
-UNPARTITIONED = "all"
+# Mark in the metadata of the first stored column: the folder column and its place among
+# the table's columns, -1 when it is none of them.
+FOLDER, PLACE = "folder_column", "folder_place"
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name for a NULL value
 
 
 @dataclass(frozen=True)
 class Sink:
-    """Layout of a unified table: cluster columns and an optional day partition."""
+    """Layout of a unified table: cluster columns and an optional day partition.
+
+    ``by_day`` partitions by the days of a field that is not a date itself.
+    """
 
     cluster_by: tuple[str, ...]
     partition_by: str | None = None
     by_day: bool = False
 
+    @property
+    def folder_column(self) -> str | None:
+        return f"{self.partition_by}_day" if self.by_day else self.partition_by
+
 
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder name below the shared folder of the cluster, or below the warehouse."""
@@ -62,7 +73,8 @@ def _beside(path: str, what: str) -> str:
 def exists(spark: SparkSession, path: str) -> bool:
     """True for a table with data files, whether or not its writer left a marker.
 
-    A table appears by one move of a complete folder, so files mean a whole table.
+    A table appears by one move of a complete folder, so files mean a whole table. A
+    table without rows has none and is loaded anew.
     """
     files, location = _hadoop(spark, path)
     if not files.exists(location):
@@ -71,19 +83,61 @@ def exists(spark: SparkSession, path: str) -> bool:
     while found.hasNext():
         if found.next().getPath().getName().endswith(".parquet"):
             return True
-    return files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS"))
+    return False
+
 
+Days = tuple[dt.date | None, dt.date | None]
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(PART)
+
+def read_table(spark: SparkSession, path: str, days: Days | None = None) -> DataFrame:
+    """The table, or its rows of the days from the first to the last (None: open end).
+
+    Only the folders of those days are read, whatever type the partition field has.
+    """
+    stored = spark.read.parquet(path)
+    if days is not None:
+        folder = F.col(stored.schema[0].metadata[FOLDER])
+        stored = stored if days[0] is None else stored.where(folder >= F.lit(days[0]))
+        stored = stored if days[1] is None else stored.where(folder <= F.lit(days[1]))
+    return _arranged(stored)
+
+
+def _arranged(stored: DataFrame) -> DataFrame:
+    """The columns of a stored table as they were written."""
+    first = stored.schema[0]
+    if FOLDER not in first.metadata:
+        return stored
+    folder, place = first.metadata[FOLDER], first.metadata[PLACE]
+    stored = stored.withMetadata(first.name, {})
+    names = [name for name in stored.columns if name != folder]
+    if place >= 0:
+        if stored.schema[folder].dataType != T.DateType():  # no day but NULL
+            stored = stored.withColumn(folder, F.col(f"`{folder}`").cast("date"))
+        names.insert(place, folder)
+    return stored.select(*[F.col(f"`{name}`") for name in names])
 
 
 def _part(sink: Sink) -> Column:
-    if sink.partition_by is None:
-        return F.lit(UNPARTITIONED)
     return F.to_date(F.col(sink.partition_by))
 
 
+def _marked(df: DataFrame, sink: Sink) -> DataFrame:
+    """The rows with their folder column, and the mark that :func:`read_table` needs."""
+    if sink.partition_by is None:
+        return df
+    place = [name.lower() for name in df.columns].index(sink.partition_by.lower())
+    field = df.schema[place]
+    if sink.by_day:
+        folder, place = sink.folder_column, -1
+        df = df.withColumn(folder, _part(sink))
+    else:
+        folder = field.name
+        if not isinstance(field.dataType, T.DateType):
+            raise ValueError(f"{folder!r} is no date; partition by its days (by_day=True)")
+    first = next(name for name in df.columns if name != folder)
+    return df.withMetadata(first, {FOLDER: folder, PLACE: place})
+
+
 def layout(df: DataFrame, sink: Sink) -> DataFrame:
     """Arrange rows for the sink: partition value, then ranges of the cluster columns.
 
@@ -91,8 +145,8 @@ def layout(df: DataFrame, sink: Sink) -> DataFrame:
     producing task cuts one popular key further, so no writer gets an unbounded share.
     The number of ranges is left open for adaptive execution to coalesce.
     """
-    order = [PART, *sink.cluster_by]
-    placed = df.withColumns({PART: _part(sink), "__piece": F.spark_partition_id()})
+    order = [*([sink.folder_column] if sink.partition_by else []), *sink.cluster_by]
+    placed = _marked(df, sink).withColumn("__piece", F.spark_partition_id())
     ranged = placed.repartitionByRange(*order, "__piece")
     return ranged.sortWithinPartitions(*order).drop("__piece")
 
@@ -108,11 +162,12 @@ def write_table(df: DataFrame, path: str, sink: Sink) -> None:
     files, location = _hadoop(spark, path)
     as_path = spark._jvm.org.apache.hadoop.fs.Path
     try:
+        folders = [sink.folder_column] if sink.partition_by else []
         (
             layout(df, sink)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
-            .partitionBy(PART)
+            .partitionBy(*folders)
             .parquet(staged)
         )
         if files.exists(location):
@@ -129,24 +184,22 @@ def write_table(df: DataFrame, path: str, sink: Sink) -> None:
 def _touched_parts(
     target: DataFrame, updates: DataFrame, keys: list[str], sink: Sink, null_safe: bool
 ) -> list:
-    """Partition values that hold an update key or receive an update row."""
-    if sink.partition_by is None:
-        return [UNPARTITIONED]
-    parts = updates.select(_part(sink).alias(PART))
+    """Days that hold an update key or receive an update row."""
+    parts = updates.select(_part(sink).alias("day"))
     if sink.partition_by not in keys:
         names = {key: f"__touched_{i}" for i, key in enumerate(keys)}
         wanted = updates.select(*[F.col(k).alias(n) for k, n in names.items()]).distinct()
-        slim = target.select(*keys, F.col(PART).cast("date").alias(PART))
+        slim = target.select(*keys, F.col(sink.folder_column).cast("date").alias("__day"))
         found = slim.join(wanted, key_condition(slim, wanted, names, null_safe), "left_semi")
-        parts = parts.union(found.select(PART))
+        parts = parts.union(found.select("__day"))
     return [row[0] for row in parts.distinct().collect()]  # days: some thousands
 
 
-def _in_parts(values: list) -> Column:
+def _in_parts(column: str, values: list) -> Column:
     """One membership test, however many days are touched."""
     present = [value for value in values if value is not None]
-    inside = F.col(PART).isin(present) if present else F.lit(False)
-    return inside | F.col(PART).isNull() if None in values else inside
+    inside = F.col(column).isin(present) if present else F.lit(False)
+    return inside | F.col(column).isNull() if None in values else inside
 
 
 def upsert(
@@ -160,6 +213,8 @@ def upsert(
 ) -> None:
     """Merge updates into the table at ``path``, rewriting only the days they touch.
 
+    A table without a partition field is written anew beside the old one and moved in.
+
     The updates are written out first, so that every later step reads the same rows.
     The touched days are then rewritten in one job with dynamic partition overwrite,
     which puts the new files in place when all its tasks are done. A day that lost all
@@ -179,18 +234,23 @@ def _merge_staged(
     null_safe: bool, strict: bool, hot_rows: int | None,
 ) -> None:
     spark = updates.sparkSession
+    if sink.partition_by is None:
+        merged = merge_upsert(read_table(spark, path), updates, keys, null_safe, strict, hot_rows)
+        write_table(merged, path, sink)
+        return
     target = spark.read.parquet(path)
+    column = sink.folder_column
     parts = _touched_parts(target, updates, keys, sink, null_safe)
-    folders = [f"{path}/{PART}={NULL_FOLDER if v is None else v}" for v in parts]
+    folders = [f"{path}/{column}={NULL_FOLDER if v is None else v}" for v in parts]
     before = {folder: _file_names(spark, folder) for folder in folders}
 
-    current = target.where(_in_parts(parts)).drop(PART)
+    current = _arranged(target.where(_in_parts(column, parts)))
     merged = merge_upsert(current, updates, keys, null_safe, strict, hot_rows)
     (
         layout(merged, sink)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PART)
+        .partitionBy(column)
         .parquet(path)
     )
     for folder, names in before.items():

@@ -22,6 +22,8 @@ def discover(
     schema: str | None = None,
     name_col: str = "table_name",
     schema_col: str = "table_schema",
+    catalog: str | None = None,
+    catalog_col: str = "table_catalog",
 ) -> DataFrame:
     """Rows of a table listing whose lower-cased name matches ``like``."""
     name = F.lower(F.col(name_col))
@@ -30,6 +32,8 @@ def discover(
         keep = keep & ~name.like(pattern)
     if schema is not None:
         keep = keep & (F.col(schema_col) == schema)
+    if catalog is not None:
+        keep = keep & (F.col(catalog_col) == catalog)
     return tables.where(keep)
 
 
@@ -116,7 +120,11 @@ class Registry:
         )
 
     def match(
-        self, like: str, not_like: Iterable[str] = (), schema: str | None = None
+        self,
+        like: str,
+        not_like: Iterable[str] = (),
+        schema: str | None = None,
+        catalog: str | None = None,
     ) -> list[SourceTable]:
         """Tables of one feed, in name order (the driver-side twin of ``discover``)."""
         return [
@@ -125,4 +133,5 @@ class Registry:
             if like_matches(table.name, like)
             and not any(like_matches(table.name, pattern) for pattern in not_like)
             and (schema is None or table.schema == schema)
+            and (catalog is None or table.catalog == catalog)
         ]

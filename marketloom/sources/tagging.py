@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketloom.settings import Lineage, Settings
 from marketloom.sources.registry import SourceTable
+from marketloom.streaming.incremental import lookback_filter
 
 # Internal tag columns, never part of an output.
 BRAND = "__brand"
@@ -56,22 +58,29 @@ def normalize_meta(df: DataFrame, lineage: Lineage) -> DataFrame:
 def tag_source(
     df: DataFrame,
     table: SourceTable,
-    raw_columns: list[str],
+    raw_columns: T.StructType,
     settings: Settings,
     mark: int | None = None,
 ) -> DataFrame:
     """Narrow a raw table to what its feed needs and tag the rows with their origin.
 
-    The look-back filter sits here, directly above the scan, where it reaches the
-    Parquet reader; the tags are literals, so they cost nothing in a shuffle-free plan.
+    A declared column that the table lacks is NULL; columns are found by name, whatever
+    their case. The look-back filter sits here, directly above the scan, where it reaches
+    the Parquet reader; the tags are literals, so they cost nothing in a shuffle-free plan.
     """
     lineage = settings.lineage
     df = normalize_meta(df, lineage)
     if mark is not None:
-        df = df.where(F.col(lineage.runtime) >= F.lit(mark))
+        df = lookback_filter(df, lineage.runtime, mark)
     brand, store = brand_and_store(table.name, settings)
     tags = {BRAND: F.lit(brand), STORE: F.lit(store), SOURCE: F.lit(table.full_name)}
     if settings.tz_offsets:
         offsets = settings.tz_offsets  # by full name first: schemas may share table names
         tags[HOURS] = F.lit(offsets.get(table.full_name, offsets.get(table.name, 0)))
-    return df.select(*raw_columns, *lineage.names).withColumns(tags)
+    present = {name.lower() for name in df.columns}
+    columns = [
+        F.col(f"`{field.name}`") if field.name.lower() in present
+        else F.lit(None).cast(field.dataType).alias(field.name)
+        for field in raw_columns
+    ]
+    return df.select(*columns, *lineage.names).withColumns(tags)

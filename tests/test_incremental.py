@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -70,7 +72,7 @@ def test_upsert_moves_rows_between_days_and_is_repeatable(spark, tmp_path):
         path, DAILY,
     )
     assert exists(spark, path)
-    untouched = {p.name for p in (tmp_path / "t" / "__part=2024-01-03").iterdir()}
+    untouched = {p.name for p in (tmp_path / "t" / "day=2024-01-03").iterdir()}
     # Key 1 leaves its day empty, key 4 leaves the NULL day empty, key 6 is new.
     new = dated(spark, (1, "2024-01-02", "A"), (4, "2024-01-04", "D"), (6, None, "f"))
     for _ in range(2):
@@ -79,8 +81,8 @@ def test_upsert_moves_rows_between_days_and_is_repeatable(spark, tmp_path):
             dated(spark, (1, "2024-01-02", "A"), (2, "2024-01-02", "b"), (3, "2024-01-02", "c"),
                   (4, "2024-01-04", "D"), (5, "2024-01-03", "e"), (6, None, "f"))
         )
-    assert not (tmp_path / "t" / "__part=2024-01-01").exists()
-    assert {p.name for p in (tmp_path / "t" / "__part=2024-01-03").iterdir()} == untouched
+    assert not (tmp_path / "t" / "day=2024-01-01").exists()
+    assert {p.name for p in (tmp_path / "t" / "day=2024-01-03").iterdir()} == untouched
 
 
 def test_upsert_when_the_day_is_part_of_the_key(spark, tmp_path):
@@ -164,3 +166,48 @@ def test_failed_refresh_keeps_the_table(spark, tmp_path):
     with pytest.raises(Exception, match="stop"):
         write_table(broken, path, DAILY)
     assert rows(read_table(spark, path)) == [("1", "2024-01-01", "a")]
+
+
+def test_days_of_a_table_are_folders(spark, tmp_path):
+    day = dt.date(2024, 1, 2)
+    df = dated(spark, (1, "2024-01-01", "a"), (2, "2024-01-02", "b"), (3, None, "c"))
+    path = str(tmp_path / "t")
+    write_table(df, path, DAILY)
+    table = read_table(spark, path)
+    assert table.schema == df.schema
+    assert pruned(table.where(F.col("day") == day)) and pruned(read_table(spark, path, (day, None)))
+    assert [row.x for row in read_table(spark, path, (day, day)).collect()] == ["b"]
+
+    times = df.withColumn("day", F.col("day").cast("timestamp_ntz") + F.expr("interval 5 hours"))
+    path = str(tmp_path / "hours")
+    sink = Sink(("k",), "day", by_day=True)
+    write_table(times, path, sink)
+    assert (tmp_path / "hours" / "day_day=2024-01-02").exists()
+    assert read_table(spark, path).schema == times.schema
+    assert pruned(read_table(spark, path, (None, day)))
+    assert sorted(row.x for row in read_table(spark, path, (None, day)).collect()) == ["a", "b"]
+    upsert(times.where("k = 1").withColumn("day", F.lit(None).cast("timestamp_ntz")), path, ["k"], sink)
+    assert rows(read_table(spark, path).where("day is null").select("x")) == [("a",), ("c",)]
+    with pytest.raises(ValueError, match="no date"):
+        write_table(times, str(tmp_path / "refused"), DAILY)
+
+
+def pruned(df):
+    """Whether the scan picks folders."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return "PartitionFilters: [isnotnull(day" in plan
+
+
+def test_table_of_null_days(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = dated(spark, (1, None, "a"))
+    write_table(df, path, DAILY)
+    assert read_table(spark, path).schema == df.schema
+    upsert(dated(spark, (1, "2024-01-01", "b")), path, ["k"], DAILY)
+    assert rows(read_table(spark, path)) == [("1", "2024-01-01", "b")]
+
+
+def test_empty_table_is_loaded_anew(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(dated(spark, (1, None, "a")).limit(0), path, DAILY)
+    assert not exists(spark, path)
