@@ -219,17 +219,17 @@ def _keyed_rows(
 
 
 def _all_columns_break(df: DataFrame, skip: set[str]) -> list[Column]:
-    """Tie break over a whole row: scalar columns, positions of its elements, and a hash of
-    the rest, which decides between raw rows that differ in nested values only."""
+    """Tie break over a whole row: its own scalar columns, positions of its elements, then
+    their scalars and a hash of what is still nested, for raw rows that differ there only."""
     nested = (T.ArrayType, T.StructType, T.MapType, T.VariantType)
     fields = [field for field in df.schema if field.name not in skip]
     places = [field.name for field in fields if field.name.startswith(POSITION)]
     fields = [field for field in fields if field.name not in places]
-    scalars = [f.name for f in fields if not isinstance(f.dataType, nested) and "." not in f.name]
-    others = [f.name for f in fields if f.name not in scalars
-              and not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    breaks = [quoted(name).asc_nulls_last() for name in scalars]
+    scalars = [f.name for f in fields if not isinstance(f.dataType, nested)]
+    others = [f.name for f in fields if isinstance(f.dataType, (T.ArrayType, T.StructType))]
+    breaks = [quoted(name).asc_nulls_last() for name in scalars if "." not in name]
     breaks += [F.coalesce(quoted(name), F.lit(0)).asc() for name in places]
+    breaks += [quoted(name).asc_nulls_last() for name in scalars if "." in name]
     return breaks + ([F.xxhash64(*[quoted(name) for name in others])] if others else [])
 
 

@@ -146,3 +146,43 @@ def test_run_all(spark, sf_dir, tmp_path):
     run_all(spark, [SPECS[n] for n in names], raw, targets, rates, STAMP)
     for n in names:
         assert read_table(spark, targets[n]).count() > 0
+
+
+def test_store_without_a_nested_field(spark, sf_dir, tmp_path):
+    name = "m06_inventory"
+    raw = {brand: raw_frame(spark, sf_dir, name, brand) for brand in STORES}
+    short = F.transform("nodes", lambda node: node.dropFields("availToSellQty"))
+    raw["Globex"] = raw["Globex"].withColumn("nodes", short)
+    for brand, df in raw.items():
+        df.write.parquet(f"{tmp_path}/{source_name(name, brand)}")
+    out = unify(spark, SPECS[name], Registry.from_folder(spark, str(tmp_path)), settings=STAMP)
+    amounts = {row.brand: row.n for row in out.groupBy("brand").agg(F.count("availToSellQty_amount").alias("n")).collect()}
+    assert amounts["Globex"] == 0 < amounts["Acme"]
+
+
+def test_inner_unnest_multiplies_after_the_dedup(spark, sf_dir):
+    inner = dataclasses.replace(STAMP, outer_unnest=False)
+    plan = executed(unify(spark, SPECS["m12_orders"], registry(spark, sf_dir, "m12_orders"), settings=inner))
+    below = plan[plan.index("Window ["):]
+    slim = below.index("BroadcastExchange") if "BroadcastExchange" in below else len(below)
+    early = key_paths(SPECS["m12_orders"])
+    assert below[:slim].count("Generate ") <= len(STORES) * (len(early) + 1)
+
+
+def test_schema_restricts_a_load(spark, sf_dir, tmp_path):
+    name = "m02_cap"
+    tables = [
+        t for schema, brand in (("a", "Acme"), ("b", "Globex"))
+        for t in Registry.from_frames({source_name(name, brand): raw_frame(spark, sf_dir, name, brand)}, schema).tables
+    ]
+    run(spark, SPECS[name], Registry(tables), str(tmp_path / "t"), settings=STAMP, schema="b")
+    assert [row.brand for row in read_table(spark, str(tmp_path / "t")).select("brand").distinct().collect()] == ["Globex"]
+
+
+def test_declared_partition_prunes(spark, sf_dir, tmp_path):
+    name = "m12_orders"
+    run(spark, SPECS[name], registry(spark, sf_dir, name), str(tmp_path / "t"), settings=STAMP)
+    table = read_table(spark, str(tmp_path / "t"))
+    assert table.columns == output_schema(spark, SPECS[name]).names
+    day = table.where(F.col("orderDate") == dt.date(2024, 1, 5))
+    assert "PartitionFilters: [isnotnull(orderDate" in executed(day)
