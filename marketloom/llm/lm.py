@@ -4,9 +4,10 @@ Counts of all training n-grams (one and two tokens) are made exactly, combined i
 task before the shuffle. A count ``c`` is quantised to ``floor(log2 c)`` and an n-gram is
 put into the filter once for each level up to its own; reading probes level after level
 until one is missing. The filter is made of segments, one for each bucket of n-grams, so
-that tasks build them apart; together they have at most ``MAX_BITS`` bits, which bounds
-what the driver gathers and broadcasts. If the n-grams need more, the lowest levels are
-left out, and these n-grams count as unseen.
+that tasks build them apart. It has ``BITS_PER_ITEM`` bits for every level of every
+n-gram, however many there are. Up to ``MAX_BITS`` bits it is gathered and broadcast; a
+larger one stays in a table of segments of bounded size, and the documents' n-grams
+travel to the segments instead. Both ways probe the same bits and give the same scores.
 
 A token's probability is the bigram count smoothed with the unigram probability:
 ``(c(h w) + K p(w)) / (c(h) + K)``, ``p(w) = (c(w) + 1) / (N + V + 1)``.
@@ -25,15 +26,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm.common import store
 from marketloom.llm.textnum import BASE_2, mix, pieces, signed, word_hashes
 
 FREQUENT = 1 << 16
-BUCKETS = 256
+LEAST_PREFIX = 8  # n-grams are dealt by so many leading bits of their hash at least
+TOKENS_PER_BUCKET = 1 << 23
+SEGMENT_BITS = 1 << 24
 MAX_BITS = 1 << 28
+SALTS = 16  # a segment goes to so many tasks, as common n-grams are asked for by all texts
 BITS_PER_ITEM = 10
 PROBES = 4
 SMOOTHING = 1000.0
@@ -59,6 +63,11 @@ def pair_hash(before: np.ndarray, token: np.ndarray) -> np.ndarray:
     return mix(before * np.uint64(BASE_2) + token)
 
 
+def prefix_for(amount: int, each: int) -> int:
+    """Leading bits that deal ``amount`` out to buckets of about ``each``."""
+    return max(LEAST_PREFIX, (-(-amount // each) - 1).bit_length())
+
+
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
@@ -93,7 +102,7 @@ def token_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return partial.groupBy("token").agg(F.sum("c").alias("c"))
 
 
-def repeated_bigrams(docs: DataFrame, text: str = "text") -> DataFrame:
+def repeated_bigrams(docs: DataFrame, text: str = "text", prefix: int = LEAST_PREFIX) -> DataFrame:
     """(gram, c) of bigrams that occur at least twice; others are below the first level.
 
     Tasks send one array of sorted hashes and one of counts for each bucket.
@@ -104,7 +113,7 @@ def repeated_bigrams(docs: DataFrame, text: str = "text") -> DataFrame:
         def sent(keys: np.ndarray) -> pa.RecordBatch:
             keys, counts = distinct_counts(keys)
             counts = np.minimum(counts, 2**32 - 1).astype(np.uint32)
-            cuts = np.searchsorted(keys >> np.uint64(56), np.arange(BUCKETS + 1, dtype=np.uint64))
+            cuts = np.searchsorted(keys >> np.uint64(64 - prefix), np.arange((1 << prefix) + 1, dtype=np.uint64))
             parts = [(b, keys[i:j].tobytes(), counts[i:j].tobytes()) for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])) if j > i]
             no, grams, many = zip(*parts) if parts else ((), (), ())
             return pa.RecordBatch.from_arrays(
@@ -145,21 +154,23 @@ def repeated_bigrams(docs: DataFrame, text: str = "text") -> DataFrame:
     return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "gram long, c long")
 
 
+def probes(grams: np.ndarray, level: int, segment_bits: int) -> Iterator[np.ndarray]:
+    """Places of a level's bits inside the segment (of less than 2^32 bits) of each gram."""
+    h = mix(grams + np.uint64(level * BASE_2 % 2**64))
+    step = (h >> np.uint64(32)) | np.uint64(1)
+    for _ in range(PROBES):
+        yield (h & np.uint64(0xFFFFFFFF)) * np.uint64(segment_bits) >> np.uint64(32)
+        h = h + step
+
+
 class CountFilter:
-    """Reads quantised counts: levels are probed upwards until one is missing."""
+    """Reads quantised counts: levels are probed upwards until one is missing.
 
-    def __init__(self, bits: np.ndarray, segment_bits: int, means: np.ndarray, first: int):
-        self.bits, self.segment_bits, self.means, self.first = bits, segment_bits, means, first
+    ``bits`` are those of consecutive segments, from that of bucket ``first`` on.
+    """
 
-    @staticmethod
-    def positions(grams: np.ndarray, level: int, segment_bits: int) -> Iterator[np.ndarray]:
-        """Probes of a level, inside the segment of the gram's bucket (below 2^32 bits)."""
-        start = (grams >> np.uint64(56)) * np.uint64(segment_bits)
-        h = mix(grams + np.uint64(level * BASE_2 % 2**64))
-        step = (h >> np.uint64(32)) | np.uint64(1)
-        for _ in range(PROBES):
-            yield start + ((h & np.uint64(0xFFFFFFFF)) * np.uint64(segment_bits) >> np.uint64(32))
-            h = h + step
+    def __init__(self, bits: np.ndarray, segment_bits: int, prefix: int, means: np.ndarray, first: int = 0):
+        self.bits, self.segment_bits, self.prefix, self.means, self.first = bits, segment_bits, prefix, means, first
 
     def set_bits(self, at: np.ndarray) -> np.ndarray:
         return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
@@ -168,14 +179,14 @@ class CountFilter:
         """Mean training count of the level that each gram is found at; 0 if not found."""
         level = np.zeros(len(grams), np.int64)
         alive = np.arange(len(grams))
-        for q in range(self.first, len(self.means)):
-            g = grams[alive]
+        starts = ((grams >> np.uint64(64 - self.prefix)) - np.uint64(self.first)) * np.uint64(self.segment_bits)
+        for q in range(1, len(self.means)):
             # Most n-grams end at the first probe; only the others make the rest.
-            first = next(self.positions(g, q, self.segment_bits))
-            alive, g = (x[self.set_bits(first)] for x in (alive, g))
-            found = np.ones(len(g), bool)
-            for at in self.positions(g, q, self.segment_bits):
-                found &= self.set_bits(at)
+            first = next(probes(grams[alive], q, self.segment_bits))
+            alive = alive[self.set_bits(starts[alive] + first)]
+            found = np.ones(len(alive), bool)
+            for at in probes(grams[alive], q, self.segment_bits):
+                found &= self.set_bits(starts[alive] + at)
             alive = alive[found]
             level[alive] = q
             if not len(alive):
@@ -183,46 +194,141 @@ class CountFilter:
         return self.means[level]
 
 
-def count_filter(grams: DataFrame) -> CountFilter:
-    """Build the filter's segments in tasks and put them together on the driver."""
+def segments(grams: DataFrame) -> tuple[DataFrame, int, int, np.ndarray]:
+    """The filter's segments (bucket, bits), built in tasks; bits of a segment, leading
+    bits that name the bucket, and the mean count of each level."""
     level = F.floor(F.log2("c")).cast("int").alias("level")
-    held = grams.select("gram", "c", level, F.shiftrightunsigned("gram", 56).cast("int").alias("bucket"))
+    held = grams.select("gram", "c", level)
     found = {r["level"]: (r["n"], r["mean"]) for r in held.groupBy("level").agg(
         F.count(F.lit(1)).alias("n"), F.avg("c").alias("mean")).collect()}
-    highest = max(found, default=0)
-    means = np.array([0.0] + [found.get(q, (0, 2.0**q))[1] for q in range(1, highest + 1)])
-
-    def items(first: int) -> int:
-        return sum(n * (q - first + 1) for q, (n, _) in found.items() if q >= first)
-
-    first = 1
-    while items(first) * BITS_PER_ITEM > MAX_BITS:
-        first += 1
-    segment = max(64, -(-items(first) * BITS_PER_ITEM // BUCKETS // 64) * 64)
+    means = np.array([0.0] + [found.get(q, (0, 2.0**q))[1] for q in range(1, max(found, default=0) + 1)])
+    needed = BITS_PER_ITEM * sum(n * q for q, (n, _) in found.items())
+    prefix = prefix_for(needed, SEGMENT_BITS)
+    segment = max(64, -(-needed // (1 << prefix) // 64) * 64)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits: dict[int, np.ndarray] = {}
+        def packed(bucket: int, mine: np.ndarray) -> pa.RecordBatch:
+            bits = np.packbits(mine, bitorder="little").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([bits])], names=["bucket", "bits"])
+
+        now, mine = None, np.zeros(0, bool)
         for batch in batches:
             gram, q, bucket = (c.to_numpy() for c in batch.columns)
             gram = gram.view(np.uint64)
             for b in np.unique(bucket):
-                mine = bits.setdefault(int(b), np.zeros(segment, bool))
-                for one in range(first, int(q[bucket == b].max()) + 1):
-                    for at in CountFilter.positions(gram[(bucket == b) & (q >= one)], one, segment):
-                        mine[(at % np.uint64(segment)).astype(np.int64)] = True
-        if bits:
-            packed = [np.packbits(x, bitorder="little").tobytes() for x in bits.values()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(bits), pa.int32()), pa.array(packed, pa.binary())], names=["bucket", "bits"])
-
-    parts = held.where(F.col("level") >= first).select("gram", "level", "bucket").repartition("bucket")
-    table = np.zeros(BUCKETS * segment // 8, np.uint8)
-    for row in parts.mapInArrow(build, "bucket int, bits binary").toLocalIterator():
+                if b != now:
+                    if now is not None:
+                        yield packed(now, mine)
+                    now, mine = int(b), np.zeros(segment, bool)
+                for one in range(1, int(q[bucket == b].max()) + 1):
+                    for at in probes(gram[(bucket == b) & (q >= one)], one, segment):
+                        mine[at.astype(np.int64)] = True
+        if now is not None:
+            yield packed(now, mine)
+
+    dealt = held.select("gram", "level", F.shiftrightunsigned("gram", 64 - prefix).cast("int").alias("bucket"))
+    dealt = dealt.repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(build, "bucket int, bits binary"), segment, prefix, means
+
+
+def gathered(parts: DataFrame, segment: int, prefix: int, means: np.ndarray) -> CountFilter:
+    """The whole filter; only for one whose size was checked."""
+    table = np.zeros((segment << prefix) // 8, np.uint8)
+    for row in parts.toLocalIterator():
         at = row["bucket"] * segment // 8
         table[at : at + segment // 8] = np.frombuffer(row["bits"], np.uint8)
-    return CountFilter(table, segment, means, first)
+    return CountFilter(table, segment, prefix, means)
+
+
+def log_probabilities(single: np.ndarray, pair: np.ndarray, ends: np.ndarray, texts: int, norm: float, smoothing: float) -> np.ndarray:
+    """log10 of each token's probability, from the filter's counts of tokens and bigrams.
 
+    ``ends`` are the places of the end tokens, whose count is known; a text's first token
+    follows the start, which is as frequent.
+    """
+    single[ends] = texts
+    after = np.empty_like(single)
+    after[1:] = single[:-1]
+    after[np.concatenate([[0], ends[:-1] + 1])] = texts
+    pair = np.minimum(pair, after)
+    return np.log10((pair + smoothing * (single + 1) / norm) / (after + smoothing))
+
+
+def scores_by_segment(
+    docs: DataFrame, parts: DataFrame, segment: int, prefix: int, means: np.ndarray,
+    texts: int, norm: float, smoothing: float, text: str = "text",
+) -> DataFrame:
+    """(__row, score) of texts, with a filter that is too large to broadcast.
+
+    A text sends its n-grams to their segments, one row for each bucket, and gets the
+    counts back; what a task holds is one segment, and then one text's counts.
+    """
+    shift = np.uint64(64 - prefix)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, data, offsets in pieces(batch, text):
+                token, before, place = bigrams(*word_hashes(data, offsets), rows.num_rows)
+                grams, doc = np.concatenate([token, pair_hash(before, token)]), np.concatenate([place, place])
+                many = np.bincount(place, minlength=rows.num_rows)
+                nth = np.arange(len(place)) - (np.cumsum(many) - many)[place]
+                nth = np.concatenate([nth, nth + many[place]]).astype(np.int32)
+                order = np.lexsort((grams, doc))  # buckets are in the order of grams
+                grams, doc, nth = grams[order], doc[order], nth[order]
+                bucket = (grams >> shift).astype(np.int32)
+                cuts = np.flatnonzero((doc[1:] != doc[:-1]) | (bucket[1:] != bucket[:-1])) + 1
+                cuts = np.concatenate([[0], cuts, [len(grams)]])
+                keys = rows.column(rows.schema.names.index("__row")).to_numpy()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(bucket[cuts[:-1]]), pa.array(keys[doc[cuts[:-1]]]),
+                        pa.array([nth[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary()),
+                        pa.array([grams[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary()),
+                    ],
+                    names=["bucket", "__row", "nth", "bits"],
+                )
 
-def score_documents(docs: DataFrame, held_out: str = "held_out", id_col: str = "doc_id", text: str = "text", smoothing: float = SMOOTHING) -> DataFrame:
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, table = None, None
+        for batch in batches:
+            keys, places, counts = [], [], []
+            for bucket, key, nth, bits in zip(*[batch.column(n).to_pylist() for n in ("bucket", "__row", "nth", "bits")]):
+                if nth is None:
+                    now, table = bucket, CountFilter(np.frombuffer(bits, np.uint8), segment, prefix, means, bucket)
+                    continue
+                grams = np.frombuffer(bits, np.uint64)
+                # Only buckets in which n-grams were learned have a segment.
+                found = table.counts(grams) if now == bucket else np.zeros(len(grams))
+                keys.append(key)
+                places.append(nth)
+                counts.append(found.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), pa.array(places, pa.binary()), pa.array(counts, pa.binary())], names=["__row", "nth", "counts"])
+
+    def score(table: pa.Table) -> pa.Table:
+        nth = np.frombuffer(b"".join(table["nth"].to_pylist()), np.int32)
+        counts = np.empty(len(nth))
+        counts[nth] = np.frombuffer(b"".join(table["counts"].to_pylist()), np.float64)
+        n = len(nth) // 2
+        p = log_probabilities(counts[:n], counts[n:], np.array([n - 1]), texts, norm, smoothing)
+        return pa.table({"__row": table["__row"][:1], "score": [p.sum()]})
+
+    salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    none = [F.lit(None).cast("long").alias("__row"), F.lit(None).cast("binary").alias("nth")]
+    once = docs.select("__row", text).dropDuplicates(["__row"])
+    asked = once.mapInArrow(ask, "bucket int, __row long, nth binary, bits binary")
+    sent = asked.withColumn("salt", F.pmod("__row", F.lit(SALTS)).cast("int")).unionByName(
+        parts.select("bucket", *none, "bits", salt))
+    # A segment comes before what is asked of it.
+    sent = sent.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", F.col("nth").isNotNull())
+    answers = sent.mapInArrow(answer, "__row long, nth binary, counts binary")
+    return answers.groupBy("__row").applyInArrow(score, "__row long, score double")
+
+
+def score_documents(
+    docs: DataFrame, held_out: str = "held_out", id_col: str = "doc_id", text: str = "text",
+    smoothing: float = SMOOTHING, max_bits: int = MAX_BITS,
+) -> DataFrame:
     """Learn from the rows that are not held out and score all rows."""
     spark = docs.sparkSession
     docs = docs.select(id_col, text, held_out, F.xxhash64(id_col, text).alias("__row"))
@@ -231,9 +337,11 @@ def score_documents(docs: DataFrame, held_out: str = "held_out", id_col: str = "
     words, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     texts = training.count()
     total, vocabulary = words + texts, distinct + (texts > 0)
-    pairs = repeated_bigrams(training, text)
+    pairs = repeated_bigrams(training, text, prefix_for(words, TOKENS_PER_BUCKET))
     both = store(pairs.union(counts.where("c > 1").select("token", "c")), "grams")
-    filter_ = count_filter(both)
+    parts, *shape = segments(both)
+    fits = shape[0] << shape[1] <= max_bits
+    filter_ = gathered(parts, *shape) if fits else None
     top = counts.orderBy(F.desc("c"), "token").limit(FREQUENT).toPandas()
     order = np.argsort(top["token"].to_numpy().view(np.uint64))
     known = spark.sparkContext.broadcast((
@@ -270,33 +378,34 @@ def score_documents(docs: DataFrame, held_out: str = "held_out", id_col: str = "
                 h, row = word_hashes(data, offsets)
                 hit, c = common(h)
                 token, before, place = bigrams(h, row, n)
-                single = table.counts(token)
-                single[token == END] = texts
-                after = np.empty_like(single)
-                after[1:] = single[:-1]
-                after[before == START] = texts
-                pair = np.minimum(table.counts(pair_hash(before, token)), after)
-                p = (pair + smoothing * (single + 1) / norm) / (after + smoothing)
+                total_p = np.full(n, np.nan)
+                if table is not None:
+                    ends = np.cumsum(np.bincount(place, minlength=n)) - 1
+                    p = log_probabilities(table.counts(token), table.counts(pair_hash(before, token)), ends, texts, norm, smoothing)
+                    total_p = np.bincount(place, p, n)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *[rows.column(rows.schema.names.index(x)) for x in (id_col, held_out, "__row")],
                         pa.array(np.bincount(place, minlength=n)),
                         pa.array(np.bincount(row[hit], minlength=n) + int(texts > 0)),
                         pa.array(np.bincount(row[hit], np.log10(c[hit] + 1), n) + np.log10(texts + 1)),
-                        pa.array(np.bincount(place, np.log10(p), n)),
+                        pa.array(total_p),
                     ],
                     names=[id_col, held_out, "__row", "n_tokens", "n_common", "log_common", "score"],
                 )
 
     kind = docs.schema[id_col].dataType.simpleString()
     heads = docs.mapInArrow(score, f"`{id_col}` {kind}, `{held_out}` boolean, __row long, n_tokens long, n_common long, log_common double, score double")
+    if not fits:
+        apart = scores_by_segment(docs, store(parts, "segments"), *shape, texts, norm, smoothing, text)
+        heads = heads.drop("score").join(apart, "__row")
     looked_up = docs.select("__row", text).mapInArrow(rare, "__row long, token long, tf long").join(counts, "token")
     rest = looked_up.groupBy("__row").agg(
         F.sum("tf").alias("n_rare"), F.sum(F.col("tf") * F.log10(F.col("c") + 1)).alias("log_rare"))
     # Rows that are whole copies share their key: each takes its part of the sum.
-    copies = F.count(F.lit(1)).over(Window.partitionBy("__row"))
+    rest = rest.join(docs.groupBy("__row").agg(F.count(F.lit(1)).alias("__copies")), "__row")
     part = lambda c, zero: F.coalesce(F.col(c) / F.col("__copies"), F.lit(zero))
-    return heads.withColumn("__copies", copies).join(rest, "__row", "left").select(
+    return heads.join(rest, "__row", "left").select(
         id_col, held_out, "n_tokens",
         (F.col("n_common") + part("n_rare", 0).cast("long")).cast("long").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),

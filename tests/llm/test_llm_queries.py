@@ -240,6 +240,17 @@ def test_op7_learns(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_op7_filter_too_large_to_broadcast(spark, table):
+    from marketloom.llm.lm import score_documents
+
+    docs = spark.read.parquet(f"{table[0]}/documents.parquet").withColumn("held_out", F.col("doc_id") % 5 == 0)
+    key = lambda r: (str(r.doc_id), r.n_tokens, r.base_score)
+    small, large = (sorted(score_documents(docs.fillna({"held_out": False}), max_bits=b).collect(), key=key) for b in (1 << 28, 0))
+    assert len(small) == len(large) == len(table[1])
+    for a, b in zip(small, large):
+        assert key(a) == key(b) and a.score == pytest.approx(b.score, rel=1e-9)
+
+
 def test_op8(spark, table):
     folder, docs = table
     got = result(spark, "op8", folder)
