@@ -1,8 +1,8 @@
 """Language identification with interpolated Kneser-Ney character models.
 
-One model per language, of ``ORDER`` characters, learned from a bounded sample: at most
-``DOCS_PER_LANGUAGE`` labelled documents of a language, chosen by a hash of the row, and
-``CHARS_PER_DOC`` characters of each. Counts are made in tasks; models hold, for each
+One model per language, of ``ORDER`` characters, learned from a bounded sample: the whole
+texts of at most ``DOCS_PER_LANGUAGE`` labelled documents of a language, chosen by a hash
+of the text. Counts are made in tasks; models hold, for each
 order, sorted hashes of the seen n-grams with their probabilities, and sorted hashes of
 contexts with their back-off weights. A fifth of the sample calibrates the rejection: a
 text is rejected when its cross-entropy exceeds what nearly all sample texts of the
@@ -29,7 +29,6 @@ from marketloom.llm.textnum import mix, pieces
 
 ORDER = 4
 DOCS_PER_LANGUAGE = 600
-CHARS_PER_DOC = 10_000
 CACHE_BITS = 19
 UNDETERMINED = "und"
 _TABLE: list[np.ndarray] = []
@@ -170,7 +169,7 @@ class Identifier:
         keys, at = grams(low, row, min(ORDER, 4))
         n = np.bincount(at, minlength=rows)
         sums = np.zeros((rows, len(self.models)))
-        if len(keys):
+        if len(keys) and self.models:
             cost = self.bits(keys)
             first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
             sums[at[first]] = np.add.reduceat(cost, first, axis=0, dtype=np.float64)
@@ -189,15 +188,31 @@ def _sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                     [pa.array([name] * len(k), pa.string()), pa.array(k.view(np.int64)), pa.array(c)], names=["lang", "gram", "c"])
 
 
+def own_entropies(sample: DataFrame, known: Identifier) -> DataFrame:
+    """(lang, h): cross-entropy of texts, of twenty n-grams at least, in their own language."""
+    shared = sample.sparkSession.sparkContext.broadcast(known)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            for rows, data, offsets in pieces(batch, "text"):
+                lang = rows.column(rows.schema.names.index("lang")).to_pylist()
+                h, n = model.entropies(*letters(data, offsets), rows.num_rows)
+                out = [(x, h[i, model.languages.index(x)]) for i, x in enumerate(lang) if n[i] >= 20 and x in model.languages]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x for x, _ in out], pa.string()), pa.array([v for _, v in out], pa.float64())], names=["lang", "h"])
+
+    return sample.select("lang", "text").mapInArrow(measure, "lang string, h double")
+
+
 def fit(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> Identifier:
     """Learn from rows (lang, text) with a language; only the bounded sample is gathered."""
     rows = labelled.where("lang is not null and text is not null").withColumn("key", uniform_hash(8, "text"))
     rank = Window.partitionBy("lang").orderBy("key")
     ids = rows.select("lang", "key").withColumn("nth", F.row_number().over(rank)).where(F.col("nth") <= docs_per_language)
     ids = ids.dropDuplicates(["lang", "key"])
-    text = F.substring("text", 1, CHARS_PER_DOC).alias("text")
     # At most docs_per_language rows for each language.
-    sample = rows.join(F.broadcast(ids), ["lang", "key"]).dropDuplicates(["lang", "key"]).select("lang", "nth", text)
+    sample = rows.join(F.broadcast(ids), ["lang", "key"]).dropDuplicates(["lang", "key"]).select("lang", "nth", "text")
     counts = sample.where("nth % 5 <> 0").select("lang", "text").mapInArrow(_sample_counts, "lang string, gram long, c long")
     table = counts.groupBy("lang", "gram").agg(F.sum("c").alias("c")).toArrow()
     names = table["lang"].to_numpy()
@@ -205,16 +220,9 @@ def fit(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> Iden
     languages = sorted(set(names))
     models = [KneserNey(gram[names == x], c[names == x]) for x in languages]
     known = Identifier(languages, models, np.full(len(languages), np.inf))
-    for row in sample.where("nth % 5 = 0").groupBy("lang").agg(F.collect_list("text").alias("texts")).collect():
-        if row["lang"] in languages and row["texts"]:
-            i = languages.index(row["lang"])
-            data = np.frombuffer("".join(row["texts"]).encode(), np.uint8)
-            offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in row["texts"]])])
-            h, n = known.entropies(*letters(data, offsets), len(row["texts"]))
-            h = h[n >= 20, i]
-            if len(h):
-                known.limits[i] = h.mean() + 4 * h.std() + 0.1
-    known.slots = None
+    for row in own_entropies(sample.where("nth % 5 = 0"), known).groupBy("lang").agg(
+        F.avg("h").alias("mean"), F.stddev_pop("h").alias("spread")).collect():
+        known.limits[languages.index(row["lang"])] = row["mean"] + 4 * row["spread"] + 0.1
     return known
 
 

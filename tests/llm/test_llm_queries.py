@@ -268,6 +268,14 @@ def test_op8(spark, table):
         assert right >= 0.98 * len(got)
 
 
+def test_language_without_learnable_text(spark):
+    from marketloom.llm.language import fit, identify
+
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(["", " ", "1", "2", "ab"])], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in identify(docs, fit(docs), ["doc_id"]).collect()}
+    assert len(got) == 5 and all(got[i] == "und" for i in range(4))
+
+
 def test_op9(spark, table):
     folder, docs = table
     got = result(spark, "op9", folder)
