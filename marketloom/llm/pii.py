@@ -38,7 +38,7 @@ PATTERNS: tuple[tuple[str, str], ...] = (
     ("ssn", r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])"),
     ("phone", r"(?<![0-9A-Za-z])\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)[ .\-]?)?[0-9]{2,4}(?:[ .\-]?[0-9]{2,4}){1,4}(?![0-9A-Za-z])"),
     ("phone", r"(?<![0-9A-Za-z])(?:\([0-9]{3}\) ?|[0-9]{3}[.\-])[0-9]{3}[.\-][0-9]{4}(?![0-9A-Za-z])"),
-    ("name", r"(?<!\w)(?:Mr|Mrs|Ms|Herr|Frau|Monsieur|Madame|Señora|Señor)\.? [^\W\d_][\w'\-]+(?: [A-ZÀ-Þ][\w'\-]+)?"),
+    ("name", r"(?<!\w)(?:Mr|Mrs|Ms|Herr|Frau|Monsieur|Madame|Señora|Señor)\.? [^\W\d_][\w'\-]+(?: [A-ZÀ-ÞΑ-ΩА-Я][\w'\-]+)?"),
 )
 
 # Name parts by gender of the title.
@@ -49,6 +49,13 @@ GIVEN = {
 }
 FAMILY = "Abel Berg Conrad Dorn Engel Frank Gruber Hall Jansen Keller Lang Moser Novak Olsen Petri Roth".split()
 
+# First and last code point of a script, and its letters.
+LATIN = "abcdefghijklmnopqrstuvwxyz"
+SCRIPTS = (
+    ("\u0370", "\u03ff", "αβγδεζηθικλμνξοπρστυφχψω"),
+    ("\u0400", "\u04ff", "абвгдежзиклмнопрстуфхцчшщэюя"),
+)
+
 # Every match holds one of these; most texts hold none and need no closer look.
 SIGNS = re.compile(r"[0-9@=:]|M(?:r|s|onsieur|adame)|Herr|Frau|Señor")
 
@@ -104,6 +111,8 @@ def surrogate(kind: str, entity: str, attempt: int, key: str = KEY) -> str:
     digit = lambda low=0: str(low + next(draw) % (10 - low))
     if kind == "name":
         title, *names = entity.split(" ")
+        if any(_letters(c) != LATIN for c in "".join(names)):
+            return " ".join([title, *[_alike(part, draw) for part in names]])
         given = GIVEN["m" if title.capitalize() in MALE_TITLES else "f"]
         parts = [given[next(draw) % 16]] if len(names) > 1 else []
         family = [FAMILY[next(draw) % 16] for _ in range(2 + attempt)]
@@ -133,15 +142,20 @@ def surrogate(kind: str, entity: str, attempt: int, key: str = KEY) -> str:
     return _alike(entity, draw)
 
 
+def _letters(c: str) -> str:
+    """The letters of a character's script; Latin ones for scripts without a table."""
+    return next((letters for first, last, letters in SCRIPTS if first <= c <= last), LATIN)
+
+
 def _alike(text: str, draw: Iterator[int]) -> str:
-    """A digit for each digit and a letter of the same case for each letter."""
-    letters = "abcdefghijklmnopqrstuvwxyz"
+    """A digit for each digit and a letter of the same case and script for each letter."""
     out = []
     for c in text:
         if c.isdigit():
             out.append(str(next(draw) % 10))
         elif c.isalpha():
-            new = letters[next(draw) % 26]
+            letters = _letters(c)
+            new = letters[next(draw) % len(letters)]
             out.append(new.upper() if c.isupper() else new)
         else:
             out.append(c)

@@ -302,6 +302,18 @@ def test_surrogates_keep_type():
     assert surrogate("ip", "1.2.3.4", 0) != surrogate("ip", "1.2.3.4", 1)
 
 
+def test_surrogates_keep_script():
+    from marketloom.llm.pii import _compiled, _kind, _matches, spelled
+
+    for old in ("Mr Иван Петров", "Frau Ελένη ΠΑΠΠΑ"):
+        kind, value, _ = _kind(next(_matches(_compiled(), f"Then {old} came.")))
+        new = spelled(kind, value, surrogate(kind, canonical(kind, value), 0))
+        assert value == old and new != old and len(new) == len(old) and new.split()[0] == old.split()[0]
+        assert {"Ͱ" <= c <= "ӿ" for c in "".join(new.split()[1:])} == {True}
+    again = surrogate("name", canonical("name", "MR ИВАН ПЕТРОВ"), 0)
+    assert again == surrogate("name", canonical("name", "Mr. Иван Петров"), 0)
+
+
 def test_surrogate_collisions_are_redrawn(spark):
     from marketloom.llm.pii import redrawn
 
