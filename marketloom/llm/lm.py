@@ -1,9 +1,9 @@
 """Bigram language model in a log-frequency Bloom filter.
 
 Counts of all training n-grams (one and two tokens) are made exactly, combined in each
-task before the shuffle. A count ``c`` is quantised to ``floor(log2 c)`` and an n-gram is
-put into the filter once for each level up to its own; reading probes level after level
-until one is missing. The filter is made of segments, one for each bucket of n-grams, so
+task before the shuffle. A count ``c`` is quantised to level ``1 + floor(log2 c)``, so that
+n-grams seen once have the first level, and an n-gram is put into the filter once for each
+level up to its own; reading probes level after level until one is missing. The filter is made of segments, one for each bucket of n-grams, so
 that tasks build them apart. It has ``BITS_PER_ITEM`` bits for every level of every
 n-gram, however many there are. Up to ``MAX_BITS`` bits it is gathered and broadcast; a
 larger one stays in a table of segments of bounded size, and the documents' n-grams
@@ -102,8 +102,8 @@ def token_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return partial.groupBy("token").agg(F.sum("c").alias("c"))
 
 
-def repeated_bigrams(docs: DataFrame, text: str = "text", prefix: int = LEAST_PREFIX) -> DataFrame:
-    """(gram, c) of bigrams that occur at least twice; others are below the first level.
+def bigram_counts(docs: DataFrame, text: str = "text", prefix: int = LEAST_PREFIX) -> DataFrame:
+    """(gram, c): exact counts of bigrams, by 64-bit hash.
 
     Tasks send one array of sorted hashes and one of counts for each bucket.
     """
@@ -136,7 +136,7 @@ def repeated_bigrams(docs: DataFrame, text: str = "text", prefix: int = LEAST_PR
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def merged(keys: list[bytes], counts: list[bytes]) -> pa.RecordBatch:
             k, c = summed(np.frombuffer(b"".join(keys), np.uint64), np.frombuffer(b"".join(counts), np.uint32).astype(np.uint64))
-            return pa.RecordBatch.from_arrays([signed(k[c > 1]), signed(c[c > 1])], names=["gram", "c"])
+            return pa.RecordBatch.from_arrays([signed(k), signed(c)], names=["gram", "c"])
 
         now, keys, counts = None, [], []
         for batch in batches:
@@ -197,11 +197,11 @@ class CountFilter:
 def segments(grams: DataFrame) -> tuple[DataFrame, int, int, np.ndarray]:
     """The filter's segments (bucket, bits), built in tasks; bits of a segment, leading
     bits that name the bucket, and the mean count of each level."""
-    level = F.floor(F.log2("c")).cast("int").alias("level")
+    level = (F.floor(F.log2("c")) + 1).cast("int").alias("level")
     held = grams.select("gram", "c", level)
     found = {r["level"]: (r["n"], r["mean"]) for r in held.groupBy("level").agg(
         F.count(F.lit(1)).alias("n"), F.avg("c").alias("mean")).collect()}
-    means = np.array([0.0] + [found.get(q, (0, 2.0**q))[1] for q in range(1, max(found, default=0) + 1)])
+    means = np.array([0.0] + [found.get(q, (0, 2.0 ** (q - 1)))[1] for q in range(1, max(found, default=0) + 1)])
     needed = BITS_PER_ITEM * sum(n * q for q, (n, _) in found.items())
     prefix = prefix_for(needed, SEGMENT_BITS)
     segment = max(64, -(-needed // (1 << prefix) // 64) * 64)
@@ -337,8 +337,8 @@ def score_documents(
     words, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     texts = training.count()
     total, vocabulary = words + texts, distinct + (texts > 0)
-    pairs = repeated_bigrams(training, text, prefix_for(words, TOKENS_PER_BUCKET))
-    both = store(pairs.union(counts.where("c > 1").select("token", "c")), "grams")
+    pairs = bigram_counts(training, text, prefix_for(words, TOKENS_PER_BUCKET))
+    both = store(pairs.union(counts.select("token", "c")), "grams")
     parts, *shape = segments(both)
     fits = shape[0] << shape[1] <= max_bits
     filter_ = gathered(parts, *shape) if fits else None

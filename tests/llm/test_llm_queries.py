@@ -240,6 +240,35 @@ def test_op7_learns(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+@pytest.mark.parametrize("max_bits", [1 << 28, 0])
+def test_op7_scores_hold_all_counts(spark, table, max_bits):
+    from marketloom.llm.lm import SMOOTHING, score_documents
+
+    df = spark.read.parquet(f"{table[0]}/documents.parquet").withColumn("held_out", F.col("doc_id") % 5 == 0)
+    got = score_documents(df.fillna({"held_out": False}), max_bits=max_bits).collect()
+    tokens = [[*words(d.text), 0] for d in table[1]]
+    learned = [w for d, w in zip(table[1], tokens) if d.doc_id is None or d.doc_id % 5]
+    single, pair = Counter(t for w in learned for t in w if t), Counter(p for w in learned for p in zip([1, *w], w))
+    levels = defaultdict(list)
+    for c in [*single.values(), *pair.values()]:
+        levels[c.bit_length()].append(c)
+    quantised = {q: sum(c) / len(c) for q, c in levels.items()} | {0: 0}
+    assert quantised[1] == 1
+    read = lambda c: quantised[c.bit_length()]
+    texts = len(learned)
+    norm = single.total() + texts + len(single) + 1 + 1
+    want = defaultdict(list)
+    for d, w in zip(table[1], tokens):
+        score = 0.0
+        for a, b in zip([1, *w], w):
+            before, p = read(single[a]) if a != 1 else texts, ((read(single[b]) if b else texts) + 1) / norm
+            score += math.log10((min(read(pair[(a, b)]), before) + SMOOTHING * p) / (before + SMOOTHING))
+        want[(d.doc_id, len(w))].append(score)
+    # One in about 85 unseen n-grams is read as seen once, and so on up the levels.
+    off = [min(abs(r.score / x - 1) for x in want[(r.doc_id, r.n_tokens)]) for r in got]
+    assert len(off) == len(tokens) and max(off) < 0.01 and sum(off) / len(off) < 0.002
+
+
 def test_op7_filter_too_large_to_broadcast(spark, table):
     from marketloom.llm.lm import score_documents
 
