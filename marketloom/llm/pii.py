@@ -29,9 +29,9 @@ KEY = "surrogates"
 # secret, or a number inside an address, belongs to the outer one.
 PATTERNS: tuple[tuple[str, str], ...] = (
     ("email", r"[A-Za-z0-9._%+\-]+@(?:[A-Za-z0-9\-]+\.)+[A-Za-z]{2,24}"),
-    ("secret", r"(?<![0-9A-Za-z])(?=[0-9A-Fa-f]*[0-9])(?=[0-9A-Fa-f]*[A-Fa-f])[0-9A-Fa-f]{32,128}(?![0-9A-Za-z])"),
-    ("secret", r"(?<![0-9A-Za-z])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,64})(?![0-9A-Za-z])"),
-    ("secret", r"(?i:(?<![a-z])(?:token|secret|password|passwd|api_key|apikey)\s*[=:]\s*[\"'])[^\"'\s]{6,128}(?=[\"'])"),
+    ("secret", r"(?<![0-9A-Za-z])(?=[0-9A-Fa-f]*[0-9])(?=[0-9A-Fa-f]*[A-Fa-f])[0-9A-Fa-f]{32,}(?![0-9A-Za-z])"),
+    ("secret", r"(?<![0-9A-Za-z])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,})(?![0-9A-Za-z])"),
+    ("secret", r"(?i:(?<![a-z])(?:token|secret|password|passwd|api_key|apikey)\s*[=:]\s*[\"'])[^\"'\s]{6,}(?=[\"'])"),
     ("iban", r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){3,7}(?![0-9A-Za-z])"),
     ("card", r"(?<![0-9A-Za-z.])[0-9]{4}(?:[ \-]?[0-9]{4}){2}[ \-]?[0-9]{1,7}(?![0-9A-Za-z])"),
     ("ip", r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])"),

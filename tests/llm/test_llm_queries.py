@@ -343,6 +343,22 @@ def test_surrogates_keep_script():
     assert again == surrogate("name", canonical("name", "Mr. Иван Петров"), 0)
 
 
+@pytest.mark.parametrize("length", [36, 128, 129, 180, 500, 2000])
+def test_secrets_of_any_length(spark, length):
+    from marketloom.llm.pii import replace_entities
+
+    body = (hashlib.sha512(b"x").hexdigest() * 16)[:length]
+    jwt = f"eyJ.{body}-_="[-length:]
+    texts = {f"See {body}, then": body, f"Key sk-{body} is": f"sk-{body}", f"token = \"{jwt}\" and": jwt, f"password: '{jwt}'": jwt}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    for r in replace_entities(docs).collect():
+        old, secret = list(texts.items())[r.doc_id]
+        before, after = old.split(secret)
+        assert r["__n_entities"] == 1 and len(r.text) == len(old) and r.text.startswith(before) and r.text.endswith(after)
+        new = r.text[len(before) : len(old) - len(after)]
+        assert not any(secret[i : i + 16] in new for i in range(0, length - 15))
+
+
 def test_surrogate_collisions_are_redrawn(spark):
     from marketloom.llm.pii import redrawn
 
