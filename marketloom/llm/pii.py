@@ -25,6 +25,9 @@ from marketloom.llm.common import store
 
 KEY = "surrogates"
 
+# Countries whose IBAN ends with a group of four; a short word behind it is not part of it.
+WHOLE_GROUPS = "AD|AL|AT|AZ|BA|BE|BY|CY|CZ|DO|EE|ES|GT|HU|KZ|LB|LT|LU|MD|NI|PK|PL|RO|SA|SE|SK|SV|TN|VG|XK"
+
 # Patterns by type. Longer types come first, so that an address inside a
 # secret, or a number inside an address, belongs to the outer one.
 PATTERNS: tuple[tuple[str, str], ...] = (
@@ -32,10 +35,12 @@ PATTERNS: tuple[tuple[str, str], ...] = (
     ("secret", r"(?<![0-9A-Za-z])(?=[0-9A-Fa-f]*[0-9])(?=[0-9A-Fa-f]*[A-Fa-f])[0-9A-Fa-f]{32,}(?![0-9A-Za-z])"),
     ("secret", r"(?<![0-9A-Za-z])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,})(?![0-9A-Za-z])"),
     ("secret", r"(?i:(?<![a-z])(?:token|secret|password|passwd|api_key|apikey)\s*[=:]\s*[\"'])[^\"'\s]{6,}(?=[\"'])"),
-    ("iban", r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){3,7}(?![0-9A-Za-z])"),
+    ("iban", rf"(?<![0-9A-Za-z])(?:{WHOLE_GROUPS})[0-9]{{2}}(?: ?[0-9A-Z]{{4}}){{3,7}}(?![0-9A-Za-z])"),
+    ("iban", r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2}(?:(?: ?[0-9A-Z]{4}){1,5}(?: ?[0-9A-Z]{1,3})?| ?[0-9A-Z]{3})(?![0-9A-Za-z])"),
     ("card", r"(?<![0-9A-Za-z.])[0-9]{4}(?:[ \-]?[0-9]{4}){2}[ \-]?[0-9]{1,7}(?![0-9A-Za-z])"),
     ("ip", r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])"),
     ("ssn", r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])"),
+    ("phone", r"(?<![0-9A-Za-z])(?=\+[0-9](?:[ .\-()]{0,3}[0-9]){6})\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)[ .\-]?)?[0-9]{1,4}(?:[ .\-]?[0-9]{1,4}){0,3}(?:[ .\-]?[0-9]{2,4}|[.\-][0-9])(?![0-9A-Za-z])"),
     ("phone", r"(?<![0-9A-Za-z])\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)[ .\-]?)?[0-9]{2,4}(?:[ .\-]?[0-9]{2,4}){1,4}(?![0-9A-Za-z])"),
     ("phone", r"(?<![0-9A-Za-z])(?:\([0-9]{3}\) ?|[0-9]{3}[.\-])[0-9]{3}[.\-][0-9]{4}(?![0-9A-Za-z])"),
     ("name", r"(?<!\w)(?:Mr|Mrs|Ms|Herr|Frau|Monsieur|Madame|Señora|Señor)\.? [^\W\d_][\w'\-]+(?: [A-ZÀ-ÞΑ-ΩА-Я][\w'\-]+)?"),

@@ -359,6 +359,38 @@ def test_secrets_of_any_length(spark, length):
         assert not any(secret[i : i + 16] in new for i in range(0, length - 15))
 
 
+IBANS = (
+    "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "FR14 2004 1010 0505 0001 3M02 606", "IT60 X054 2811 1010 0000 0123 456",
+    "NL91 ABNA 0417 1643 00", "NO93 8601 1117 947", "BE68 5390 0754 7034", "MT84 MALT 0110 0001 2345 MTLC AST0 01S",
+    "SC18 SSCB 1101 0000 0000 0000 1497 USD", "PL61 1090 1014 0000 0712 1981 2874",
+)
+PHONES = (
+    "+33 1 23 45 67 89", "+61 2 9876 5432", "+32 2 123 45 67", "+81 3-1234-5678", "+46 8 123 456 78", "+49 30 12 3 45 67",
+    "+1 (017) 555-7713", "+44 (0)20 7946 0958", "+4915112345678", "+1 23 45",
+)
+
+
+@pytest.mark.parametrize("kind, value", [("iban", x) for x in (*IBANS, *(y.replace(" ", "") for y in IBANS))] + [("phone", x) for x in PHONES])
+def test_whole_numbers_are_found(kind, value):
+    from marketloom.llm.pii import _compiled, _kind, _matches, spelled
+
+    for text in (f"Use {value}, please", f"Use {value} OK", f"({value})"):
+        found = [_kind(m) for m in _matches(_compiled(), text)]
+        assert found == [(kind, value, text.index(value))]
+    plain = canonical(kind, value)
+    new = spelled(kind, value, surrogate(kind, plain, 0))
+    assert new != value and [c for c in new if not c.isalnum()] == [c for c in value if not c.isalnum()] and len(new) == len(value)
+    if kind == "iban":
+        turned = new.replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in turned[4:] + turned[:4])) % 97 == 1
+
+
+def test_signed_decimals_are_no_phones():
+    from marketloom.llm.pii import _compiled, _matches
+
+    assert not [m.group() for m in _matches(_compiled(), "It rose by +1.5 to +12.5, then +3 2 1, +5 %.")]
+
+
 def test_surrogate_collisions_are_redrawn(spark):
     from marketloom.llm.pii import redrawn
 
