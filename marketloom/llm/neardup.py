@@ -319,11 +319,12 @@ def op3_odd_sketches(spark, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the smallest document of every component, and rows without an id.
+    """Pipeline stage: the smallest document of every component at a similarity of 0.8, and
+    rows without an id.
 
     Of rows that share an id, the one with the least hash of its columns stays.
     """
-    dropped = near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    dropped = near_duplicates(docs, similarity=0.8).where("not kept").select("doc_id").distinct()
     left = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
     repeated = left.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
     if not repeated.limit(1).count():

@@ -122,6 +122,38 @@ def test_op3(spark, table):
     assert got == want
 
 
+def test_one_of_each_links_from_four_fifths(spark, sf_dir):
+    from marketloom.llm.neardup import one_of_each
+
+    base = [[f"{c}{i}" for i in range(54)] for c in "abcdefgh"]
+    # One other word in the middle: 45 of 55 shingles (0.818); two apart: 40 of 60.
+    near = [[*w[:20], "x", *w[21:]] for w in base]
+    far = [[*w[:15], "y", *w[16:35], "z", *w[36:]] for w in base]
+    texts = [" ".join(w) for w in base + near + far]
+    small = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = small.union(spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(texts)], small.schema))
+    sets, parent = {}, {}
+    for d in docs.collect():
+        w = words(d.text)
+        sets[d.doc_id] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
+        parent[d.doc_id] = d.doc_id
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    want = [x for x in ids if root(x) == x]
+    assert sum(x >= 10**6 for x in want) == 16
+    assert sorted(r.doc_id for r in one_of_each(spark, docs, sf_dir).select("doc_id").collect()) == want
+
+
 def test_op4(spark, table):
     import numpy as np
     import public_tokenizers as P
