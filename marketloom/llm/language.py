@@ -209,8 +209,9 @@ def fit(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> Iden
     """Learn from rows (lang, text) with a language; only the bounded sample is gathered."""
     rows = labelled.where("lang is not null and text is not null").withColumn("key", uniform_hash(8, "text"))
     rank = Window.partitionBy("lang").orderBy("key")
-    ids = rows.select("lang", "key").withColumn("nth", F.row_number().over(rank)).where(F.col("nth") <= docs_per_language)
-    ids = ids.dropDuplicates(["lang", "key"])
+    # Texts are ranked, not rows: copies take one place.
+    ids = rows.select("lang", "key").distinct()
+    ids = ids.withColumn("nth", F.row_number().over(rank)).where(F.col("nth") <= docs_per_language)
     # At most docs_per_language rows for each language.
     sample = rows.join(F.broadcast(ids), ["lang", "key"]).dropDuplicates(["lang", "key"]).select("lang", "nth", "text")
     counts = sample.where("nth % 5 <> 0").select("lang", "text").mapInArrow(_sample_counts, "lang string, gram long, c long")

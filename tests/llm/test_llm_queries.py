@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import pickle
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -337,6 +338,17 @@ def test_language_without_learnable_text(spark):
     assert len(got) == 5 and all(got[i] == "und" for i in range(4))
 
 
+def test_language_sample_ranks_texts(spark):
+    from marketloom.llm.language import fit
+
+    texts = [f"{a}{b} is the word of the text {b}{a} here" for a in "abcdefgh" for b in "ijklmnop"]
+    once = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string")
+    copies = spark.createDataFrame([(t, "en") for i, t in enumerate(texts) for _ in range(1 + 9 * (i % 3))], "text string, lang string")
+    a, b = fit(once, 40), fit(copies, 40)
+    assert pickle.dumps(a.models) == pickle.dumps(b.models)
+    assert a.limits == pytest.approx(b.limits)
+
+
 def test_op9(spark, table):
     folder, docs = table
     got = result(spark, "op9", folder)
