@@ -46,6 +46,12 @@ def odd_dir(spark, tmp_path_factory):
 def empty_dir(spark, odd_dir, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("none"))
     spark.read.parquet(f"{odd_dir}/documents.parquet").limit(0).write.parquet(f"{folder}/documents.parquet")
+    kinds = {
+        "embeddings": "vec_id long, embedding array<float>, label int",
+        "conversations": "conv_id long, turn long, role string, text string",
+    }
+    for name, kind in kinds.items():
+        spark.createDataFrame([], kind).write.parquet(f"{folder}/{name}.parquet")
     return folder
 
 
