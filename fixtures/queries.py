@@ -43,7 +43,7 @@ from marketloom.operators import (
 )
 from marketloom.plans import run, unify
 from marketloom.plans.pipeline import audit_columns, raw_type
-from marketloom.sinks import Sink, read_table, scratch_folder, upsert, write_table
+from marketloom.sinks import Sink, read_table, recover, scratch_folder, upsert, write_table
 from marketloom.sources import Registry, discover, name_part_column, normalize_meta
 from marketloom.streaming import high_water_mark, lookback_filter, merge_upsert
 
@@ -797,6 +797,33 @@ def snk_full_refresh_dynamic_conf(spark, sf_dir):
     return read_table(spark, path)
 
 
+RECOVERED = "m03_cpa_on_request"
+
+
+class Stopped(Exception):
+    """A writer that is stopped at some step."""
+
+
+@query(merged_sql(
+    pipeline_sql(RECOVERED, batches=1), pipeline_sql(RECOVERED, since=LAST_MARK), list(SPECS[RECOVERED].keys)
+))
+def snk_recovered_refresh(spark, sf_dir):
+    """An upsert that is stopped while no table is in place; the next load finishes it."""
+
+    def stop(step):
+        if step == "move the table":
+            raise Stopped(step)
+
+    old, new = _versions(spark, sf_dir, RECOVERED)
+    spec, path = SPECS[RECOVERED], scratch_folder(spark)
+    write_table(old, path, spec.sink)
+    try:
+        upsert(new, path, list(spec.keys), spec.sink, step=stop)
+    except Stopped:
+        recover(spark, path)
+    return read_table(spark, path)
+
+
 ORDERED_SQL = "select o_orderkey, cast(o_orderdate as date) as o_day, o_totalprice from orders"
 
 

@@ -35,7 +35,7 @@ from marketloom.operators.nested import POSITION
 from marketloom.operators.timezone import is_datetime, shift_timezone
 from marketloom.plans.spec import BATCH_DATE, FeedSpec, Output, record
 from marketloom.settings import Lineage, Settings
-from marketloom.sinks import exists, read_table, upsert, write_table
+from marketloom.sinks import exists, read_table, recover, upsert, write_table
 from marketloom.sources import BRAND, HOURS, SOURCE, STORE, Registry, SourceTable, tag_source
 from marketloom.streaming.incremental import high_water_mark
 
@@ -372,7 +372,11 @@ def run(
     schema: str | None = None,
     catalog: str | None = None,
 ) -> None:
-    """Load one feed into the table at ``target``, incrementally when it exists."""
+    """Load one feed into the table at ``target``, incrementally when it exists.
+
+    What an interrupted load has left is finished or removed first.
+    """
+    recover(spark, target)
     if full_refresh or not exists(spark, target):
         rows = unify(spark, spec, registry, rates, None, settings, schema, catalog)
         write_table(rows, target, spec.sink)

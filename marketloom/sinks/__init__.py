@@ -1,5 +1,6 @@
 """Writing unified tables."""
 
+from marketloom.sinks.publish import recover
 from marketloom.sinks.tables import (
     Sink,
     exists,
@@ -17,6 +18,7 @@ __all__ = [
     "layout",
     "merge_into_table",
     "read_table",
+    "recover",
     "scratch_folder",
     "upsert",
     "write_table",

@@ -18,6 +18,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketloom.operators.skew import key_condition
+from marketloom.sinks.publish import (
+    NEW,
+    UPDATES,
+    Files,
+    Step,
+    beside,
+    publish_parts,
+    publish_table,
+    recover,
+)
 from marketloom.streaming.incremental import merge_upsert
 
 # Mark in the metadata of the first stored column: the folder column and its place among
@@ -48,42 +58,13 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/marketloom-{uuid.uuid4().hex}"
 
 
-def _hadoop(spark: SparkSession, path: str):
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
-
-
-def _file_names(spark: SparkSession, path: str) -> set[str]:
-    files, location = _hadoop(spark, path)
-    if not files.exists(location):
-        return set()
-    return {status.getPath().getName() for status in files.listStatus(location)}
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    files, location = _hadoop(spark, path)
-    files.delete(location, True)
-
-
-def _beside(path: str, what: str) -> str:
-    """A new folder next to the table, on the same file system."""
-    return f"{path.rstrip('/')}--{what}-{uuid.uuid4().hex}"
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     """True for a table with data files, whether or not its writer left a marker.
 
     A table appears by one move of a complete folder, so files mean a whole table. A
     table without rows has none and is loaded anew.
     """
-    files, location = _hadoop(spark, path)
-    if not files.exists(location):
-        return False
-    found = files.listFiles(location, True)
-    while found.hasNext():
-        if found.next().getPath().getName().endswith(".parquet"):
-            return True
-    return False
+    return Files(spark, path).has_data(path)
 
 
 Days = tuple[dt.date | None, dt.date | None]
@@ -151,18 +132,27 @@ def layout(df: DataFrame, sink: Sink) -> DataFrame:
     return ranged.sortWithinPartitions(*order).drop("__piece")
 
 
-def write_table(df: DataFrame, path: str, sink: Sink) -> None:
+def write_table(df: DataFrame, path: str, sink: Sink, step: Step | None = None) -> None:
     """Write the whole table, replacing what is there.
 
-    The new table is written next to the old one and moved in when it is complete; a run
-    that fails leaves the old table as it was.
+    The new table is written next to the old one and moved in when it is complete. A run
+    that fails leaves the old table as it was; one that is stopped while tables are moved
+    is finished by the next (:mod:`marketloom.sinks.publish`).
     """
-    spark = df.sparkSession
-    staged, old = _beside(path, "new"), _beside(path, "old")
-    files, location = _hadoop(spark, path)
-    as_path = spark._jvm.org.apache.hadoop.fs.Path
+    recover(df.sparkSession, path)
+    _replace(df, path, sink, step)
+
+
+def _replace(df: DataFrame, path: str, sink: Sink, step: Step | None) -> None:
+    staged = beside(path, NEW)
+    _stage(df, staged, sink)
+    publish_table(df.sparkSession, staged, path, step)
+
+
+def _stage(df: DataFrame, staged: str, sink: Sink) -> None:
+    """Write rows in the sink's layout; what a failed job leaves is removed."""
+    folders = [sink.folder_column] if sink.partition_by else []
     try:
-        folders = [sink.folder_column] if sink.partition_by else []
         (
             layout(df, sink)
             .write.mode("overwrite")
@@ -170,15 +160,9 @@ def write_table(df: DataFrame, path: str, sink: Sink) -> None:
             .partitionBy(*folders)
             .parquet(staged)
         )
-        if files.exists(location):
-            files.rename(location, as_path(old))
-        files.mkdirs(location.getParent())
-        if not files.rename(as_path(staged), location):
-            files.rename(as_path(old), location)
-            raise OSError(f"cannot move the new table to {path}")
-    finally:
-        _delete(spark, staged)
-    _delete(spark, old)
+    except Exception:
+        Files(df.sparkSession, staged).delete(staged)
+        raise
 
 
 def _touched_parts(
@@ -210,52 +194,45 @@ def upsert(
     null_safe: bool = False,
     strict: bool = False,
     hot_rows: int | None = 1_000_000,
+    step: Step | None = None,
 ) -> None:
     """Merge updates into the table at ``path``, rewriting only the days they touch.
 
     A table without a partition field is written anew beside the old one and moved in.
 
-    The updates are written out first, so that every later step reads the same rows.
-    The touched days are then rewritten in one job with dynamic partition overwrite,
-    which puts the new files in place when all its tasks are done. A day that lost all
-    its rows is removed last. Repeating an interrupted run gives the same table.
+    The updates are written out first, so that every later step reads the same rows. The
+    touched days are then merged in one job, beside the table, and moved in; a day that
+    lost all its rows is removed. A run that is stopped before the days are complete leaves
+    the table as it was, one that is stopped later is finished by the next.
     """
     spark = updates.sparkSession
-    staged = _beside(path, "updates")
+    recover(spark, path)
+    staged = beside(path, UPDATES)
     try:
         updates.write.mode("overwrite").parquet(staged)
-        _merge_staged(spark.read.parquet(staged), path, keys, sink, null_safe, strict, hot_rows)
+        _merge_staged(spark.read.parquet(staged), path, keys, sink, null_safe, strict, hot_rows, step)
     finally:
-        _delete(spark, staged)
+        Files(spark, path).delete(staged)
 
 
 def _merge_staged(
     updates: DataFrame, path: str, keys: list[str], sink: Sink,
-    null_safe: bool, strict: bool, hot_rows: int | None,
+    null_safe: bool, strict: bool, hot_rows: int | None, step: Step | None,
 ) -> None:
     spark = updates.sparkSession
     if sink.partition_by is None:
         merged = merge_upsert(read_table(spark, path), updates, keys, null_safe, strict, hot_rows)
-        write_table(merged, path, sink)
+        _replace(merged, path, sink, step)
         return
     target = spark.read.parquet(path)
     column = sink.folder_column
     parts = _touched_parts(target, updates, keys, sink, null_safe)
-    folders = [f"{path}/{column}={NULL_FOLDER if v is None else v}" for v in parts]
-    before = {folder: _file_names(spark, folder) for folder in folders}
-
     current = _arranged(target.where(_in_parts(column, parts)))
     merged = merge_upsert(current, updates, keys, null_safe, strict, hot_rows)
-    (
-        layout(merged, sink)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column)
-        .parquet(path)
-    )
-    for folder, names in before.items():
-        if names and names == _file_names(spark, folder):
-            _delete(spark, folder)
+    staged = beside(path, NEW)
+    _stage(merged, staged, sink)
+    touched = [f"{column}={NULL_FOLDER if v is None else v}" for v in parts]
+    publish_parts(spark, staged, path, touched, step)
 
 
 def merge_into_table(updates: DataFrame, table: str, keys: list[str], null_safe: bool = False) -> None:
