@@ -80,16 +80,20 @@ def pipeline_sql(
     lineage_in_key: bool = False,
     replace: str | None = None,
     rates_sql: str = RATES_SQL,
+    only: str | None = None,
 ) -> str:
     """Result of one pipeline over its derived raw tables.
 
-    ``replace`` gives raw columns other values; casts are lenient then.
+    ``replace`` gives raw columns other values; casts are lenient then. ``only`` is a
+    condition on raw rows.
     """
     spec = SPECS[name]
     raw = " union all ".join(raw_sql(name, brand, batches) for brand in STORES)
     cast = "cast"
     if replace is not None:
         raw, cast = f"select * replace ({replace}) from ({raw})", "try_cast"
+    if only is not None:
+        raw = f"select * from ({raw}) where {only}"
     body, positions = _unnested(spec, raw, outer)
     where = f"where _batch_runtime >= {since}" if since is not None else ""
     by_name = {output.name.lower(): output for output in spec.outputs}

@@ -151,6 +151,47 @@ for _name in (
     query(pipeline_sql(_name, outer=False), f"{_name}_json_inner")(partial(json_inner, _name))
 
 
+def variants(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested arrays delivered as variants."""
+    arrays = [f.name for f in raw_type(SPECS[name]) if f.dataType.typeName() == "array"]
+    frames = {}
+    for brand in STORES:
+        rows = raw_frame(spark, sf_dir, name, brand)
+        frames[source_name(name, brand)] = rows.withColumns(
+            {array: F.parse_json(F.to_json(array)) for array in arrays}
+        )
+    return render(name, unify(spark, SPECS[name], Registry.from_frames(frames), settings=SETTINGS))
+
+
+for _name in ("m06_inventory", "m12_orders", "m19_returns_order_lines"):
+    query(pipeline_sql(_name), f"{_name}_variant")(partial(variants, _name))
+
+
+BROKEN = "nodes is not null and md5(sku) < '3'"
+
+
+def broken_json(spark: SparkSession, sf_dir: str, unreadable: str) -> DataFrame:
+    """JSON texts of which some end too early."""
+    name, text = "m06_inventory", F.to_json("nodes")
+    cut = F.when(F.md5(F.col("sku").cast("binary")) < "3", F.substring(text, F.lit(1), F.length(text) - 3))
+    frames = {
+        source_name(name, b): raw_frame(spark, sf_dir, name, b).withColumn("nodes", F.coalesce(cut, text))
+        for b in STORES
+    }
+    settings = Settings(run_ts=RUN_TS, unreadable=unreadable)
+    return unify(spark, SPECS[name], Registry.from_frames(frames), settings=settings)
+
+
+@query(pipeline_sql("m06_inventory", only=f"not coalesce({BROKEN}, false)"))
+def prj_corrupt_json(spark, sf_dir):
+    return broken_json(spark, sf_dir, "drop")
+
+
+@query(pipeline_sql("m06_inventory", replace=f"case when {BROKEN} then null else nodes end as nodes"))
+def prj_corrupt_json_null(spark, sf_dir):
+    return broken_json(spark, sf_dir, "null")
+
+
 # --- Sources --------------------------------------------------------------------------
 
 FEEDS = sorted({spec.feed for spec in SPECS.values()})
@@ -202,6 +243,76 @@ def src_missing_column(spark, sf_dir):
     return unify(spark, SPECS[SPARSE], Registry.from_frames(frames), settings=SETTINGS)
 
 
+def landed(spark: SparkSession, frames: dict[str, DataFrame], **where) -> Registry:
+    """Raw tables as Parquet folders."""
+    root = scratch_folder(spark)
+    for name, df in frames.items():
+        df.write.parquet(f"{root}/{name}")
+    return Registry.from_folder(spark, root, **where)
+
+
+@query(pipeline_sql(SPARSE, replace="case when s_brand = 'Acme' then nodes end as nodes"))
+def src_one_scan(spark, sf_dir):
+    """Stores as Parquet folders are read by one scan, though one lacks a column."""
+    frames = {source_name(SPARSE, b): raw_frame(spark, sf_dir, SPARSE, b) for b in STORES}
+    frames[source_name(SPARSE, "Globex")] = frames[source_name(SPARSE, "Globex")].drop("nodes")
+    return unify(spark, SPECS[SPARSE], landed(spark, frames), settings=SETTINGS)
+
+
+@query(pipeline_sql("m02_cap", only="s_brand = 'Globex'"))
+def src_catalog_filter(spark, sf_dir):
+    """A load from the tables of one catalog."""
+    tables = []
+    for lake, brand in (("north", "Acme"), ("south", "Globex")):
+        frames = {source_name("m02_cap", brand): raw_frame(spark, sf_dir, "m02_cap", brand)}
+        tables += landed(spark, frames, schema="raw", catalog=lake).tables
+    path = scratch_folder(spark)
+    run(spark, SPECS["m02_cap"], Registry(tables), path, settings=SETTINGS, catalog="south")
+    return read_table(spark, path)
+
+
+TYPED = "m01_buy_box"
+NO_PRICE = """s_brand = 'Globex' and md5("Sku") < '4'"""
+LENIENT = Settings(run_ts=RUN_TS, unreadable="null")
+
+
+def mixed_types(spark: SparkSession, sf_dir: str) -> Registry:
+    """One store delivers prices as text, some of them no number, and days as times."""
+    frames = {source_name(TYPED, b): raw_frame(spark, sf_dir, TYPED, b) for b in STORES}
+    name = source_name(TYPED, "Globex")
+    price = F.when(F.md5(F.col("Sku").cast("binary")) < "4", "n/a")
+    frames[name] = frames[name].withColumns({
+        "Seller_Item_Price": price.otherwise(F.col("Seller_Item_Price").cast("string")),
+        "ReportDate": F.col("ReportDate").cast("timestamp_ntz"),
+        "Offer2_Item_Price": F.col("Offer2_Item_Price").cast("decimal(20,4)"),
+    })
+    return landed(spark, frames)
+
+
+@query(pipeline_sql(TYPED, replace=f"""case when {NO_PRICE} then null else "Seller_Item_Price" end
+                                        as "Seller_Item_Price" """))
+def src_differing_types(spark, sf_dir):
+    return unify(spark, SPECS[TYPED], mixed_types(spark, sf_dir), settings=LENIENT)
+
+
+@query(pipeline_sql(TYPED, only=f"""not coalesce({NO_PRICE}, false)"""))
+def src_differing_types_dropped(spark, sf_dir):
+    settings = Settings(run_ts=RUN_TS, unreadable="drop")
+    return unify(spark, SPECS[TYPED], mixed_types(spark, sf_dir), settings=settings)
+
+
+@query(f"""select s_source as source, 'Seller_Item_Price' as "column", count(*) as n
+           from ({raw_sql(TYPED, 'Acme')} union all {raw_sql(TYPED, 'Globex')})
+           where {NO_PRICE} group by all""")
+def src_rejected_values(spark, sf_dir):
+    """The load notes what it could not read, and goes on."""
+    path, rejects = scratch_folder(spark), scratch_folder(spark)
+    raw = mixed_types(spark, sf_dir)
+    run(spark, SPECS[TYPED], raw, path, settings=LENIENT, rejects=rejects)
+    noted = spark.read.parquet(rejects).where("value = 'n/a'")
+    return noted.groupBy("source", "column").agg(F.count("*").alias("n"))
+
+
 def _shared_sql() -> str:
     parts = [
         f"select '{name}' as pipeline, brand, store, count(*) as n"
@@ -472,6 +583,20 @@ def join_fx_small_rate(spark, sf_dir):
     return attach_exchange_rate(rows, rates, "ReportDate", "Current_Price_Currency")
 
 
+LONG_RATES_SQL = f"""select * replace (cast(value as decimal(38,18)) + 0.0000000001234 as value)
+                      from ({RATES_SQL})"""
+
+
+@query(fx_sql(LONG_RATES_SQL).replace("cast(1 as decimal(38,9))", "cast(1 as decimal(38,18))"))
+def join_fx_text_rate(spark, sf_dir):
+    """Rates given as text keep thirteen decimals."""
+    rates = rates_frame(spark, sf_dir)
+    tail = F.lit("0.0000000001234").cast("decimal(38,18)")
+    text = (F.col("value").cast("decimal(30,18)") + tail).cast("decimal(38,13)").cast("string")
+    rows = raw_union(spark, sf_dir, M14).select(*FX_COLUMNS)
+    return attach_exchange_rate(rows, rates.withColumn("value", text), "ReportDate", "Current_Price_Currency")
+
+
 @query(pipeline_sql("m10_item", rates=True))
 def join_fx_timestamp_rates(spark, sf_dir):
     """Rates quoted twice a day still give one row per key."""

@@ -9,6 +9,7 @@ from marketloom.operators.exchange import (
 )
 from marketloom.operators.latest import latest
 from marketloom.operators.nested import (
+    computed,
     first_of_path,
     prune_type,
     quoted,
@@ -23,6 +24,7 @@ from marketloom.operators.timezone import shift_timezone
 
 __all__ = [
     "attach_exchange_rate",
+    "computed",
     "consolidate",
     "convert_amounts",
     "first_of_path",

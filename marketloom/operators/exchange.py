@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,6 +11,9 @@ from marketloom.functions import as_date
 RATE = "exchange_currency_rate"
 CODE = "exchange_currency_code"
 RATE_TYPE = "decimal(38,9)"
+TEXT_RATE_TYPE = "decimal(38,18)"
+BYTES_PER_RATE = 64
+UNKNOWN_BYTES = 1 << 60  # Spark's estimates are beyond this where it knows nothing
 
 # Pieces a rate table is copied into when it is too large to broadcast. Days times
 # currencies is a small key space, so an unsalted shuffle would pile up on few tasks.
@@ -18,9 +21,23 @@ RATE_PIECES = 256
 
 
 def _rate_type(rates: DataFrame) -> T.DataType | str:
-    """Numbers keep their own type, and with it all their digits; text becomes decimal."""
+    """Numbers keep their own type, and with it all their digits; text becomes a decimal
+    with eighteen places."""
     given = rates.schema["value"].dataType
-    return given if isinstance(given, T.NumericType) else RATE_TYPE
+    return given if isinstance(given, T.NumericType) else TEXT_RATE_TYPE
+
+
+def _bytes(df: DataFrame) -> int:
+    """Spark's estimate of the size of a table, without reading it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _few(table: DataFrame, most: int) -> DataFrame:
+    """The table, cut one row beyond the bound; it fails if there is that row."""
+    one_more = F.row_number().over(Window.orderBy(F.lit(1))) > most
+    error = F.raise_error(F.lit(f"more than {most} exchange rates are too many to broadcast; set broadcast_rate_rows to 0"))
+    checked = table.limit(most + 1).withColumn("__over", one_more)
+    return checked.withColumn("__rate_to", F.when(F.col("__over"), error.cast("string")).otherwise(F.col("__rate_to"))).drop("__over")
 
 
 def _rate_table(rates: DataFrame, base_currency: str | None) -> DataFrame:
@@ -61,8 +78,12 @@ def attach_exchange_rate(
 
     Numeric rates keep their type. A row without a rate gets rate 1 and its own currency
     code; several source currencies for one day and target multiply the row, unless
-    ``base_currency`` restricts them. The rates are counted, up to the limit, to decide whether they may
-    be broadcast; beyond it the rows are salted and the rates copied once per salt.
+    ``base_currency`` restricts them.
+
+    Rates are broadcast up to a limit; beyond it the rows are salted and the rates copied
+    once per salt. Spark's estimate of their size decides, so nothing is run to plan the
+    join. Where there is no estimate, rates are broadcast up to the limit and fail beyond
+    it; a limit of 0 always salts.
     """
     local = F.col(currency_col) if isinstance(currency_col, str) else currency_col
     keyed = df.withColumns({"__fx_day": as_date(date_col), "__fx_local": local})
@@ -70,7 +91,10 @@ def attach_exchange_rate(
     match = (F.col("__fx_day") == F.col("__rate_date")) & (
         F.col("__fx_local") == F.col("__rate_to")
     )
-    if table.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    size = _bytes(table)
+    if broadcast_rows and size >= UNKNOWN_BYTES:
+        joined = keyed.join(F.broadcast(_few(table, broadcast_rows)), match, "left")
+    elif size <= broadcast_rows * BYTES_PER_RATE:
         joined = keyed.join(F.broadcast(table), match, "left")
     else:
         pieces = F.sequence(F.lit(0), F.lit(RATE_PIECES - 1))

@@ -176,22 +176,28 @@ def prune_type(schema: T.StructType, paths: Iterable[str]) -> T.StructType:
     return T.StructType(fields)
 
 
-def read_json(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Parse JSON text columns into the given nested types (DDL), one parse per column.
+def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Set columns whose values are costly, each computed once per row.
 
-    The parsed columns come out of a generator over one struct. Filters on them, such
-    as those derived from an inner unnest, are not moved below a generator, so the text
-    is not parsed again for each of them.
+    They come out of a generator over one struct. Filters on them, such as those derived
+    from an inner unnest, are not moved below a generator, so a text is not parsed again
+    for each of them.
     """
-    if not types:
+    if not columns:
         return df
-    parsed = F.struct(*[F.from_json(F.col(name), ddl).alias(name) for name, ddl in types.items()])
-    others = [quoted(name) for name in df.columns if name not in types]
-    return df.select(*others, F.inline_outer(F.array(parsed))).select(
-        *[quoted(name) for name in df.columns]
+    values = F.struct(*[column.alias(name) for name, column in columns.items()])
+    new = [name for name in columns if name not in df.columns]
+    others = [quoted(name) for name in df.columns if name not in columns]
+    return df.select(*others, F.inline_outer(F.array(values))).select(
+        *[quoted(name) for name in [*df.columns, *new]]
     )
 
 
+def read_json(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Parse JSON text columns into the given nested types (DDL), one parse per column."""
+    return computed(df, {name: F.from_json(F.col(name), ddl) for name, ddl in types.items()})
+
+
 def unnest_variant(df: DataFrame, column: str, alias: str, outer: bool = False) -> DataFrame:
     """Flatten JSON text whose shape is not known: array elements or object fields.
 

@@ -1,7 +1,7 @@
 """Feed specifications and the pipeline that runs them."""
 
 from marketloom.plans.catalog import catalog
-from marketloom.plans.pipeline import output_schema, run, run_all, unify
+from marketloom.plans.pipeline import output_schema, rejected_values, run, run_all, unify
 from marketloom.plans.spec import FeedSpec, FxRule, Output, Sink
 
 __all__ = [
@@ -11,6 +11,7 @@ __all__ = [
     "Sink",
     "catalog",
     "output_schema",
+    "rejected_values",
     "run",
     "run_all",
     "unify",

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,6 @@ from marketloom.operators import (
     one_rate_per_day,
     prune_type,
     quoted,
-    read_json,
     unnest_path,
     with_elements,
     without_exchange_rate,
@@ -36,7 +36,19 @@ from marketloom.operators.timezone import is_datetime, shift_timezone
 from marketloom.plans.spec import BATCH_DATE, FeedSpec, Output, record
 from marketloom.settings import Lineage, Settings
 from marketloom.sinks import exists, read_table, recover, upsert, write_table
-from marketloom.sources import BRAND, HOURS, SOURCE, STORE, Registry, SourceTable, tag_source
+from marketloom.sources import (
+    BRAND,
+    FAIL,
+    HOURS,
+    SOURCE,
+    STORE,
+    Registry,
+    Scan,
+    SourceTable,
+    rejected,
+    scans,
+    tag_source,
+)
 from marketloom.streaming.incremental import high_water_mark
 
 LOAD_STAMP = "_last_updated"
@@ -108,16 +120,6 @@ class _Projection:
         return columns
 
 
-def _json_types(declared: T.StructType, df: DataFrame) -> dict[str, str]:
-    """Arrays of the feed that this raw table holds as JSON text, with their types."""
-    present = {name.lower(): kind for name, kind in df.dtypes}
-    return {
-        field.name: field.dataType.simpleString()
-        for field in declared
-        if isinstance(field.dataType, T.ArrayType) and present.get(field.name.lower()) == "string"
-    }
-
-
 def _completed(found: T.DataType, declared: T.DataType) -> T.DataType:
     """The type found in a raw table, with the declared nested fields that it lacks."""
     if isinstance(found, T.ArrayType) and isinstance(declared, T.ArrayType):
@@ -153,36 +155,47 @@ def _leaves(kind: T.DataType) -> list[str]:
     return []
 
 
+def _narrowed(
+    spark: SparkSession, scan: Scan, pruned: T.StructType, paths: list[str], settings: Settings
+) -> DataFrame:
+    """The rows of a scan without the nested fields that nobody asks for."""
+    nested = any("." in path for path in paths)
+    if not (scan.narrows and (nested or len(scan.tables) > 1 or _lacks_fields(scan.schema, pruned))):
+        return scan.load(spark)
+    kinds = {field.name.lower(): field.dataType for field in pruned}
+    bare = [name.removeprefix("_") for name in settings.lineage.names]
+    narrow = prune_type(scan.schema, [*paths, *settings.lineage.names, *bare])
+    return scan.load(spark, T.StructType([
+        T.StructField(f.name, _completed(f.dataType, kinds.get(f.name.lower(), f.dataType)))
+        for f in narrow
+    ]))
+
+
 def _tagged_rows(
     spark: SparkSession,
     spec: FeedSpec,
-    tables: list[tuple[SourceTable, DataFrame]],
+    found: list[Scan],
     settings: Settings,
     mark: int | None,
     outputs: Iterable[Output],
 ) -> DataFrame:
     """All sources of a feed, narrowed to what the outputs need, tagged and united.
 
-    Stores may lack declared columns or nested fields; those are NULL. (Nested fields of
-    a table without a reader that takes a schema have to be complete.)
+    Stores may lack declared columns or nested fields, which are NULL, and deliver columns
+    in other types, which are converted.
     """
     paths = raw_paths(spec, outputs)
     heads = {path.partition(".")[0].lower() for path in paths}
-    declared = T.StructType([f for f in spec.raw_schema if f.name.lower() in heads])
     pruned = prune_type(raw_type(spec, settings.lineage), paths)
-    kinds = {field.name.lower(): field.dataType for field in pruned}
-    frames = []
-    for table, df in tables:
-        nested = any("." in path for path in paths)
-        if table.load_narrow is not None and (nested or _lacks_fields(df.schema, pruned)):
-            bare = [name.removeprefix("_") for name in settings.lineage.names]
-            narrow = prune_type(df.schema, [*paths, *settings.lineage.names, *bare])
-            df = table.load_narrow(spark, T.StructType([
-                T.StructField(f.name, _completed(f.dataType, kinds.get(f.name.lower(), f.dataType)))
-                for f in narrow
-            ]))
-        df = read_json(df, _json_types(pruned, df))
-        frames.append(tag_source(df, table, declared, settings, mark))
+    declared = T.StructType([f for f in pruned if f.name.lower() in heads])
+    loaded = [_narrowed(spark, scan, pruned, paths, settings) for scan in found]
+    kinds = [{f.name.lower(): f.dataType.simpleString() for f in df.schema if f.name.lower() in heads} for df in loaded]
+    frames = [
+        tag_source(
+            df, scan.tables[0], declared, settings, mark, scan.tables if len(scan.tables) > 1 else (),
+            exact=any(kind != kinds[0] for kind in kinds))
+        for scan, df in zip(found, loaded)
+    ]
     rows = consolidate(frames)
     if settings.tz_offsets:
         local = [name for name, kind in rows.dtypes if is_datetime(kind)]
@@ -190,6 +203,33 @@ def _tagged_rows(
     return rows
 
 
+def rejected_values(
+    spark: SparkSession,
+    spec: FeedSpec,
+    registry: Registry,
+    mark: int | None = None,
+    settings: Settings = Settings(),
+    schema: str | None = None,
+    catalog: str | None = None,
+) -> DataFrame:
+    """Raw values that cannot be read as their declared type, one row each: the source
+    table, the ingestion columns, the raw column and its value as text."""
+    frames, names = [], [SOURCE, *settings.lineage.names]
+    tags = replace(settings, unreadable="null", tz_offsets={}, brand_from_name=False, store_from_name=False)
+    tables = registry.match(spec.like, spec.not_like, schema, catalog)
+    for scan in scans(spark, tables) if tables else ():
+        raw = scan.load(spark)
+        # The raw columns keep their own types here.
+        wanted = {field.name.lower() for field in spec.raw_schema}
+        as_found = T.StructType([f for f in raw.schema if f.name.lower() in wanted])
+        among = scan.tables if len(scan.tables) > 1 else ()
+        tagged = tag_source(raw, scan.tables[0], as_found, tags, mark, among)
+        frames.append(rejected(tagged, spec.raw_schema, names, settings.lenient_dates))
+    empty = f"{SOURCE} string, {', '.join(f'{n} {t}' for n, t in zip(names[1:], ('string', 'bigint', 'bigint')))}"
+    out = consolidate(frames) if frames else spark.createDataFrame([], f"{empty}, column string, value string")
+    return out.withColumnRenamed(SOURCE, "source")
+
+
 def _keyed_rows(
     rows: DataFrame,
     keys: list[Output],
@@ -250,7 +290,7 @@ def unify(
     found = registry.match(spec.like, spec.not_like, schema, catalog)
     if not found:
         return spark.createDataFrame([], output_schema(spark, spec, settings))
-    tables = [(table, table.load(spark)) for table in found]
+    tables = scans(spark, found)
     lineage = settings.lineage
     project = _Projection(settings)
     by_name = {output.name.lower(): output for output in spec.outputs}
@@ -371,12 +411,18 @@ def run(
     strict: bool = False,
     schema: str | None = None,
     catalog: str | None = None,
+    rejects: str | None = None,
 ) -> None:
     """Load one feed into the table at ``target``, incrementally when it exists.
 
-    What an interrupted load has left is finished or removed first.
+    What an interrupted load has left is finished or removed first. The values that cannot
+    be read as their declared type are added to the table at ``rejects``, if that is given,
+    with the stamp and id of the run.
     """
     recover(spark, target)
+    if rejects is not None and settings.unreadable != FAIL:
+        bad = rejected_values(spark, spec, registry, None, settings, schema, catalog)
+        bad.select("*", *audit_columns(settings)).write.mode("append").parquet(rejects)
     if full_refresh or not exists(spark, target):
         rows = unify(spark, spec, registry, rates, None, settings, schema, catalog)
         write_table(rows, target, spec.sink)

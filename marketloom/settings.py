@@ -52,6 +52,9 @@ class Settings:
     lookback_ms: int = LOOKBACK_MS
     # Text that is no date becomes NULL where a feed casts to a date, instead of failing.
     lenient_dates: bool = False
+    # A raw value that cannot be read as its declared type: "fail" stops the load, "null"
+    # loads NULL in its place, "drop" leaves its row out.
+    unreadable: str = "fail"
     # Only rates from this currency are attached; ``None`` attaches those from any.
     base_currency: str | None = None
     # A business key with at least this many rows is spread over several tasks.

@@ -57,6 +57,8 @@ class SourceTable:
     schema: str = ""
     catalog: str = ""
     load_narrow: Callable[[SparkSession, T.StructType], DataFrame] | None = None
+    #: Folder of a Parquet table; such tables are read together, by one scan.
+    folder: str | None = None
 
     @property
     def full_name(self) -> str:
@@ -70,29 +72,36 @@ class Registry:
         self.tables = sorted(tables, key=lambda table: table.full_name)
 
     @classmethod
-    def from_frames(cls, frames: Mapping[str, DataFrame], schema: str = "") -> Registry:
+    def from_frames(
+        cls, frames: Mapping[str, DataFrame], schema: str = "", catalog: str = ""
+    ) -> Registry:
         return cls(
-            SourceTable(name, lambda _spark, df=df: df, schema) for name, df in frames.items()
+            SourceTable(name, lambda _spark, df=df: df, schema, catalog)
+            for name, df in frames.items()
         )
 
     @classmethod
     def from_paths(
-        cls, paths: Mapping[str, str], schema: str = "", fmt: str = "parquet"
+        cls, paths: Mapping[str, str], schema: str = "", fmt: str = "parquet", catalog: str = ""
     ) -> Registry:
         return cls(
             SourceTable(
                 name,
                 lambda spark, p=path: spark.read.format(fmt).load(p),
                 schema,
+                catalog,
                 load_narrow=lambda spark, kind, p=path: spark.read.format(fmt)
                 .schema(kind)
                 .load(p),
+                folder=path if fmt == "parquet" else None,
             )
             for name, path in paths.items()
         )
 
     @classmethod
-    def from_folder(cls, spark: SparkSession, root: str, schema: str = "") -> Registry:
+    def from_folder(
+        cls, spark: SparkSession, root: str, schema: str = "", catalog: str = ""
+    ) -> Registry:
         """Every direct sub-folder of ``root`` is a Parquet table named like the folder."""
         base = spark._jvm.org.apache.hadoop.fs.Path(root)
         files = base.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(base)
@@ -101,20 +110,27 @@ class Registry:
             for status in files
             if status.isDirectory() and status.getPath().getName()[0] not in "._"
         }
-        return cls.from_paths(folders, schema)
+        return cls.from_paths(folders, schema, catalog=catalog)
 
     @classmethod
     def from_catalog(
-        cls, spark: SparkSession, schema: str, names: Iterable[str] | None = None
+        cls,
+        spark: SparkSession,
+        schema: str,
+        names: Iterable[str] | None = None,
+        catalog: str = "",
     ) -> Registry:
-        """Tables of a catalog schema; ``names`` restores the original case."""
+        """Tables of a schema, in the given or the current catalog; ``names`` restores the
+        original case."""
         case = {name.lower(): name for name in names or ()}
-        listed = [t for t in spark.catalog.listTables(schema) if not t.isTemporary]
+        where = f"`{catalog}`.`{schema}`" if catalog else f"`{schema}`"
+        listed = [t for t in spark.catalog.listTables(where) if not t.isTemporary]
         return cls(
             SourceTable(
                 case.get(t.name.lower(), t.name),
-                lambda session, n=f"`{schema}`.`{t.name}`": session.table(n),
+                lambda session, n=f"{where}.`{t.name}`": session.table(n),
                 schema,
+                catalog,
             )
             for t in listed
         )
