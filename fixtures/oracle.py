@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 from fixtures.raw import RATES_SQL, SPECS, STORES, raw_sql
-from marketloom.plans.pipeline import raw_paths, raw_type
+from marketloom.plans.pipeline import key_paths, raw_paths, raw_type
 from marketloom.plans.spec import BATCH_DATE, FeedSpec, Output
 
 META = ("_batch_user_id", "_batch_runtime", "_batch_id")
@@ -53,12 +53,18 @@ def expression(output: Output, cast: str = "cast") -> str:
     return f"{cast}({text} as {output.cast})" if output.cast else text
 
 
-def _unnested(spec: FeedSpec, raw: str, outer: bool) -> tuple[str, list[str]]:
-    """All arrays unnested, with the position of every element."""
+def _unnested(spec: FeedSpec, raw: str, outer: bool, first: bool) -> tuple[str, list[str]]:
+    """All arrays unnested, with the position of every element.
+
+    ``first`` takes only the first element of arrays whose elements decide nothing but the
+    last of the ties: where one row per key is kept, that row has first elements of them.
+    """
     body, positions = raw, []
     for step, path in enumerate(spec.unnest):
         alias = path.rpartition(".")[2]
         ref = ".".join(f'"{part}"' for part in path.split("."))
+        if first and spec.ties == "one" and path not in key_paths(spec):
+            ref = f"{ref}[1:1]"
         exclude = f' exclude ("{alias}")' if "." not in path else ""
         array = f"case when coalesce(len({ref}), 0) = 0 then [null] else {ref} end" if outer else ref
         position = f"p{step}"
@@ -81,11 +87,12 @@ def pipeline_sql(
     replace: str | None = None,
     rates_sql: str = RATES_SQL,
     only: str | None = None,
+    first: bool = False,
 ) -> str:
     """Result of one pipeline over its derived raw tables.
 
     ``replace`` gives raw columns other values; casts are lenient then. ``only`` is a
-    condition on raw rows.
+    condition on raw rows. ``first``: see :func:`_unnested`.
     """
     spec = SPECS[name]
     raw = " union all ".join(raw_sql(name, brand, batches) for brand in STORES)
@@ -94,7 +101,7 @@ def pipeline_sql(
         raw, cast = f"select * replace ({replace}) from ({raw})", "try_cast"
     if only is not None:
         raw = f"select * from ({raw}) where {only}"
-    body, positions = _unnested(spec, raw, outer)
+    body, positions = _unnested(spec, raw, outer, first)
     where = f"where _batch_runtime >= {since}" if since is not None else ""
     by_name = {output.name.lower(): output for output in spec.outputs}
 

@@ -101,7 +101,7 @@ def merged_sql(target: str, updates: str, keys: list[str], null_safe: bool = Fal
     same = "is not distinct from" if null_safe else "="
     match = " and ".join(f't."{key}" {same} u."{key}"' for key in keys)
     return f"""
-    with target as ({target}), updates as ({updates})
+    with target as materialized ({target}), updates as materialized ({updates})
     select * from target t where not exists (select 1 from updates u where {match})
     union all by name select * from updates"""
 
@@ -121,8 +121,8 @@ for _name in SPECS:
     _fx = SPECS[_name].fx is not None
     query(
         merged_sql(
-            pipeline_sql(_name, rates=_fx),
-            pipeline_sql(_name, rates=_fx, since=LAST_MARK),
+            pipeline_sql(_name, rates=_fx, first=True),
+            pipeline_sql(_name, rates=_fx, since=LAST_MARK, first=True),
             list(SPECS[_name].keys),
         ),
         f"{_name}_incr",
