@@ -35,7 +35,7 @@ from marketloom.operators.nested import POSITION
 from marketloom.operators.timezone import is_datetime, shift_timezone
 from marketloom.plans.spec import BATCH_DATE, FeedSpec, Output, record
 from marketloom.settings import Lineage, Settings
-from marketloom.sinks import exists, read_table, recover, upsert, write_table
+from marketloom.sinks import exists, recover, upsert, write_table
 from marketloom.sources import (
     BRAND,
     FAIL,
@@ -49,7 +49,7 @@ from marketloom.sources import (
     scans,
     tag_source,
 )
-from marketloom.streaming.incremental import high_water_mark
+from marketloom.streaming.incremental import stored_mark
 
 LOAD_STAMP = "_last_updated"
 RUN_ID = "_run_id"
@@ -427,9 +427,7 @@ def run(
         rows = unify(spark, spec, registry, rates, None, settings, schema, catalog)
         write_table(rows, target, spec.sink)
         return
-    mark = high_water_mark(
-        read_table(spark, target), settings.lineage.runtime, settings.lookback_ms
-    ).first()[0]
+    mark = stored_mark(spark, target, settings.lineage.runtime, settings.lookback_ms)
     updates = unify(spark, spec, registry, rates, mark, settings, schema, catalog)
     upsert(
         updates, target, business_key(spec, settings), spec.sink,

@@ -122,12 +122,19 @@ def _marked(df: DataFrame, sink: Sink) -> DataFrame:
 def layout(df: DataFrame, sink: Sink) -> DataFrame:
     """Arrange rows for the sink: partition value, then ranges of the cluster columns.
 
-    A popular day is cut into ranges of the cluster columns, and the number of the
-    producing task cuts one popular key further, so no writer gets an unbounded share.
-    The number of ranges is left open for adaptive execution to coalesce.
+    The rows of a partitioned table are dealt by day. Adaptive execution joins small days
+    and cuts large ones by their size, so no writer gets an unbounded share, and the stage
+    before runs once. Rows are sorted in each file, whose pages then tell their ranges of
+    the cluster columns.
+
+    A table without days is dealt by ranges of the cluster columns, for which Spark samples
+    the stage before; the number of the producing task cuts one popular key further.
     """
     order = [*([sink.folder_column] if sink.partition_by else []), *sink.cluster_by]
-    placed = _marked(df, sink).withColumn("__piece", F.spark_partition_id())
+    placed = _marked(df, sink)
+    if sink.partition_by:
+        return placed.hint("rebalance", F.col(f"`{sink.folder_column}`")).sortWithinPartitions(*order)
+    placed = placed.withColumn("__piece", F.spark_partition_id())
     ranged = placed.repartitionByRange(*order, "__piece")
     return ranged.sortWithinPartitions(*order).drop("__piece")
 
@@ -165,6 +172,28 @@ def _stage(df: DataFrame, staged: str, sink: Sink) -> None:
         raise
 
 
+def key_range(updates: DataFrame, keys: list[str], null_safe: bool) -> Column:
+    """A condition that the keys of the updates meet, for the scan of a table.
+
+    It compares each key column with its least and greatest value among the updates, and
+    Parquet passes over row groups and pages beyond them. Where keys do not match NULL,
+    such rows are left out, too.
+    """
+    kinds = {field.name: field.dataType for field in updates.schema}
+    plain = [key for key in keys if isinstance(kinds[key], (T.StringType, T.NumericType, T.DateType, T.TimestampNTZType))]
+    if not plain:
+        return F.lit(True)
+    ends = [f(F.col(f"`{key}`")).alias(f"{n}{i}") for i, key in enumerate(plain) for n, f in (("a", F.min), ("b", F.max))]
+    found, tests = updates.agg(*ends).first(), []
+    for i, key in enumerate(plain):
+        column, low, high = F.col(f"`{key}`"), found[f"a{i}"], found[f"b{i}"]
+        kind = kinds[key]
+        # Without any value no row matches, but for NULL keys.
+        inside = F.lit(False) if low is None else (column >= F.lit(low).cast(kind)) & (column <= F.lit(high).cast(kind))
+        tests.append(inside | column.isNull() if null_safe else inside)
+    return reduce(Column.__and__, tests)
+
+
 def _touched_parts(
     target: DataFrame, updates: DataFrame, keys: list[str], sink: Sink, null_safe: bool
 ) -> list:
@@ -173,7 +202,8 @@ def _touched_parts(
     if sink.partition_by not in keys:
         names = {key: f"__touched_{i}" for i, key in enumerate(keys)}
         wanted = updates.select(*[F.col(k).alias(n) for k, n in names.items()]).distinct()
-        slim = target.select(*keys, F.col(sink.folder_column).cast("date").alias("__day"))
+        near = target.where(key_range(updates, keys, null_safe))
+        slim = near.select(*keys, F.col(sink.folder_column).cast("date").alias("__day"))
         found = slim.join(wanted, key_condition(slim, wanted, names, null_safe), "left_semi")
         parts = parts.union(found.select("__day"))
     return [row[0] for row in parts.distinct().collect()]  # days: some thousands

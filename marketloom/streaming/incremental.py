@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.operators.skew import PIECES, SALT, hot_keys, key_condition, with_hot_salt
@@ -21,6 +23,29 @@ def high_water_mark(target: DataFrame, runtime_col: str, lookback_ms: int = LOOK
     return target.agg(F.coalesce(newest, F.lit(0)).cast("bigint").alias("mark"))
 
 
+def stored_mark(
+    spark: SparkSession, path: str, runtime_col: str, lookback_ms: int = LOOKBACK_MS
+) -> int:
+    """The mark of a Parquet table, from the statistics in the footers of its files.
+
+    A session of its own reads with the reader that answers minima and maxima from footers,
+    so that no row group is read and the settings of the caller's session stay.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    newest = newest_batch(session, path, runtime_col)
+    try:
+        last = newest.first()[0]
+    except (PySparkException, Py4JJavaError):  # files without statistics
+        last = spark.read.parquet(path).agg(F.max(runtime_col)).first()[0]
+    return 0 if last is None else last - lookback_ms
+
+
+def newest_batch(session: SparkSession, path: str, runtime_col: str) -> DataFrame:
+    return session.read.parquet(path).agg(F.max(runtime_col))
+
+
 def lookback_filter(df: DataFrame, runtime_col: str, mark: int) -> DataFrame:
     """Rows of the batches from the mark on, the mark included."""
     return df.where(F.col(runtime_col) >= F.lit(mark))

@@ -1,11 +1,14 @@
 import datetime as dt
+from functools import reduce
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from marketloom.sinks import Sink, exists, merge_into_table, read_table, upsert, write_table
-from marketloom.streaming import high_water_mark, lookback_filter, merge_upsert
+from marketloom.sinks.tables import key_range
+from marketloom.streaming import high_water_mark, lookback_filter, merge_upsert, stored_mark
+from marketloom.streaming.incremental import newest_batch
 from tests.conftest import rows
 
 MONTH = 2_592_000_000
@@ -211,3 +214,84 @@ def test_empty_table_is_loaded_anew(spark, tmp_path):
     path = str(tmp_path / "t")
     write_table(dated(spark, (1, None, "a")).limit(0), path, DAILY)
     assert not exists(spark, path)
+
+
+def test_mark_is_read_from_footers(spark, tmp_path):
+    df = spark.range(100).select((F.col("id") * 10 + MONTH).alias("b"), F.col("id").alias("k"))
+    df.repartition(4).write.parquet(str(tmp_path / "t"))
+    assert stored_mark(spark, str(tmp_path / "t"), "b") == 990
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    plan = newest_batch(session, str(tmp_path / "t"), "b")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MAX(b)]" in plan
+    spark.createDataFrame([(None,)], "b long").write.parquet(str(tmp_path / "empty"))
+    assert stored_mark(spark, str(tmp_path / "empty"), "b") == 0
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def read_rows(df):
+    """Rows that the scans of a query gave, after row groups and pages were passed over."""
+    df.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        execution = df._jdf.queryExecution()
+        execution.executedPlan().executeCollect()
+        leaves, total = execution.executedPlan().collectLeaves(), 0
+        for i in range(leaves.size()):
+            total += leaves.apply(i).metrics().apply("numOutputRows").value()
+        return total
+    finally:
+        df.sparkSession.conf.unset("spark.sql.adaptive.enabled")
+
+
+@pytest.mark.parametrize("kind", ["int", "string"])
+def test_rows_beyond_the_update_keys_are_not_read(spark, tmp_path, kind):
+    key = F.col("id").cast("int") if kind == "int" else F.format_string("k%05d", "id")
+    days = [spark.range(d * 1000, d * 1000 + 1000).select(
+        key.alias("k"), F.lit(dt.date(2024, 1, 1 + d)).alias("day"), F.lit("x").alias("x")) for d in range(8)]
+    table = reduce(lambda a, b: a.union(b), days)
+    path = str(tmp_path / "t")
+    write_table(table, path, DAILY)
+    target, updates = spark.read.parquet(path), table.where("day = '2024-01-03'").limit(20)
+    assert read_rows(target) == 8000
+    assert read_rows(target.where(key_range(updates, ["k"], False)).select("k", "day")) <= 1000
+    nothing = table.limit(0)
+    assert read_rows(target.where(key_range(nothing, ["k"], False)).select("k")) == 0
+    upsert(updates.withColumn("x", F.lit("new")), path, ["k"], DAILY)
+    assert read_table(spark, path).where("x = 'new'").count() == 20 and read_table(spark, path).count() == 8000
+
+
+def test_null_keys_are_found_in_range(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(dated(spark, (None, "2024-01-01", "a"), (7, "2024-01-02", "b")), path, DAILY)
+    upsert(dated(spark, (None, "2024-01-05", "A")), path, ["k"], DAILY, null_safe=True)
+    assert sorted(row.x for row in read_table(spark, path).collect()) == ["A", "b"]
+
+
+def test_stage_before_a_partitioned_write_runs_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows_ = spark.range(5000).select(F.col("id").cast("int").alias("k"), F.lit(dt.date(2024, 1, 1)).alias("day"), F.lit("x").alias("x"))
+    write_table(rows_.mapInPandas(counted, TABLE), str(tmp_path / "t"), DAILY)
+    assert seen.value == 5000
+
+
+def test_a_large_day_is_cut(spark, tmp_path):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "64k")
+    try:
+        large = spark.range(200_000, numPartitions=8).select(
+            F.hash("id").alias("k"), F.lit(dt.date(2024, 1, 1)).alias("day"), F.md5(F.col("id").cast("string")).alias("x"))
+        write_table(large, str(tmp_path / "t"), DAILY)
+    finally:
+        spark.conf.unset(size)
+    files = list((tmp_path / "t" / "day=2024-01-01").glob("*.parquet"))
+    assert len(files) > 4
+    for file in files[:2]:
+        keys = [row.k for row in spark.read.parquet(str(file)).select("k").collect()]
+        assert keys == sorted(keys)
