@@ -18,18 +18,20 @@ a group with a smaller document, so the most significant digits are handled as f
 Groups of a digit are formed in each task first, and a task sends one row per group, so
 that a passage in a third of all documents does not pile up in one place.
 
-Null texts are empty. Rows that share an id are compared with smaller ids only; rows
-without an id count as larger than all others. Empty tables give no rows.
+Null texts are empty. Rows that share an id are compared with smaller ids only; their
+texts, however many, are told apart by a 64-bit hash. Rows without an id count as larger
+than all others. Empty tables give no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from random import Random
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm.common import store
@@ -46,15 +48,15 @@ TWINS = 1  # kind of a hit that holds for all equal suffixes of its document
 NO_ID = (1 << 63) - 1
 
 
-def packed(variant: np.ndarray, start: np.ndarray, count: np.ndarray, ahead: np.ndarray) -> np.ndarray:
-    """Place of a run in one number: which text of the id, first suffix, bytes from there
-    to the anchor, suffixes, and two bits for the kind."""
-    return (variant.astype(np.int64) << 48) | (start << 13) | (ahead << 8) | (count << 2)
+def packed(start: np.ndarray, count: np.ndarray, ahead: np.ndarray) -> np.ndarray:
+    """Place of a run in one number: first suffix, bytes from there to the anchor, suffixes,
+    and two bits for the kind."""
+    return (start << 13) | (ahead << 8) | (count << 2)
 
 
 def unpacked(places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First suffix, suffixes and bytes to the anchor."""
-    return (places >> 13) & ((1 << 35) - 1), (places >> 2) & 63, (places >> 8) & 31
+    return places >> 13, (places >> 2) & 63, (places >> 8) & 31
 
 
 def halves(places: np.ndarray, right: np.ndarray, left: np.ndarray) -> np.ndarray:
@@ -63,7 +65,7 @@ def halves(places: np.ndarray, right: np.ndarray, left: np.ndarray) -> np.ndarra
     beyond = np.clip(ahead - HALF, 0, count)  # suffixes of the left half
     skip = np.where(left, 0, beyond)
     count = np.where(right, count, beyond) - skip
-    return packed(places >> 48, start + skip, count, np.maximum(ahead - skip, 0)) | REQUEST
+    return packed(start + skip, count, np.maximum(ahead - skip, 0)) | REQUEST
 
 
 def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -119,13 +121,13 @@ def _spread(new: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def _sorted_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """First and second digit inside a task: (digit, span, doc, place with its kind)."""
+    """First and second digit inside a task: (digit, span, doc, variant, place with its kind)."""
     held: list[tuple[np.ndarray, ...]] = []
 
     def grouped() -> pa.RecordBatch:
-        gram, span, doc, place = (np.concatenate(x) for x in zip(*held))
+        gram, span, doc, variant, place = (np.concatenate(x) for x in zip(*held))
         order = np.lexsort((doc, span, gram))
-        gram, span, doc, place = gram[order], span[order], doc[order], place[order]
+        gram, span, doc, variant, place = gram[order], span[order], doc[order], variant[order], place[order]
         hit = doc > _spread(_changes(gram, span), doc)
         new_gram = _changes(gram)
         group = np.cumsum(new_gram) - 1
@@ -140,9 +142,10 @@ def _sorted_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 signed(np.concatenate([digit, gram[marks]])),
                 signed(np.concatenate([span, np.zeros(len(marks), np.uint64)])),
                 pa.array(np.concatenate([doc, doc[marks]])),
+                pa.array(np.concatenate([variant, np.zeros(len(marks), np.int64)])),
                 pa.array(np.concatenate([place | kind, np.full(len(marks), MANY)])),
             ],
-            names=["digit", "span", "doc", "place"],
+            names=["digit", "span", "doc", "variant", "place"],
         )
 
     size = 0
@@ -151,7 +154,7 @@ def _sorted_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             gram, span, row, start, count, ahead = runs(data, offsets)
             doc = rows.column(rows.schema.names.index("doc")).to_numpy()[row]
             variant = rows.column(rows.schema.names.index("variant")).to_numpy()[row]
-            held.append((gram, span, doc, packed(variant, start, count, ahead)))
+            held.append((gram, span, doc, variant, packed(start, count, ahead)))
             size += len(gram)
             if size > CHUNK:
                 yield grouped()
@@ -181,15 +184,20 @@ def _shared(group: np.ndarray, half: np.ndarray, first: np.ndarray) -> np.ndarra
     return (np.bincount(inverse, first, len(found)) > 1)[inverse] & (half != 0)
 
 
+def _places(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    arrays = [pa.array(np.concatenate(x)) for x in zip(*found)]
+    return pa.RecordBatch.from_arrays(arrays, names=["doc", "variant", "place"])
+
+
 def _joined_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Join what tasks sent of a gram: hits of larger documents, requests where spans differ."""
     for table in _complete((b for b in batches if b.num_rows), ["digit"]):
-        digit, span, doc, place = (table[c].to_numpy() for c in ("digit", "span", "doc", "place"))
+        digit, span, doc, variant, place = (table[c].to_numpy() for c in ("digit", "span", "doc", "variant", "place"))
         kind = place & 3
         final = kind < GROUP
-        out = [(doc[final], place[final])]
+        out = [(doc[final], variant[final], place[final])]
         mine = ~final
-        digit, span, doc, place, mark = digit[mine], span[mine], doc[mine], place[mine], kind[mine] == MANY
+        digit, span, doc, variant, place, mark = (x[mine] for x in (digit, span, doc, variant, place, kind == MANY))
         if len(digit):
             new = _changes(digit, span, mark)
             group = np.cumsum(_changes(digit)) - 1
@@ -198,9 +206,9 @@ def _joined_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rest = ~mark & ~hit
             several = [all_of_it | _shared(group, (span.view(np.uint64) >> np.uint64(shift)) % np.uint64(4096), new & ~mark) for shift in (12, 0)]
             ask = rest & (several[0] | several[1])
-            out += [(doc[hit], (place[hit] & ~3) | HIT), (doc[ask], halves(place[ask], several[0][ask], several[1][ask]))]
-        doc, place = (np.concatenate(x) for x in zip(*out))
-        yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(place)], names=["doc", "place"])
+            asked = halves(place[ask], several[0][ask], several[1][ask])
+            out += [(doc[hit], variant[hit], (place[hit] & ~3) | HIT), (doc[ask], variant[ask], asked)]
+        yield _places(out)
 
 
 def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,35 +216,36 @@ def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     held: list[tuple[np.ndarray, ...]] = []
 
     def grouped() -> pa.RecordBatch:
-        a, b, doc, place = (np.concatenate(x) for x in zip(*held))
-        order = np.lexsort((doc, b, a))
-        a, b, doc, place = a[order], b[order], doc[order], place[order]
+        a, b, doc, variant, place = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((variant, doc, b, a))
+        a, b, doc, variant, place = a[order], b[order], doc[order], variant[order], place[order]
         hit = doc > _spread(_changes(a, b), doc)
-        # Of equal suffixes of one document the first is sent, and stands for its twins.
-        first = _changes(a, b, doc)
+        # Of equal suffixes of one text the first is sent, and stands for its twins.
+        first = _changes(a, b, doc, variant)
         twins = (np.bincount(np.cumsum(first) - 1) > 1)[np.cumsum(first) - 1] & ~hit
         keep = first | hit
-        a, b, doc, hit, place = a[keep], b[keep], doc[keep], hit[keep], (place | (twins.astype(np.int64) << 8))[keep]
+        place = place | (twins.astype(np.int64) << 8)
+        a, b, doc, variant, hit, place = (x[keep] for x in (a, b, doc, variant, hit, place))
         # Hits are final here; they travel to anywhere.
         a = np.where(hit, place.view(np.uint64) >> np.uint64(13) & np.uint64(1023), a)
         place = place | np.where(hit, HIT, GROUP)
         return pa.RecordBatch.from_arrays(
-            [signed(a), pa.array(np.where(hit, 0, b).astype(np.int32)), pa.array(doc), pa.array(place)],
-            names=["a", "b", "doc", "place"])
+            [signed(a), pa.array(np.where(hit, 0, b).astype(np.int32)), pa.array(doc), pa.array(variant), pa.array(place)],
+            names=["a", "b", "doc", "variant", "place"])
 
     size = 0
     for batch in batches:
         data, offsets = buffers(batch.column(batch.schema.names.index("text")))
-        for i, (doc, wanted) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1))):
+        for i, (doc, variant, wanted) in enumerate(zip(*(batch.column(c).to_pylist() for c in (3, 4)), batch.column(1))):
             places = np.sort(wanted.values.to_numpy())
             start, count, _ = unpacked(places)
             at = np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
             text = data[offsets[i] : offsets[i + 1]]
-            variant = np.repeat(places >> 48, count)
             ends = at + LENGTH
             held.append((
                 span_hashes(text, at, ends, BASE), span_hashes(text, at, ends, BASE_2) >> np.uint64(33),
-                np.full(len(at), doc, np.int64), packed(variant, at, np.ones(len(at), np.int64), np.zeros(len(at), np.int64))))
+                np.full(len(at), doc, np.int64), np.full(len(at), variant, np.int64),
+                packed(at, np.ones(len(at), np.int64), np.zeros(len(at), np.int64))))
             size += len(at)
             if size > CHUNK:
                 yield grouped()
@@ -247,35 +256,49 @@ def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def _joined_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table in _complete((b for b in batches if b.num_rows), ["a", "b"]):
-        a, b, doc, place = (table[c].to_numpy() for c in ("a", "b", "doc", "place"))
+        a, b, doc, variant, place = (table[c].to_numpy() for c in ("a", "b", "doc", "variant", "place"))
         final = (place & 3) == HIT
-        out = [(doc[final], place[final])]
-        a, b, doc, place = a[~final], b[~final], doc[~final], place[~final]
+        out = [(doc[final], variant[final], place[final])]
+        a, b, doc, variant, place = (x[~final] for x in (a, b, doc, variant, place))
         if len(a):
             hit = doc > _spread(_changes(a, b), doc)
             twins = (place[hit] >> 8) & 1
-            out.append((doc[hit], (place[hit] & ~0x103) | (twins * TWINS)))
-        doc, place = (np.concatenate(x) for x in zip(*out))
-        yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(place)], names=["doc", "place"])
+            out.append((doc[hit], variant[hit], (place[hit] & ~0x103) | (twins * TWINS)))
+        yield _places(out)
+
+
+def _orders(docs: DataFrame) -> Column:
+    """Ids as numbers that order the documents, with room for ``NO_ID`` above all of them."""
+    doc = F.col("doc_id")
+    last, missing = docs.agg(F.max("doc_id"), F.max(F.col("doc_id").isNull())).first()
+    if last == NO_ID and missing:
+        # Ids above one that is free move down by one.
+        draws = Random(0)
+        free = NO_ID
+        while docs.where(doc == free).limit(1).count():
+            free = draws.randrange(-NO_ID, NO_ID)
+        doc = F.when(doc > free, doc - 1).otherwise(doc)
+    return F.coalesce(doc, F.lit(NO_ID))
 
 
 def _variants(docs: DataFrame) -> DataFrame:
-    """Columns ``doc`` (id), ``variant`` and ``text``; texts of a repeated id are told apart."""
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
+    """Columns doc_id, ``text``, ``doc`` (its order) and ``variant``, which tells texts of a
+    repeated id apart."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.withColumn("doc", _orders(docs))
     digest = F.xxhash64("text")
-    several = docs.groupBy("doc").agg(F.min(digest).alias("x"), F.max(digest).alias("y")).where("x <> y").select("doc")
+    several = docs.groupBy("doc").agg(F.min(digest).alias("x"), F.max(digest).alias("y")).where("x <> y")
+    several = several.select(F.col("doc").alias("__doc"), F.lit(True).alias("several"))
     if not several.limit(1).count():
-        return docs.withColumn("variant", F.lit(0))
-    told = docs.join(several, "doc", "left_semi").select("doc", digest.alias("digest")).distinct()
-    told = told.withColumn("variant", F.row_number().over(Window.partitionBy("doc").orderBy("digest")))
-    keyed = docs.withColumn("digest", digest)
-    return keyed.join(told, ["doc", "digest"], "left").select("doc", "text", F.coalesce("variant", F.lit(0)).alias("variant"))
+        return docs.withColumn("variant", F.lit(0).cast("long"))
+    told = docs.join(several, docs["doc"] == several["__doc"], "left")
+    return told.select("doc_id", "text", "doc", F.when(F.col("several"), digest).otherwise(F.lit(0)).alias("variant"))
 
 
 def _with_places(docs: DataFrame, places: DataFrame, how: str) -> DataFrame:
     """Each text with the list of its places."""
-    lists = places.groupBy("doc", F.shiftright("place", 48).cast("int").alias("variant")).agg(F.collect_list("place").alias("places"))
-    return docs.join(lists, ["doc", "variant"], how).select("doc", "places", "text")
+    lists = places.groupBy("doc", "variant").agg(F.collect_list("place").alias("places"))
+    return docs.join(lists, ["doc", "variant"], how).select("doc_id", "places", "text", "doc", "variant")
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,25 +331,24 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column(0), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()),
                 pa.array(digest, pa.string()), pa.array(kept, pa.binary()),
             ],
-            names=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
+            names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
         )
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """Per row (doc_id, text): counts, the digest of the remaining bytes, and these."""
     texts = _variants(docs)
-    sent = texts.mapInArrow(_sorted_runs, "digit long, span long, doc long, place long")
+    sent = texts.select("doc", "variant", "text").mapInArrow(_sorted_runs, "digit long, span long, doc long, variant long, place long")
     dealt = sent.repartition("digit").sortWithinPartitions("digit", "span", "doc")
-    found = store(dealt.mapInArrow(_joined_runs, "doc long, place long"), "runs")
+    found = store(dealt.mapInArrow(_joined_runs, "doc long, variant long, place long"), "runs")
     kind = F.col("place").bitwiseAND(3)
     asked = _with_places(texts, found.where(kind == REQUEST), "inner")
-    windows = asked.mapInArrow(_sorted_windows, "a long, b int, doc long, place long")
+    windows = asked.mapInArrow(_sorted_windows, "a long, b int, doc long, variant long, place long")
     windows = windows.repartition("a").sortWithinPartitions("a", "b", "doc")
-    more = store(windows.mapInArrow(_joined_windows, "doc long, place long"), "windows")
+    more = store(windows.mapInArrow(_joined_windows, "doc long, variant long, place long"), "windows")
     hits = found.where(kind == HIT).union(more)
-    out = _with_places(texts, hits, "left").mapInArrow(
-        _cut, "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    return out.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), *out.columns[1:])
+    return _with_places(texts, hits, "left").mapInArrow(
+        _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
 def op5_radix_sorted_suffixes(spark, sf_dir: str) -> DataFrame:

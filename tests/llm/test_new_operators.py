@@ -265,3 +265,23 @@ def test_many_texts_share_an_id(spark):
         F.when(F.col("id") == 0, 1).cast("long").alias("doc_id"), F.concat(F.lit(text + " tail"), "id").alias("text"))
     got = without_repeated_passages(docs).groupBy("n_removed").count().collect()
     assert {(r.n_removed, r["count"]) for r in got} == {(0, 1), (20, 39_999)}
+
+
+def test_op5_tells_any_number_of_texts_apart(spark):
+    """More texts than fit sixteen bits under no id, and ids at the ends of the long range."""
+    from marketloom.llm.substring import without_repeats
+
+    shared = "this passage of sixty bytes is in every one of the texts here"
+    rows = [(-BIG - 1, shared), (BIG, f"{shared} and more")] + [(None, f"{i} {shared}") for i in range(40_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = without_repeats(docs).groupBy("doc_id", "n_removed").count().collect()
+    assert {(r.doc_id, r.n_removed, r["count"]) for r in got} == {
+        (-BIG - 1, 0, 1), (BIG, len(shared), 1), (None, len(shared), 40_000)}
+
+
+def test_op5_orders_the_largest_id_before_none(spark):
+    from marketloom.llm.substring import without_repeats
+
+    text = "a passage that only the last document and one without an id have"
+    docs = spark.createDataFrame([(BIG, text), (None, text), (-BIG - 1, "x"), (0, "y")], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in without_repeats(docs).collect()} == {BIG: 0, None: len(text), -BIG - 1: 0, 0: 0}
