@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from marketloom.llm.common import store
 
 KEY = "surrogates"
+WIDER = 4  # draws before the first digits of a number change
+STALLED = 24  # rounds without progress before the replacement fails
 
 # Countries whose IBAN ends with a group of four; a short word behind it is not part of it.
 WHOLE_GROUPS = "AD|AL|AT|AZ|BA|BE|BY|CY|CZ|DO|EE|ES|GT|HU|KZ|LB|LT|LU|MD|NI|PK|PL|RO|SA|SE|SK|SV|TN|VG|XK"
@@ -130,9 +132,10 @@ def surrogate(kind: str, entity: str, attempt: int, key: str = KEY) -> str:
         return f"{_alike(local, draw)}@{_alike(domain[: -len(last) - 1], draw)}.{last}"
     if kind == "phone":
         keep = max(1, len(entity) - 9)
-        return entity[:keep] + "".join(digit() for _ in entity[keep:])
+        first = entity[:keep] if attempt < WIDER else digit(1) + "".join(digit() for _ in entity[1:keep])
+        return first + "".join(digit() for _ in entity[keep:])
     if kind in ("card", "ssn"):
-        body = entity[0] + "".join(digit() for _ in entity[1:])
+        body = (entity[0] if attempt < WIDER else digit(1)) + "".join(digit() for _ in entity[1:])
         if kind == "card" and _luhn(entity) == 0:
             body = next(body[:-1] + d for d in "0123456789" if _luhn(body[:-1] + d) == 0)
         return body
@@ -209,7 +212,9 @@ def redrawn(found: DataFrame, key: str = KEY) -> DataFrame:
 
     All entities draw; of those that meet in one surrogate the smallest keeps it, and a
     surrogate that is itself an entity is given up. Later rounds look only at the
-    entities that drew again, against every surrogate held so far.
+    entities that drew again, against every surrogate held so far. After ``WIDER`` draws
+    the first digits of a number change as well. Where ``STALLED`` rounds settle nothing,
+    the surrogates of some type are used up, and an error names it.
     """
     def draw(attempted: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,6 +226,7 @@ def redrawn(found: DataFrame, key: str = KEY) -> DataFrame:
     every = store(found.groupBy("kind", "entity").agg(F.lit(0).alias("attempt")), "entities")
     taken = every.select("kind", F.col("entity").alias("new"))
     drawn, result = store(draw(every), "surrogates"), None
+    least, rounds = None, 0
     while True:
         first = drawn.groupBy("kind", "new").agg(F.min("entity").alias("holder"), F.count(F.lit(1)).alias("n"))
         clash = first.join(taken, ["kind", "new"], "left_semi").select("kind", "new", F.lit(None).cast("string").alias("holder"))
@@ -230,8 +236,14 @@ def redrawn(found: DataFrame, key: str = KEY) -> DataFrame:
         settled = drawn.join(again.select("kind", "entity"), ["kind", "entity"], "left_anti")
         later = settled.where("attempt > 0").select("kind", "entity", "attempt")
         result = later if result is None else result.union(later)
-        if not again.limit(1).count():
+        left = {r["kind"]: r["count"] for r in again.groupBy("kind").count().collect()}
+        if not left:
             return store(result, "redrawn")
+        total = sum(left.values())
+        rounds = 0 if least is None or total < least else rounds + 1
+        least = total if least is None else min(least, total)
+        if rounds >= STALLED:
+            raise ValueError(f"too few surrogates that are no entities themselves: {left}")
         taken = store(taken.union(settled.select("kind", "new")), "taken")
         drawn = store(draw(again), "surrogates")
 
