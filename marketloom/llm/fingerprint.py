@@ -145,27 +145,39 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
     Ids are cut into ranges at quantiles, and ranges into equal steps, so that a window
     runs over a bounded piece; the last row of a piece follows on the first row of the
     next piece. Rows that share an id are ordered by a hash of the text, then the text.
-    Rows without an id come last.
+    Rows without an id come last, cut into pieces by that hash. Pieces find the next one
+    inside their range, and only the ranges, some hundreds, are ordered by one task.
     """
-    n, low, high, cuts = docs.agg(
-        F.count(F.lit(1)), F.min(id_col), F.max(id_col),
+    n, known, low, high, cuts = docs.agg(
+        F.count(F.lit(1)), F.count(id_col), F.min(id_col), F.max(id_col),
         F.percentile_approx(id_col, [i / RANGES for i in range(1, RANGES)], 20_000)).first()
     cuts = sorted({*(cuts or []), low, high} - {None}) or [0]
     steps = max(1, -(-n // (RANGES * ROWS_PER_BLOCK)))
     edges = F.array(*[F.lit(c).cast("long") for c in cuts])
     at = F.size(F.filter(edges, lambda e: e <= F.col(id_col))) - 1
-    below, above = F.get(edges, F.col("__at")), F.coalesce(F.get(edges, F.col("__at") + 1), F.lit(cuts[-1]) + 1)
-    inner = F.floor((F.col(id_col) - below) / F.greatest(above - below, F.lit(1)) * steps)
-    # Null ids get the lowest piece of all.
-    piece = F.coalesce((F.col("__at") * steps + F.least(inner, F.lit(steps - 1))).cast("long"), F.lit(-1))
+    # Doubles keep the order of ids, and have room for differences of any two.
+    below = F.get(edges, F.col("__at")).cast("double")
+    above = F.coalesce(F.get(edges, F.col("__at") + 1).cast("double"), F.lit(float(cuts[-1]) + 1))
+    share = (F.col(id_col).cast("double") - below) / F.greatest(above - below, F.lit(1.0))
+    inner = F.least(F.greatest(F.floor(share * steps), F.lit(0)), F.lit(steps - 1))
+    place = uniform_hash(10, text)
+    without = max(1, -(-(n - known) // ROWS_PER_BLOCK))
+    last = -1 - F.least(F.floor((place.cast("double") / 2.0**64 + 0.5) * without), F.lit(without - 1))
+    piece = F.when(F.col(id_col).isNull(), last).otherwise(F.col("__at") * steps + inner).cast("long")
     rows = docs.withColumn("__at", at).withColumn("__piece", piece).drop("__at")
     order = Window.partitionBy("__piece").orderBy(F.col(id_col).desc_nulls_last(), uniform_hash(10, text), text)
     rows = rows.withColumns({
         "__next": F.lead(F.struct(text)).over(order), "__nth": F.row_number().over(order)})
     firsts = rows.where("__nth = 1").select(F.col("__piece").alias("__p"), F.struct(text).alias("__first"))
-    pieces_ = firsts.select("__p").withColumns({
-        "__follows": F.lead("__p").over(Window.orderBy(F.desc("__p"))), "__top": F.max("__p").over(Window.partitionBy())})
-    ring = pieces_.select(F.col("__p").alias("__of"), F.coalesce("__follows", "__top").alias("__to"))
+    pieces_ = firsts.select("__p", F.greatest(F.floor(F.col("__p") / steps), F.lit(-1)).alias("__range"))
+    pieces_ = pieces_.withColumn("__follows", F.lead("__p").over(Window.partitionBy("__range").orderBy(F.desc("__p"))))
+    tops = pieces_.groupBy("__range").agg(F.max("__p").alias("__top"))
+    down = Window.orderBy(F.desc("__range"))
+    every = down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    tops = tops.select(
+        F.col("__range").alias("__r"), F.coalesce(F.lead("__top").over(down), F.max("__top").over(every)).alias("__down"))
+    ring = pieces_.join(tops, pieces_["__range"] == tops["__r"]).select(
+        F.col("__p").alias("__of"), F.coalesce("__follows", "__down").alias("__to"))
     heads = firsts.join(ring, firsts["__p"] == ring["__to"]).select("__of", "__first")
     joined = rows.join(heads, rows["__piece"] == heads["__of"], "left")
     return joined.select(*docs.columns, F.coalesce("__next", "__first")[text].alias("next_text"))

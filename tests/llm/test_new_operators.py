@@ -285,3 +285,39 @@ def test_op5_orders_the_largest_id_before_none(spark):
     text = "a passage that only the last document and one without an id have"
     docs = spark.createDataFrame([(BIG, text), (None, text), (-BIG - 1, "x"), (0, "y")], "doc_id long, text string")
     assert {r.doc_id: r.n_removed for r in without_repeats(docs).collect()} == {BIG: 0, None: len(text), -BIG - 1: 0, 0: 0}
+
+
+def test_op9_ends_where_numbers_are_short(spark):
+    """All numbers of five digits that begin with 1 are entities; theirs begin otherwise."""
+    from marketloom.llm.pii import redrawn, surrogate
+
+    numbers = [str(n) for n in range(10_000, 20_000)]
+    found = spark.createDataFrame([(i, "phone", n) for i, n in enumerate(numbers)], "row long, kind string, entity string")
+    draws = {r.entity: r.attempt for r in redrawn(found).collect()}
+    new = [surrogate("phone", n, draws.get(n, 0)) for n in numbers]
+    assert len(set(new)) == len(numbers) and not set(new) & set(numbers) and all(len(n) == 5 for n in new)
+
+
+def test_op9_names_a_type_that_is_used_up(spark, monkeypatch):
+    from marketloom.llm import pii
+
+    monkeypatch.setattr(pii, "STALLED", 2)
+    # Ten numbers of one digit have no other numbers to turn into.
+    found = spark.createDataFrame([(i, "phone", str(i)) for i in range(1, 10)], "row long, kind string, entity string")
+    with pytest.raises(ValueError, match="phone"):
+        pii.redrawn(found)
+
+
+def test_op10_next_text_for_any_ids(spark, monkeypatch):
+    """Ids at both ends of the long range, repeated ones, many rows without one; going round."""
+    from marketloom.llm import fingerprint
+
+    monkeypatch.setattr(fingerprint, "ROWS_PER_BLOCK", 3)
+    ids = [-BIG - 1, BIG, -9 * 10**18, 9 * 10**18, 0, 1, 2, 2, 5, 10**12] + [None] * 40
+    rows = [(d, f"text {i}") for i, d in enumerate(ids)]
+    for some in (rows, rows[:2], rows[:1], rows[10:]):
+        docs = spark.createDataFrame(some, "doc_id long, text string")
+        hashed = docs.select("doc_id", "text", fingerprint.uniform_hash(10, "text").alias("h")).collect()
+        order = sorted(hashed, key=lambda r: (r.doc_id is None, -(r.doc_id or 0), r.h, r.text))
+        want = {r.text: order[(i + 1) % len(order)].text for i, r in enumerate(order)}
+        assert {r.text: r.next_text for r in fingerprint.with_next(docs).collect()} == want
