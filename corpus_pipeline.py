@@ -20,7 +20,8 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: Shingle hashing, keyed surrogates and tokenising are beyond SQL; tests use brute force.
+#: Shingle hashing, keyed surrogates and tokenising are beyond SQL; tests hold stages against
+#: invariants, and near duplicates against brute force.
 ORACLE_SQL = None
 
 
