@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,12 +32,13 @@ def _bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def _few(table: DataFrame, most: int) -> DataFrame:
-    """The table, cut one row beyond the bound; it fails if there is that row."""
-    one_more = F.row_number().over(Window.orderBy(F.lit(1))) > most
-    error = F.raise_error(F.lit(f"more than {most} exchange rates are too many to broadcast; set broadcast_rate_rows to 0"))
-    checked = table.limit(most + 1).withColumn("__over", one_more)
-    return checked.withColumn("__rate_to", F.when(F.col("__over"), error.cast("string")).otherwise(F.col("__rate_to"))).drop("__over")
+def _few(table: DataFrame, most: int) -> bool:
+    """Whether a table may be broadcast: by Spark's estimate of its size, or by a count up to
+    the limit where there is none."""
+    size = _bytes(table)
+    if size < UNKNOWN_BYTES:
+        return size <= most * BYTES_PER_RATE
+    return most > 0 and table.limit(most + 1).count() <= most
 
 
 def _rate_table(rates: DataFrame, base_currency: str | None) -> DataFrame:
@@ -82,8 +83,8 @@ def attach_exchange_rate(
 
     Rates are broadcast up to a limit; beyond it the rows are salted and the rates copied
     once per salt. Spark's estimate of their size decides, so nothing is run to plan the
-    join. Where there is no estimate, rates are broadcast up to the limit and fail beyond
-    it; a limit of 0 always salts.
+    join; only rates without an estimate (frames made from local rows) are counted, up to
+    the limit.
     """
     local = F.col(currency_col) if isinstance(currency_col, str) else currency_col
     keyed = df.withColumns({"__fx_day": as_date(date_col), "__fx_local": local})
@@ -91,10 +92,7 @@ def attach_exchange_rate(
     match = (F.col("__fx_day") == F.col("__rate_date")) & (
         F.col("__fx_local") == F.col("__rate_to")
     )
-    size = _bytes(table)
-    if broadcast_rows and size >= UNKNOWN_BYTES:
-        joined = keyed.join(F.broadcast(_few(table, broadcast_rows)), match, "left")
-    elif size <= broadcast_rows * BYTES_PER_RATE:
+    if _few(table, broadcast_rows):
         joined = keyed.join(F.broadcast(table), match, "left")
     else:
         pieces = F.sequence(F.lit(0), F.lit(RATE_PIECES - 1))

@@ -167,23 +167,21 @@ def test_planning_starts_no_job(spark, sf_dir):
     context.setJobGroup("planning", "")
     try:
         unify(spark, SPECS["m14_promotions"], raw, rates, settings=STAMP)
-        listed = spark.createDataFrame([(dt.date(2024, 1, 1), "USD", "CAD", "1.25")], rates.schema.fieldNames())
-        unify(spark, SPECS["m14_promotions"], raw, listed, settings=STAMP)
         context._jsc.sc().listenerBus().waitUntilEmpty()
         assert list(context.statusTracker().getJobIdsForGroup("planning")) == []
     finally:
         context._jsc.clearJobGroup()
 
 
-def test_rates_without_an_estimate_are_bounded(spark):
+def test_rates_without_an_estimate_are_counted(spark):
     from marketloom.operators import attach_exchange_rate
 
     df = spark.createDataFrame([(dt.date(2024, 1, 1), "CAD")], "day date, currency string")
     rates = spark.createDataFrame(
         [(dt.date(2024, 1, 1), "USD", c, "1.0000000000005") for c in ("CAD", "INR", "MXN")],
         "date date, from_currency_code string, to_currency_code string, value string")
-    got = attach_exchange_rate(df, rates, "day", "currency", broadcast_rows=3).first()
-    assert str(got.exchange_currency_rate) == "1.000000000000500000"
-    with pytest.raises(Exception, match="more than 2 exchange rates"):
-        attach_exchange_rate(df, rates, "day", "currency", broadcast_rows=2).collect()
-    assert attach_exchange_rate(df, rates, "day", "currency", broadcast_rows=0).first() == got
+    few, many, none = (attach_exchange_rate(df, rates, "day", "currency", broadcast_rows=n) for n in (3, 2, 0))
+    assert str(few.first().exchange_currency_rate) == "1.000000000000500000"
+    assert few.first() == many.first() == none.first()
+    plans = [f._jdf.queryExecution().optimizedPlan().toString() for f in (few, many, none)]
+    assert [("strategy=broadcast" in plan) for plan in plans] == [True, False, False]

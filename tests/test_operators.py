@@ -152,10 +152,12 @@ def prices(spark):
 @pytest.mark.parametrize("limit", [1, 1000])
 def test_rates_default_and_fan_out(prices, rates, limit):
     out = attach_exchange_rate(prices, rates, "t", "cur", broadcast_rows=limit)
+    # Rates given as text have eighteen places.
     got = rows(out.select("id", "exchange_currency_rate", "exchange_currency_code"))
     assert got == [
-        ("1", "1.350000000", "USD"), ("1", "1.470000000", "EUR"), ("2", "1.000000000", "MXN"),
-        ("3", "1.000000000", "INR"), ("4", "1.000000000", "None"),
+        ("1", "1.350000000000000000", "USD"), ("1", "1.470000000000000000", "EUR"),
+        ("2", "1.000000000000000000", "MXN"), ("3", "1.000000000000000000", "INR"),
+        ("4", "1.000000000000000000", "None"),
     ]
 
 
