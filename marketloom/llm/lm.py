@@ -3,11 +3,17 @@
 Counts of all training n-grams (one and two tokens) are made exactly, combined in each
 task before the shuffle. A count ``c`` is quantised to level ``1 + floor(log2 c)``, so that
 n-grams seen once have the first level, and an n-gram is put into the filter once for each
-level up to its own; reading probes level after level until one is missing. The filter is made of segments, one for each bucket of n-grams, so
-that tasks build them apart. It has ``BITS_PER_ITEM`` bits for every level of every
-n-gram, however many there are. Up to ``MAX_BITS`` bits it is gathered and broadcast; a
-larger one stays in a table of segments of bounded size, and the documents' n-grams
-travel to the segments instead. Both ways probe the same bits and give the same scores.
+level up to its own; reading probes level after level until one is missing. Words and
+bigrams have a filter each, made of segments, one for each bucket of n-grams, so that tasks
+build them apart. They have ``BITS_PER_ITEM`` bits for every level of every n-gram, however
+many there are.
+
+The words' filter is broadcast up to ``MAX_BITS`` bits. The bigrams' filter is broadcast in
+passes of at most ``MAX_BITS`` bits each: a pass adds the log probabilities of the tokens
+whose bigram falls into its segments, and nothing is shuffled but a number for each text.
+Beyond ``MAX_PASSES`` passes, or with too many words, the segments stay in a table, and the
+n-grams of the texts travel to them, each once for a block of texts. Both ways probe the
+same bits and give the same scores.
 
 A token's probability is the bigram count smoothed with the unigram probability:
 ``(c(h w) + K p(w)) / (c(h) + K)``, ``p(w) = (c(w) + 1) / (N + V + 1)``.
@@ -17,15 +23,19 @@ broadcast, the other words of a document are joined with the table of all counts
 of them has less than N / FREQUENT occurrences, so no key is hot.
 
 Null and empty texts have the end token only. A row without an id is learned from.
-Repeated rows are counted and scored as rows of their own. Empty tables give no rows.
+Repeated rows are counted and scored as rows of their own. Empty tables give no rows. Ties
+among the commonest words are broken by hash and change no result. A text is read whole by
+one task, whose arrays take about thirty times its bytes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,12 +46,14 @@ FREQUENT = 1 << 16
 LEAST_PREFIX = 8  # n-grams are dealt by so many leading bits of their hash at least
 TOKENS_PER_BUCKET = 1 << 23
 SEGMENT_BITS = 1 << 24
+LEAST_SEGMENT = 1 << 12  # smaller ones would be overfull by chance
 MAX_BITS = 1 << 28
-SALTS = 16  # a segment goes to so many tasks, as common n-grams are asked for by all texts
+MAX_PASSES = 8  # each reads the texts once more
 BITS_PER_ITEM = 10
 PROBES = 4
 SMOOTHING = 1000.0
 FLUSH = 2_000_000
+OWN = 2  # rows with which a block keeps its own tokens
 START, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 
 
@@ -163,48 +175,86 @@ def probes(grams: np.ndarray, level: int, segment_bits: int) -> Iterator[np.ndar
         h = h + step
 
 
+class Shape(NamedTuple):
+    """Bits of a filter's segment, leading bits that name the bucket, mean count of each level."""
+
+    segment: int
+    prefix: int
+    means: np.ndarray
+
+    @property
+    def bits(self) -> int:
+        return self.segment << self.prefix
+
+
 class CountFilter:
     """Reads quantised counts: levels are probed upwards until one is missing.
 
     ``bits`` are those of consecutive segments, from that of bucket ``first`` on.
     """
 
-    def __init__(self, bits: np.ndarray, segment_bits: int, prefix: int, means: np.ndarray, first: int = 0):
-        self.bits, self.segment_bits, self.prefix, self.means, self.first = bits, segment_bits, prefix, means, first
+    def __init__(self, bits: np.ndarray, shape: Shape, first: int = 0):
+        self.bits, self.shape, self.first = bits, shape, first
+
+    def buckets(self, grams: np.ndarray) -> np.ndarray:
+        return grams >> np.uint64(64 - self.shape.prefix)
+
+    def holds(self, grams: np.ndarray) -> np.ndarray:
+        """Which n-grams belong to the segments at hand."""
+        last = self.first + len(self.bits) * 8 // self.shape.segment
+        bucket = self.buckets(grams)
+        return (bucket >= np.uint64(self.first)) & (bucket < np.uint64(last))
 
     def set_bits(self, at: np.ndarray) -> np.ndarray:
         return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
-    def counts(self, grams: np.ndarray) -> np.ndarray:
-        """Mean training count of the level that each gram is found at; 0 if not found."""
-        level = np.zeros(len(grams), np.int64)
+    def levels(self, grams: np.ndarray) -> np.ndarray:
+        """The level that each gram is found at; 0 if not found."""
+        segment = self.shape.segment
+        level = np.zeros(len(grams), np.uint8)
         alive = np.arange(len(grams))
-        starts = ((grams >> np.uint64(64 - self.prefix)) - np.uint64(self.first)) * np.uint64(self.segment_bits)
-        for q in range(1, len(self.means)):
+        starts = (self.buckets(grams) - np.uint64(self.first)) * np.uint64(segment)
+        for q in range(1, len(self.shape.means)):
             # Most n-grams end at the first probe; only the others make the rest.
-            first = next(probes(grams[alive], q, self.segment_bits))
+            first = next(probes(grams[alive], q, segment))
             alive = alive[self.set_bits(starts[alive] + first)]
             found = np.ones(len(alive), bool)
-            for at in probes(grams[alive], q, self.segment_bits):
+            for at in probes(grams[alive], q, segment):
                 found &= self.set_bits(starts[alive] + at)
             alive = alive[found]
             level[alive] = q
             if not len(alive):
                 break
-        return self.means[level]
+        return level
+
+    def counts(self, grams: np.ndarray) -> np.ndarray:
+        """Mean training count of each gram's level."""
+        return self.shape.means[self.levels(grams)]
 
 
-def segments(grams: DataFrame) -> tuple[DataFrame, int, int, np.ndarray]:
-    """The filter's segments (bucket, bits), built in tasks; bits of a segment, leading
-    bits that name the bucket, and the mean count of each level."""
+def shapes(words: DataFrame, pairs: DataFrame) -> tuple[Shape, Shape]:
+    """The filters of words and of bigrams; a level's mean is that of both."""
     level = (F.floor(F.log2("c")) + 1).cast("int").alias("level")
-    held = grams.select("gram", "c", level)
-    found = {r["level"]: (r["n"], r["mean"]) for r in held.groupBy("level").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("c").alias("mean")).collect()}
-    means = np.array([0.0] + [found.get(q, (0, 2.0 ** (q - 1)))[1] for q in range(1, max(found, default=0) + 1)])
-    needed = BITS_PER_ITEM * sum(n * q for q, (n, _) in found.items())
-    prefix = prefix_for(needed, SEGMENT_BITS)
-    segment = max(64, -(-needed // (1 << prefix) // 64) * 64)
+    both = words.select(F.lit(0).alias("kind"), level, "c").union(pairs.select(F.lit(1), level, "c"))
+    found = both.groupBy("kind", "level").agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("c")).collect()
+    top = max((r["level"] for r in found), default=0)
+    n, c, needed = np.zeros(top + 1), np.zeros(top + 1), [0, 0]
+    for r in found:
+        n[r["level"]] += r["n"]
+        c[r["level"]] += r["c"]
+        needed[r["kind"]] += BITS_PER_ITEM * r["n"] * r["level"]
+    means = np.where(n > 0, c / np.maximum(n, 1), 2.0 ** (np.arange(top + 1) - 1))
+    means[0] = 0
+    out = []
+    for bits in needed:
+        prefix = prefix_for(bits, SEGMENT_BITS)
+        out.append(Shape(max(LEAST_SEGMENT, -(-bits // (1 << prefix) // 64) * 64), prefix, means))
+    return out[0], out[1]
+
+
+def segments(grams: DataFrame, shape: Shape) -> DataFrame:
+    """The filter's segments (bucket, bits), built in tasks."""
+    segment, prefix = shape.segment, shape.prefix
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def packed(bucket: int, mine: np.ndarray) -> pa.RecordBatch:
@@ -226,18 +276,21 @@ def segments(grams: DataFrame) -> tuple[DataFrame, int, int, np.ndarray]:
         if now is not None:
             yield packed(now, mine)
 
-    dealt = held.select("gram", "level", F.shiftrightunsigned("gram", 64 - prefix).cast("int").alias("bucket"))
+    level = (F.floor(F.log2("c")) + 1).cast("int").alias("level")
+    dealt = grams.select("gram", level, F.shiftrightunsigned("gram", 64 - prefix).cast("int").alias("bucket"))
     dealt = dealt.repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(build, "bucket int, bits binary"), segment, prefix, means
+    return dealt.mapInArrow(build, "bucket int, bits binary")
 
 
-def gathered(parts: DataFrame, segment: int, prefix: int, means: np.ndarray) -> CountFilter:
-    """The whole filter; only for one whose size was checked."""
-    table = np.zeros((segment << prefix) // 8, np.uint8)
-    for row in parts.toLocalIterator():
-        at = row["bucket"] * segment // 8
-        table[at : at + segment // 8] = np.frombuffer(row["bits"], np.uint8)
-    return CountFilter(table, segment, prefix, means)
+def gathered(parts: DataFrame, shape: Shape, first: int = 0, last: int | None = None) -> CountFilter:
+    """Segments ``first`` to ``last`` (exclusive) of a filter; only for a checked number of bits."""
+    last = 1 << shape.prefix if last is None else last
+    each = shape.segment // 8
+    table = np.zeros((last - first) * each, np.uint8)
+    for row in parts.where(F.col("bucket").between(first, last - 1)).toLocalIterator():
+        at = (row["bucket"] - first) * each
+        table[at : at + each] = np.frombuffer(row["bits"], np.uint8)
+    return CountFilter(table, shape, first)
 
 
 def log_probabilities(single: np.ndarray, pair: np.ndarray, ends: np.ndarray, texts: int, norm: float, smoothing: float) -> np.ndarray:
@@ -254,82 +307,130 @@ def log_probabilities(single: np.ndarray, pair: np.ndarray, ends: np.ndarray, te
     return np.log10((pair + smoothing * (single + 1) / norm) / (after + smoothing))
 
 
+def partial_scores(
+    h: np.ndarray, row: np.ndarray, rows: int, words: CountFilter, pairs: CountFilter, texts: int, norm: float, smoothing: float,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of each row, and the sum of log10 probabilities of those whose bigram ``pairs`` holds."""
+    token, before, place = bigrams(h, row, rows)
+    grams = pair_hash(before, token)
+    many = np.bincount(place, minlength=rows)
+    mine = pairs.holds(grams)
+    need = mine.copy()
+    need[:-1] |= mine[1:]
+    single, pair = np.zeros(len(token)), np.zeros(len(token))
+    single[need], pair[mine] = words.counts(token[need]), pairs.counts(grams[mine])
+    p = log_probabilities(single, pair, np.cumsum(many) - 1, texts, norm, smoothing)
+    return many, np.bincount(place, np.where(mine, p, 0.0), rows)
+
+
+def scores_in_pass(
+    docs: DataFrame, words: CountFilter, pairs: CountFilter, texts: int, norm: float, smoothing: float, text: str = "text",
+) -> DataFrame:
+    """(__row, score): what the bigrams of one pass add to each text's score."""
+    known = docs.sparkSession.sparkContext.broadcast((words, pairs))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, data, offsets in pieces(batch, text):
+                _, p = partial_scores(*word_hashes(data, offsets), rows.num_rows, *known.value, texts, norm, smoothing)
+                yield pa.RecordBatch.from_arrays([rows.column(rows.schema.names.index("__row")), pa.array(p)], names=["__row", "score"])
+
+    # Whole copies share their key and their score.
+    parts = docs.select("__row", text).mapInArrow(score, "__row long, score double").groupBy("__row").agg(F.max("score").alias("score"))
+    out = store(parts, "pass")
+    known.destroy()
+    return out
+
+
 def scores_by_segment(
-    docs: DataFrame, parts: DataFrame, segment: int, prefix: int, means: np.ndarray,
+    docs: DataFrame, words: DataFrame, word_shape: Shape, pairs: DataFrame, pair_shape: Shape,
     texts: int, norm: float, smoothing: float, text: str = "text",
 ) -> DataFrame:
-    """(__row, score) of texts, with a filter that is too large to broadcast.
+    """(__row, score) of texts, with filters that are too large to broadcast.
 
-    A text sends its n-grams to their segments, one row for each bucket, and gets the
-    counts back; what a task holds is one segment, and then one text's counts.
+    A block of texts (a piece of a batch) asks for each of its n-grams once, with one row
+    for each bucket, and gets levels back, a byte each. So a segment is asked for an n-gram
+    at most once by each block, however common the n-gram is. What a task holds is one
+    segment, and then one block's tokens. The blocks' rows are stored, as two jobs read them.
     """
-    shift = np.uint64(64 - prefix)
+    shape = (word_shape, pair_shape)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, blocks = TaskContext.get().partitionId(), 0
         for batch in batches:
             for rows, data, offsets in pieces(batch, text):
                 token, before, place = bigrams(*word_hashes(data, offsets), rows.num_rows)
-                grams, doc = np.concatenate([token, pair_hash(before, token)]), np.concatenate([place, place])
-                many = np.bincount(place, minlength=rows.num_rows)
-                nth = np.arange(len(place)) - (np.cumsum(many) - many)[place]
-                nth = np.concatenate([nth, nth + many[place]]).astype(np.int32)
-                order = np.lexsort((grams, doc))  # buckets are in the order of grams
-                grams, doc, nth = grams[order], doc[order], nth[order]
-                bucket = (grams >> shift).astype(np.int32)
-                cuts = np.flatnonzero((doc[1:] != doc[:-1]) | (bucket[1:] != bucket[:-1])) + 1
-                cuts = np.concatenate([[0], cuts, [len(grams)]])
+                sent, index = [], []
+                for kind, grams in enumerate((token, pair_hash(before, token))):
+                    distinct, where = np.unique(grams, return_inverse=True)
+                    index.append(where.astype(np.int32))
+                    bucket = (distinct >> np.uint64(64 - shape[kind].prefix)).astype(np.int32)
+                    cuts = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]])
+                    sent += [(kind, int(bucket[a]), int(a), distinct[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
                 keys = rows.column(rows.schema.names.index("__row")).to_numpy()
+                many = np.bincount(place, minlength=rows.num_rows)
+                own = (np.concatenate(index), many.astype(np.int64), keys)
+                sent += [(OWN, None, i, x.tobytes()) for i, x in enumerate(own)]
+                kinds, buckets, at, bits = zip(*sent)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(bucket[cuts[:-1]]), pa.array(keys[doc[cuts[:-1]]]),
-                        pa.array([nth[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary()),
-                        pa.array([grams[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary()),
+                        pa.array([task << 32 | blocks] * len(sent), pa.int64()), pa.array(kinds, pa.int32()),
+                        pa.array(buckets, pa.int32()), pa.array(at, pa.int32()), pa.array(bits, pa.binary()),
                     ],
-                    names=["bucket", "__row", "nth", "bits"],
+                    names=["block", "kind", "bucket", "at", "bits"],
                 )
+                blocks += 1
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, table = None, None
         for batch in batches:
-            keys, places, counts = [], [], []
-            for bucket, key, nth, bits in zip(*[batch.column(n).to_pylist() for n in ("bucket", "__row", "nth", "bits")]):
-                if nth is None:
-                    now, table = bucket, CountFilter(np.frombuffer(bits, np.uint8), segment, prefix, means, bucket)
+            out = []
+            for block, kind, bucket, at, bits in zip(*[c.to_pylist() for c in batch.columns]):
+                if block is None:
+                    now, table = (kind, bucket), CountFilter(np.frombuffer(bits, np.uint8), shape[kind], bucket)
                     continue
                 grams = np.frombuffer(bits, np.uint64)
                 # Only buckets in which n-grams were learned have a segment.
-                found = table.counts(grams) if now == bucket else np.zeros(len(grams))
-                keys.append(key)
-                places.append(nth)
-                counts.append(found.tobytes())
+                found = table.levels(grams) if now == (kind, bucket) else np.zeros(len(grams), np.uint8)
+                out.append((block, kind, at, found.tobytes()))
+            block, kind, at, bits = zip(*out) if out else ((),) * 4
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(places, pa.binary()), pa.array(counts, pa.binary())], names=["__row", "nth", "counts"])
+                [pa.array(block, pa.int64()), pa.array(kind, pa.int32()), pa.array(at, pa.int32()), pa.array(bits, pa.binary())],
+                names=["block", "kind", "at", "bits"],
+            )
 
     def score(table: pa.Table) -> pa.Table:
-        nth = np.frombuffer(b"".join(table["nth"].to_pylist()), np.int32)
-        counts = np.empty(len(nth))
-        counts[nth] = np.frombuffer(b"".join(table["counts"].to_pylist()), np.float64)
-        n = len(nth) // 2
-        p = log_probabilities(counts[:n], counts[n:], np.array([n - 1]), texts, norm, smoothing)
-        return pa.table({"__row": table["__row"][:1], "score": [p.sum()]})
-
-    salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    none = [F.lit(None).cast("long").alias("__row"), F.lit(None).cast("binary").alias("nth")]
-    once = docs.select("__row", text).dropDuplicates(["__row"])
-    asked = once.mapInArrow(ask, "bucket int, __row long, nth binary, bits binary")
-    sent = asked.withColumn("salt", F.pmod("__row", F.lit(SALTS)).cast("int")).unionByName(
-        parts.select("bucket", *none, "bits", salt))
+        table = table.sort_by([("kind", "ascending"), ("at", "ascending")])
+        kind, bits = table["kind"].to_numpy(), table["bits"].to_pylist()
+        single, pair = (np.frombuffer(b"".join(b for k, b in zip(kind, bits) if k == one), np.uint8) for one in (0, 1))
+        index, many, keys = (b for k, b in zip(kind, bits) if k == OWN)
+        index, many = np.frombuffer(index, np.int32), np.frombuffer(many, np.int64)
+        n = len(index) // 2
+        p = log_probabilities(
+            word_shape.means[single[index[:n]]], pair_shape.means[pair[index[n:]]], np.cumsum(many) - 1, texts, norm, smoothing)
+        return pa.table({"__row": np.frombuffer(keys, np.int64), "score": np.bincount(np.repeat(np.arange(len(many)), many), p, len(many))})
+
+    asked = store(docs.select("__row", text).mapInArrow(ask, "block long, kind int, bucket int, at int, bits binary"), "asked")
+    sent = asked.where(F.col("kind") != OWN)
+    for one, parts in enumerate((words, pairs)):
+        sent = sent.union(parts.select(F.lit(None).cast("long"), F.lit(one), "bucket", F.lit(None).cast("int"), "bits"))
     # A segment comes before what is asked of it.
-    sent = sent.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", F.col("nth").isNotNull())
-    answers = sent.mapInArrow(answer, "__row long, nth binary, counts binary")
-    return answers.groupBy("__row").applyInArrow(score, "__row long, score double")
+    sent = sent.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket", F.col("block").isNotNull())
+    answers = sent.mapInArrow(answer, "block long, kind int, at int, bits binary")
+    own = asked.where(F.col("kind") == OWN).select("block", "kind", "at", "bits")
+    scores = answers.union(own).groupBy("block").applyInArrow(score, "__row long, score double")
+    return scores.groupBy("__row").agg(F.max("score").alias("score"))
 
 
 def score_documents(
     docs: DataFrame, held_out: str = "held_out", id_col: str = "doc_id", text: str = "text",
-    smoothing: float = SMOOTHING, max_bits: int = MAX_BITS,
+    smoothing: float = SMOOTHING, max_bits: int = MAX_BITS, max_passes: int = MAX_PASSES,
 ) -> DataFrame:
-    """Learn from the rows that are not held out and score all rows."""
+    """Learn from the rows that are not held out and score all rows.
+
+    At most ``max_bits`` bits of each of the two filters are broadcast at once, and the texts
+    are read at most ``max_passes`` times for it; beyond, n-grams travel to the filters.
+    """
     spark = docs.sparkSession
     docs = docs.select(id_col, text, held_out, F.xxhash64(id_col, text).alias("__row"))
     training = docs.where(~F.col(held_out))
@@ -337,15 +438,21 @@ def score_documents(
     words, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     texts = training.count()
     total, vocabulary = words + texts, distinct + (texts > 0)
-    pairs = bigram_counts(training, text, prefix_for(words, TOKENS_PER_BUCKET))
-    both = store(pairs.union(counts.select("token", "c")), "grams")
-    parts, *shape = segments(both)
-    fits = shape[0] << shape[1] <= max_bits
-    filter_ = gathered(parts, *shape) if fits else None
+    pairs = store(bigram_counts(training, text, prefix_for(words, TOKENS_PER_BUCKET)), "pairs")
+    singles = counts.select(F.col("token").alias("gram"), "c")
+    word_shape, pair_shape = shapes(singles, pairs)
+    word_parts, pair_parts = store(segments(singles, word_shape), "segments"), store(segments(pairs, pair_shape), "segments")
+    a_pass = max(1, max_bits // pair_shape.segment)
+    firsts = range(0, 1 << pair_shape.prefix, a_pass)
+    fits = word_shape.bits <= max_bits and len(firsts) <= max_passes
+    filters = None
+    if fits:
+        in_pass = lambda first: gathered(pair_parts, pair_shape, first, min(first + a_pass, firsts.stop))
+        filters = gathered(word_parts, word_shape), in_pass(0)
     top = counts.orderBy(F.desc("c"), "token").limit(FREQUENT).toPandas()
     order = np.argsort(top["token"].to_numpy().view(np.uint64))
     known = spark.sparkContext.broadcast((
-        filter_, top["token"].to_numpy().view(np.uint64)[order], top["c"].to_numpy()[order].astype(np.float64)))
+        filters, top["token"].to_numpy().view(np.uint64)[order], top["c"].to_numpy()[order].astype(np.float64)))
     norm = float(total + vocabulary + 1)
 
     def common(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -371,22 +478,19 @@ def score_documents(
                 yield pa.RecordBatch.from_arrays([pa.array(key[row[new]]), signed(h[new]), pa.array(many)], names=["__row", "token", "tf"])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = known.value[0]
+        filters = known.value[0]
         for batch in batches:
             for rows, data, offsets in pieces(batch, text):
                 n = rows.num_rows
                 h, row = word_hashes(data, offsets)
                 hit, c = common(h)
-                token, before, place = bigrams(h, row, n)
-                total_p = np.full(n, np.nan)
-                if table is not None:
-                    ends = np.cumsum(np.bincount(place, minlength=n)) - 1
-                    p = log_probabilities(table.counts(token), table.counts(pair_hash(before, token)), ends, texts, norm, smoothing)
-                    total_p = np.bincount(place, p, n)
+                many, total_p = np.bincount(row, minlength=n) + 1, np.full(n, np.nan)
+                if filters:
+                    many, total_p = partial_scores(h, row, n, *filters, texts, norm, smoothing)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *[rows.column(rows.schema.names.index(x)) for x in (id_col, held_out, "__row")],
-                        pa.array(np.bincount(place, minlength=n)),
+                        pa.array(many),
                         pa.array(np.bincount(row[hit], minlength=n) + int(texts > 0)),
                         pa.array(np.bincount(row[hit], np.log10(c[hit] + 1), n) + np.log10(texts + 1)),
                         pa.array(total_p),
@@ -397,8 +501,12 @@ def score_documents(
     kind = docs.schema[id_col].dataType.simpleString()
     heads = docs.mapInArrow(score, f"`{id_col}` {kind}, `{held_out}` boolean, __row long, n_tokens long, n_common long, log_common double, score double")
     if not fits:
-        apart = scores_by_segment(docs, store(parts, "segments"), *shape, texts, norm, smoothing, text)
+        apart = scores_by_segment(docs, word_parts, word_shape, pair_parts, pair_shape, texts, norm, smoothing, text)
         heads = heads.drop("score").join(apart, "__row")
+    for first in firsts[1:] if fits else ():
+        more = scores_in_pass(docs, filters[0], in_pass(first), texts, norm, smoothing, text)
+        heads = heads.join(more.withColumnRenamed("score", "more"), "__row")
+        heads = heads.withColumn("score", F.col("score") + F.col("more")).drop("more")
     looked_up = docs.select("__row", text).mapInArrow(rare, "__row long, token long, tf long").join(counts, "token")
     rest = looked_up.groupBy("__row").agg(
         F.sum("tf").alias("n_rare"), F.sum(F.col("tf") * F.log10(F.col("c") + 1)).alias("log_rare"))

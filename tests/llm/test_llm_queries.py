@@ -319,6 +319,27 @@ def test_op7_filter_too_large_to_broadcast(spark, table):
         assert key(a) == key(b) and a.score == pytest.approx(b.score, rel=1e-9)
 
 
+@pytest.mark.parametrize("max_passes", [3, 64])
+def test_op7_filter_in_passes(spark, table, max_passes, monkeypatch):
+    """A filter in parts of a few segments gives the scores of the whole one, in passes or by shuffle."""
+    from marketloom.llm import lm
+
+    docs = spark.read.parquet(f"{table[0]}/documents.parquet").withColumn("held_out", F.col("doc_id") % 5 == 0)
+    docs = docs.fillna({"held_out": False})
+    monkeypatch.setattr(lm, "LEAST_SEGMENT", 64)
+    key = lambda r: (str(r.doc_id), r.n_tokens, r.base_score)
+    whole = sorted(lm.score_documents(docs).collect(), key=key)
+    training = docs.where("not held_out")
+    singles = lm.token_counts(training).withColumnRenamed("token", "gram")
+    words, pairs = lm.shapes(singles, lm.bigram_counts(training))
+    bits = max(words.bits, -(-pairs.bits // 5))
+    assert bits < pairs.bits
+    cut = sorted(lm.score_documents(docs, max_bits=bits, max_passes=max_passes).collect(), key=key)
+    assert len(cut) == len(whole) == len(table[1])
+    for a, b in zip(whole, cut):
+        assert key(a) == key(b) and a.score == pytest.approx(b.score, rel=1e-9)
+
+
 def test_op8(spark, table):
     folder, docs = table
     got = result(spark, "op8", folder)
