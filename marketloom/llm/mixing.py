@@ -56,8 +56,9 @@ def _sources(docs: DataFrame) -> list[tuple]:
 def schedule(spark: SparkSession, sources: list[tuple], words_per_slot: int, slots: int) -> DataFrame:
     """Slots of the mix: ``slot``, ``source_no``, ``block``, ``round`` and where to stop.
 
-    A source whose points are a few short of its target gets its last slots at the end;
-    points beyond its target stay unused. The last slot stops at the target word.
+    A source whose points are a few short of its target gets its last slots at the end, in
+    turn with others; points beyond its target stay unused. No two slots share a number. The
+    last slot stops at the target word.
     """
     share = np.cumsum([target for *_, target in sources])
     bounds = np.floor(share / share[-1] * 2**32)
@@ -83,9 +84,10 @@ def schedule(spark: SparkSession, sources: list[tuple], words_per_slot: int, slo
     ranked = drawn.withColumn("rank", F.row_number().over(rank) - 1)
     have = ranked.groupBy("source_no").count()
     short = needed.join(have, F.col("no") == F.col("source_no"), "left").select(
-        (F.lit(slots) + F.col("no")).alias("slot"), F.col("no").alias("source_no"),
-        F.explode(F.expr("if(needed > coalesce(count, 0), sequence(coalesce(count, 0), needed - 1), array())")).alias("rank"),
+        F.col("no").alias("source_no"),
+        F.posexplode(F.expr("if(needed > coalesce(count, 0), sequence(coalesce(count, 0), needed - 1), array())")).alias("nth", "rank"),
     )
+    short = short.select((F.lit(slots) + F.col("nth") * len(sources) + F.col("source_no")).alias("slot"), "source_no", "rank")
     every = ranked.select("slot", "source_no", F.col("rank").cast("long")).unionByName(short)
     used = every.join(needed, (F.col("source_no") == F.col("no")) & (F.col("rank") < F.col("needed")))
     turn = F.floor(F.col("rank") / F.col("blocks"))
@@ -134,15 +136,19 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", slots: int
 
 
 def op1_golden_ratio_mix(spark, sf_dir: str) -> DataFrame:
-    """What the mix takes of every document."""
+    """What the mix takes of every document, the first slot that takes of it (null: none) and
+    the number of slots that do; read by slots, the mix has the target shares in every stretch."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
     streams, taken = mix(docs)
-    words = taken.where("first < last").groupBy("source_no", "before").agg(F.sum(F.col("last") - F.col("first")).alias("taken"))
+    words = taken.where("first < last").groupBy("source_no", "before").agg(
+        F.sum(F.col("last") - F.col("first")).alias("taken"),
+        F.min("slot").alias("first_slot"), F.count(F.lit(1)).alias("n_slots"))
     # Of rows with the same number of words before them, one at most has words itself.
     words = words.withColumn("some", F.lit(True))
     joined = streams.withColumn("some", F.col("size") > 0).join(words, ["source_no", "before", "some"], "left")
     return joined.select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source",
+        "first_slot", F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"),
     )
 
 
