@@ -318,7 +318,9 @@ def partial_scores(
     need = mine.copy()
     need[:-1] |= mine[1:]
     single, pair = np.zeros(len(token)), np.zeros(len(token))
-    single[need], pair[mine] = words.counts(token[need]), pairs.counts(grams[mine])
+    # Words recur, and common ones have many levels to probe.
+    distinct, where = np.unique(token[need], return_inverse=True)
+    single[need], pair[mine] = words.counts(distinct)[where], pairs.counts(grams[mine])
     p = log_probabilities(single, pair, np.cumsum(many) - 1, texts, norm, smoothing)
     return many, np.bincount(place, np.where(mine, p, 0.0), rows)
 
