@@ -47,8 +47,8 @@ LEAST_PREFIX = 8  # n-grams are dealt by so many leading bits of their hash at l
 TOKENS_PER_BUCKET = 1 << 23
 SEGMENT_BITS = 1 << 24
 LEAST_SEGMENT = 1 << 12  # smaller ones would be overfull by chance
-MAX_BITS = 1 << 28
-MAX_PASSES = 8  # each reads the texts once more
+MAX_BITS = 1 << 27
+MAX_PASSES = 16  # each reads the texts once more
 BITS_PER_ITEM = 10
 PROBES = 4
 SMOOTHING = 1000.0
