@@ -31,12 +31,13 @@ one task, whose arrays take about thirty times its bytes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm.common import store
@@ -328,7 +329,7 @@ def partial_scores(
 def scores_in_pass(
     docs: DataFrame, words: CountFilter, pairs: CountFilter, texts: int, norm: float, smoothing: float, text: str = "text",
 ) -> DataFrame:
-    """(__row, score): what the bigrams of one pass add to each text's score."""
+    """(__row, score): what the bigrams of one pass add to each row's score."""
     known = docs.sparkSession.sparkContext.broadcast((words, pairs))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,13 +338,22 @@ def scores_in_pass(
                 _, p = partial_scores(*word_hashes(data, offsets), rows.num_rows, *known.value, texts, norm, smoothing)
                 yield pa.RecordBatch.from_arrays([rows.column(rows.schema.names.index("__row")), pa.array(p)], names=["__row", "score"])
 
-    # Whole copies share their key and their score.
-    parts = docs.select("__row", text).mapInArrow(score, "__row long, score double").groupBy("__row").agg(F.max("score").alias("score"))
-    out = store(parts, "pass")
+    out = store(docs.select("__row", text).mapInArrow(score, "__row long, score double"), "pass")
     known.destroy()
     return out
 
 
+def scores_of_passes(parts: list[DataFrame]) -> DataFrame:
+    """(__row, more): the passes' scores, met in one shuffle and added in the passes' order.
+
+    Whole copies share their key and their score.
+    """
+    marked = [part.withColumn("nth", F.lit(nth)) for nth, part in enumerate(parts)]
+    by_pass = [F.max(F.when(F.col("nth") == nth, F.col("score"))).alias(f"score_{nth}") for nth in range(len(parts))]
+    sums = reduce(DataFrame.union, marked).groupBy("__row").agg(*by_pass)
+    return sums.select("__row", reduce(Column.__add__, [F.col(f"score_{nth}") for nth in range(len(parts))]).alias("more"))
+
+
 def scores_by_segment(
     docs: DataFrame, words: DataFrame, word_shape: Shape, pairs: DataFrame, pair_shape: Shape,
     texts: int, norm: float, smoothing: float, text: str = "text",
@@ -505,10 +515,9 @@ def score_documents(
     if not fits:
         apart = scores_by_segment(docs, word_parts, word_shape, pair_parts, pair_shape, texts, norm, smoothing, text)
         heads = heads.drop("score").join(apart, "__row")
-    for first in firsts[1:] if fits else ():
-        more = scores_in_pass(docs, filters[0], in_pass(first), texts, norm, smoothing, text)
-        heads = heads.join(more.withColumnRenamed("score", "more"), "__row")
-        heads = heads.withColumn("score", F.col("score") + F.col("more")).drop("more")
+    more = [scores_in_pass(docs, filters[0], in_pass(first), texts, norm, smoothing, text) for first in (firsts[1:] if fits else ())]
+    if more:
+        heads = heads.join(scores_of_passes(more), "__row").withColumn("score", F.col("score") + F.col("more")).drop("more")
     looked_up = docs.select("__row", text).mapInArrow(rare, "__row long, token long, tf long").join(counts, "token")
     rest = looked_up.groupBy("__row").agg(
         F.sum("tf").alias("n_rare"), F.sum(F.col("tf") * F.log10(F.col("c") + 1)).alias("log_rare"))
