@@ -157,11 +157,12 @@ def mixed(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Documents without words are left out, as the mix takes nothing of them.
     """
-    tagged = docs.withColumn("__row", uniform_hash(11, *docs.columns))
-    streams, taken = mix(tagged.select("__row", "source", "text"))
+    rows = ["__row", "__row_too"]  # 128 bits: rows that differ do not share both
+    tagged = docs.withColumns({name: uniform_hash(11 + i, *docs.columns) for i, name in enumerate(rows)})
+    streams, taken = mix(tagged.select(*rows, "source", "text"))
     first = taken.where("first = 0").select("source_no", "before", "round")
     chosen = streams.where("size > 0").join(first, ["source_no", "before"])
-    times = chosen.groupBy("__row").agg(F.count(F.lit(1)).cast("int").alias("__times"))
+    times = chosen.groupBy(*rows).agg(F.count(F.lit(1)).cast("int").alias("__times"))
     # Rows that are equal in all columns stand for each other: one of them is repeated.
-    copies = tagged.dropDuplicates(["__row"]).join(times, "__row")
+    copies = tagged.dropDuplicates(rows).join(times, rows)
     return copies.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
