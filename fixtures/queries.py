@@ -129,6 +129,17 @@ for _name in SPECS:
     )(partial(incremental, _name))
 
 
+def split(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of more than two elements in all are cut and spread before they are flattened."""
+    rates = rates_frame(spark, sf_dir) if SPECS[name].fx else None
+    settings = Settings(run_ts=RUN_TS, split_product_rows=2)
+    return render(name, unify(spark, SPECS[name], registry(spark, sf_dir, name), rates, settings=settings))
+
+
+for _name in ("m06_inventory", "m12_orders"):
+    query(pipeline_sql(_name, rates=SPECS[_name].fx is not None), f"{_name}_split_products")(partial(split, _name))
+
+
 def json_inner(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested arrays delivered as JSON text and flattened with inner semantics."""
     arrays = [f.name for f in raw_type(SPECS[name]) if f.dataType.typeName() == "array"]

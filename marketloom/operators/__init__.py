@@ -14,6 +14,7 @@ from marketloom.operators.nested import (
     prune_type,
     quoted,
     read_json,
+    split_products,
     unnest,
     unnest_path,
     unnest_variant,
@@ -36,6 +37,7 @@ __all__ = [
     "quoted",
     "read_json",
     "shift_timezone",
+    "split_products",
     "unnest",
     "unnest_path",
     "unnest_variant",

@@ -139,6 +139,54 @@ def unnest_path(
     return _walk(df, paths, "outer" if outer else "inner", keep, positions)
 
 
+def _rows_of(array: Column, path: str, paths: list[str]) -> Column:
+    """Rows that an unnest of the array and of all arrays inside it gives, at least 1."""
+    below = _below(path, paths)
+    if not below:
+        many = F.size(array).cast("double")
+    else:
+        inside = lambda e: reduce(Column.__mul__, [_rows_of(e.getField(p.partition(".")[2]), p, paths) for p in below])
+        many = F.aggregate(array, F.lit(0.0), lambda total, e: total + inside(e))
+    return F.greatest(F.coalesce(many, F.lit(1.0)), F.lit(1.0))
+
+
+def split_products(
+    df: DataFrame, paths: Iterable[str], most_rows: int, by: Iterable[str], keep: Iterable[str] = ()
+) -> DataFrame:
+    """Cut rows whose arrays would unnest to more than ``most_rows`` rows, and spread the cuts.
+
+    Each cut has a slice of the row's longest array and the other arrays whole, so that
+    unnesting all cuts, inner or outer, gives the same rows as unnesting the row itself.
+    Rows below the limit and their empty arrays stay as they are. Cuts are dealt by the columns
+    ``by`` and their number, in one shuffle of the nested rows; a row has at most as many cuts
+    as its longest array has elements. Arrays named in ``keep`` are part of the result and not cut.
+    """
+    paths, keep = list(paths), {name.lower() for name in keep}
+    inner = {path for outer in paths for path in _below(outer, paths)}
+    tops = [path for path in paths if path not in inner]
+    cut = [path for path in tops if path.lower() not in keep]
+    if not cut:
+        return df
+    product = reduce(Column.__mul__, [_rows_of(quoted(path), path, paths) for path in tops])
+    lengths = [F.coalesce(F.size(quoted(path)), F.lit(0)) for path in cut]
+    longest = F.greatest(*lengths) if len(lengths) > 1 else lengths[0]
+    pieces = F.when(product > most_rows, F.least(F.ceil(product / most_rows), longest.cast("bigint"))).otherwise(1)
+    places = reduce(
+        lambda rest, i: F.when(lengths[i] == F.col("__longest"), i).otherwise(rest), reversed(range(len(cut))), F.lit(-1))
+    rows = df.withColumns({"__longest": longest, "__cuts": F.greatest(pieces, F.lit(1)).cast("int")})
+    rows = rows.withColumns({"__which": F.when(F.col("__cuts") > 1, places).otherwise(-1)})
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("__cuts") - 1)).alias("__cut"))
+    # A number of partitions that is asked for is not lowered again for being few bytes.
+    many = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(many, *[quoted(name) for name in by], "__cut")
+    end = lambda n: F.floor(F.col("__longest").cast("bigint") * n / F.col("__cuts"))
+    first = end(F.col("__cut")).cast("int")
+    length = end(F.col("__cut") + 1).cast("int") - first
+    slices = {path: F.when(F.col("__which") == i, F.slice(quoted(path), first + 1, length)).otherwise(quoted(path)) for i, path in enumerate(cut)}
+    names = {path.lower(): column for path, column in slices.items()}
+    return rows.select(*[names[c.lower()].alias(c) if c.lower() in names else quoted(c) for c in df.columns])
+
+
 def first_of_path(
     df: DataFrame, paths: Iterable[str], outer: bool = True, keep: Iterable[str] = ()
 ) -> DataFrame:

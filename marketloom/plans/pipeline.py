@@ -26,6 +26,7 @@ from marketloom.operators import (
     one_rate_per_day,
     prune_type,
     quoted,
+    split_products,
     unnest_path,
     with_elements,
     without_exchange_rate,
@@ -330,6 +331,8 @@ def unify(
         key_rows=key_rows,
     )
 
+    if spec.ties == "all" and settings.split_product_rows:
+        rows = split_products(rows, late, settings.split_product_rows, [SOURCE, *names], passed)
     flatten = first_of_path if spec.ties == "one" else unnest_path
     flat = flatten(rows, late, settings.outer_unnest, keep=passed)
     return _finish(flat, spec, rates, settings, project)

@@ -61,3 +61,6 @@ class Settings:
     hot_key_rows: int = 1_000_000
     # Exchange rates up to this many rows are broadcast, larger ones are joined salted.
     broadcast_rate_rows: int = 2_000_000
+    # Raw rows whose arrays unnest to more rows than this are cut and spread over tasks, at the
+    # price of a shuffle of the nested rows; ``None`` unnests each row in the task that has it.
+    split_product_rows: int | None = None

@@ -12,6 +12,7 @@ from marketloom.operators import (
     latest,
     one_rate_per_day,
     prune_type,
+    split_products,
     unnest,
     unnest_path,
     unnest_variant,
@@ -210,3 +211,39 @@ def test_rates_keep_their_digits_and_days(spark):
     sold = spark.sql("select date'2024-01-01' as t, 'CAD' as cur")
     got = attach_exchange_rate(sold, one_rate_per_day(rates), "t", "cur").collect()
     assert [row.exchange_currency_rate for row in got] == [0.0000157123456789]
+
+
+SPLIT = "id int, name string, a array<struct<x:int,b:array<struct<y:int>>>>, c array<struct<z:int>>, d array<struct<w:int>>"
+
+
+@pytest.mark.parametrize("outer", [True, False])
+@pytest.mark.parametrize("most", [1, 4, 1000])
+def test_split_products_keep_the_rows(spark, most, outer):
+    df = spark.createDataFrame(
+        [
+            (1, "u", [(1, [(1,), (2,), (3,)]), (2, None), (3, [])], [(i,) for i in range(7)], [(5,)]),
+            (1, "u", [(1, [(1,), (2,), (3,)]), (2, None), (3, [])], [(i,) for i in range(7)], [(5,)]),
+            (2, None, None, [], [(1,), (2,)]),
+            (3, "v", [], None, None),
+            (4, "w", [(9, [(i,) for i in range(20)])], [(1,)], []),
+            (None, None, [(1, [(1,)]), (2, [(4,), (5,)])], [(1,), (2,)], [(3,), (4,)]),
+        ],
+        SPLIT,
+    )
+    paths = ["a", "a.b", "c", "d"]
+    cut = split_products(df, paths, most, ["id"])
+    assert cut.columns == df.columns and cut.schema["a"].dataType == df.schema["a"].dataType
+    assert rows(unnest_path(cut, paths, outer)) == rows(unnest_path(df, paths, outer))
+    kept = split_products(df, paths, most, ["id"], keep=["A", "c"])
+    assert rows(unnest_path(kept, paths, outer, keep=["a", "c"])) == rows(unnest_path(df, paths, outer, keep=["a", "c"]))
+    assert split_products(df, ["c"], most, ["id"], keep=["c"]) is df
+    assert split_products(df.limit(0), paths, most, ["id"]).count() == 0
+
+
+def test_one_product_is_spread_over_tasks(spark):
+    numbers = F.transform(F.sequence(F.lit(1), F.lit(100)), lambda i: F.struct(i.alias("x")))
+    df = spark.range(1).select("id", *[numbers.alias(name) for name in "abc"])
+    flat = unnest_path(split_products(df, ["a", "b", "c"], 10_000, ["id"]), ["a", "b", "c"])
+    per_task = [row["count"] for row in flat.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 10**6 and len(per_task) > 4 and max(per_task) < 400_000
+    assert flat.distinct().count() == 10**6

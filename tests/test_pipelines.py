@@ -91,6 +91,15 @@ def test_splitting_hot_keys_changes_nothing(spark, sf_dir, name):
     )
 
 
+@pytest.mark.parametrize("outer", [True, False])
+@pytest.mark.parametrize("name", ["m12_orders", "m06_inventory", "m19_returns_order_lines"])
+def test_cutting_large_products_changes_nothing(spark, sf_dir, name, outer):
+    raw = registry(spark, sf_dir, name)
+    plain = dataclasses.replace(STAMP, outer_unnest=outer)
+    cut = dataclasses.replace(plain, split_product_rows=2)
+    assert rows(unify(spark, SPECS[name], raw, settings=cut)) == rows(unify(spark, SPECS[name], raw, settings=plain))
+
+
 def test_one_shuffle_of_the_rows(spark, sf_dir):
     raw = registry(spark, sf_dir, "m18_returns")
     plan = executed(unify(spark, SPECS["m18_returns"], raw))
