@@ -310,8 +310,8 @@ def log_probabilities(single: np.ndarray, pair: np.ndarray, ends: np.ndarray, te
 
 def partial_scores(
     h: np.ndarray, row: np.ndarray, rows: int, words: CountFilter, pairs: CountFilter, texts: int, norm: float, smoothing: float,
-) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens of each row, and the sum of log10 probabilities of those whose bigram ``pairs`` holds."""
+) -> np.ndarray:
+    """Each row's sum of log10 probabilities of the tokens whose bigram ``pairs`` holds."""
     token, before, place = bigrams(h, row, rows)
     grams = pair_hash(before, token)
     many = np.bincount(place, minlength=rows)
@@ -323,7 +323,7 @@ def partial_scores(
     distinct, where = np.unique(token[need], return_inverse=True)
     single[need], pair[mine] = words.counts(distinct)[where], pairs.counts(grams[mine])
     p = log_probabilities(single, pair, np.cumsum(many) - 1, texts, norm, smoothing)
-    return many, np.bincount(place, np.where(mine, p, 0.0), rows)
+    return np.bincount(place, np.where(mine, p, 0.0), rows)
 
 
 def scores_in_pass(
@@ -335,7 +335,7 @@ def scores_in_pass(
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in pieces(batch, text):
-                _, p = partial_scores(*word_hashes(data, offsets), rows.num_rows, *known.value, texts, norm, smoothing)
+                p = partial_scores(*word_hashes(data, offsets), rows.num_rows, *known.value, texts, norm, smoothing)
                 yield pa.RecordBatch.from_arrays([rows.column(rows.schema.names.index("__row")), pa.array(p)], names=["__row", "score"])
 
     out = store(docs.select("__row", text).mapInArrow(score, "__row long, score double"), "pass")
@@ -344,14 +344,14 @@ def scores_in_pass(
 
 
 def scores_of_passes(parts: list[DataFrame]) -> DataFrame:
-    """(__row, more): the passes' scores, met in one shuffle and added in the passes' order.
+    """(__row, score): the passes' scores, met in one shuffle and added in the passes' order.
 
     Whole copies share their key and their score.
     """
     marked = [part.withColumn("nth", F.lit(nth)) for nth, part in enumerate(parts)]
     by_pass = [F.max(F.when(F.col("nth") == nth, F.col("score"))).alias(f"score_{nth}") for nth in range(len(parts))]
     sums = reduce(DataFrame.union, marked).groupBy("__row").agg(*by_pass)
-    return sums.select("__row", reduce(Column.__add__, [F.col(f"score_{nth}") for nth in range(len(parts))]).alias("more"))
+    return sums.select("__row", reduce(Column.__add__, [F.col(f"score_{nth}") for nth in range(len(parts))]).alias("score"))
 
 
 def scores_by_segment(
@@ -457,19 +457,26 @@ def score_documents(
     a_pass = max(1, max_bits // pair_shape.segment)
     firsts = range(0, 1 << pair_shape.prefix, a_pass)
     fits = word_shape.bits <= max_bits and len(firsts) <= max_passes
-    filters = None
-    if fits:
-        in_pass = lambda first: gathered(pair_parts, pair_shape, first, min(first + a_pass, firsts.stop))
-        filters = gathered(word_parts, word_shape), in_pass(0)
     top = counts.orderBy(F.desc("c"), "token").limit(FREQUENT).toPandas()
     order = np.argsort(top["token"].to_numpy().view(np.uint64))
     known = spark.sparkContext.broadcast((
-        filters, top["token"].to_numpy().view(np.uint64)[order], top["c"].to_numpy()[order].astype(np.float64)))
+        top["token"].to_numpy().view(np.uint64)[order], top["c"].to_numpy()[order].astype(np.float64)))
     norm = float(total + vocabulary + 1)
+    if fits:
+        # No filter is in memory any more when the passes have ended.
+        words_filter = gathered(word_parts, word_shape)
+        scores = scores_of_passes([
+            scores_in_pass(
+                docs, words_filter, gathered(pair_parts, pair_shape, first, min(first + a_pass, firsts.stop)),
+                texts, norm, smoothing, text)
+            for first in firsts
+        ])
+    else:
+        scores = scores_by_segment(docs, word_parts, word_shape, pair_parts, pair_shape, texts, norm, smoothing, text)
 
     def common(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which words are among the commonest, and their counts."""
-        _, keys, c = known.value
+        keys, c = known.value
         if not len(keys):
             return np.zeros(len(h), bool), np.zeros(len(h))
         at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
@@ -490,34 +497,23 @@ def score_documents(
                 yield pa.RecordBatch.from_arrays([pa.array(key[row[new]]), signed(h[new]), pa.array(many)], names=["__row", "token", "tf"])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = known.value[0]
         for batch in batches:
             for rows, data, offsets in pieces(batch, text):
                 n = rows.num_rows
                 h, row = word_hashes(data, offsets)
                 hit, c = common(h)
-                many, total_p = np.bincount(row, minlength=n) + 1, np.full(n, np.nan)
-                if filters:
-                    many, total_p = partial_scores(h, row, n, *filters, texts, norm, smoothing)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *[rows.column(rows.schema.names.index(x)) for x in (id_col, held_out, "__row")],
-                        pa.array(many),
+                        pa.array(np.bincount(row, minlength=n) + 1),
                         pa.array(np.bincount(row[hit], minlength=n) + int(texts > 0)),
                         pa.array(np.bincount(row[hit], np.log10(c[hit] + 1), n) + np.log10(texts + 1)),
-                        pa.array(total_p),
                     ],
-                    names=[id_col, held_out, "__row", "n_tokens", "n_common", "log_common", "score"],
+                    names=[id_col, held_out, "__row", "n_tokens", "n_common", "log_common"],
                 )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    heads = docs.mapInArrow(score, f"`{id_col}` {kind}, `{held_out}` boolean, __row long, n_tokens long, n_common long, log_common double, score double")
-    if not fits:
-        apart = scores_by_segment(docs, word_parts, word_shape, pair_parts, pair_shape, texts, norm, smoothing, text)
-        heads = heads.drop("score").join(apart, "__row")
-    more = [scores_in_pass(docs, filters[0], in_pass(first), texts, norm, smoothing, text) for first in (firsts[1:] if fits else ())]
-    if more:
-        heads = heads.join(scores_of_passes(more), "__row").withColumn("score", F.col("score") + F.col("more")).drop("more")
+    heads = docs.mapInArrow(score, f"`{id_col}` {kind}, `{held_out}` boolean, __row long, n_tokens long, n_common long, log_common double").join(scores, "__row")
     looked_up = docs.select("__row", text).mapInArrow(rare, "__row long, token long, tf long").join(counts, "token")
     rest = looked_up.groupBy("__row").agg(
         F.sum("tf").alias("n_rare"), F.sum(F.col("tf") * F.log10(F.col("c") + 1)).alias("log_rare"))
