@@ -18,6 +18,8 @@ from marketloom.operators import (
     unnest_variant,
     without_exchange_rate,
 )
+from marketloom.operators import skew
+from marketloom.streaming import merge_upsert
 from tests.conftest import rows
 
 BATCHES = "k int, b long, x string"
@@ -247,3 +249,19 @@ def test_one_product_is_spread_over_tasks(spark):
     per_task = [row["count"] for row in flat.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(per_task) == 10**6 and len(per_task) > 4 and max(per_task) < 400_000
     assert flat.distinct().count() == 10**6
+
+
+def test_few_hot_keys_are_broadcast_however_low_the_threshold(spark, monkeypatch):
+    """Only the keys with the most rows are split, the same ones wherever they are used."""
+    monkeypatch.setattr(skew, "MOST_HOT", 3)
+    target = spark.range(0, 400, 1, 4).select((F.col("id") % 40).alias("k"), F.col("id").alias("x"))
+    target = target.union(spark.range(1000, 1007).select(F.lit(7).cast("long").alias("k"), F.col("id").alias("x")))
+    hot = skew.hot_keys(target, ["k"], 2).collect()
+    assert len(hot) == 3 and 7 in {row["__hot_0"] for row in hot}
+    updates = spark.range(0, 40, 2).select(F.col("id").alias("k"), F.lit(-1).cast("long").alias("x"))
+    for null_safe in (False, True):
+        merged = merge_upsert(target, updates, ["k"], null_safe=null_safe, hot_rows=2)
+        assert merged.where("x < 0").count() == 20
+        assert merged.where("x >= 0 and k % 2 = 0").count() == 0
+        assert merged.where("k % 2 = 1").count() == 207
+    assert rows(latest(target, ["k"], "x", hot_rows=2)) == rows(latest(target, ["k"], "x", hot_rows=None))
