@@ -321,3 +321,19 @@ def test_op10_next_text_for_any_ids(spark, monkeypatch):
         order = sorted(hashed, key=lambda r: (r.doc_id is None, -(r.doc_id or 0), r.h, r.text))
         want = {r.text: order[(i + 1) % len(order)].text for i, r in enumerate(order)}
         assert {r.text: r.next_text for r in fingerprint.with_next(docs).collect()} == want
+
+
+def test_remaining_texts_of_substrings_are_sent_only_where_asked_for(spark):
+    from hashlib import sha256
+
+    from marketloom.llm import substring
+
+    common = "".join(chr(97 + i * i % 23) for i in range(80))
+    docs = spark.createDataFrame([(1, common + "one"), (2, "two" + common), (3, None)], "doc_id long, text string")
+    whole = {r.doc_id: r for r in substring.without_repeats(docs).collect()}
+    assert bytes(whole[2].kept) == b"two" and bytes(whole[3].kept) == b""
+    slim = substring.without_repeats(docs, texts=False)
+    assert "kept" not in slim.columns
+    for row in slim.collect():
+        assert row.kept_sha256 == sha256(bytes(whole[row.doc_id].kept)).hexdigest()
+        assert (row.n_bytes, row.n_removed, row.n_spans) == whole[row.doc_id][1:4]
