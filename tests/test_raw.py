@@ -1,6 +1,13 @@
+from collections import Counter
+
+import pytest
 from pyspark.sql import functions as F
 
-from fixtures.raw import NUMBERS_PER_TASK, raw_frame
+from fixtures import raw
+from fixtures.queries import QUERIES
+from fixtures.raw import NUMBERS_PER_TASK, SPECS, raw_frame, registry
+from marketloom import Settings
+from marketloom.plans import unify
 
 
 def test_numbers_of_one_row_group_are_widened_by_several_tasks(spark, tmp_path):
@@ -18,3 +25,52 @@ def test_numbers_of_one_row_group_are_widened_by_several_tasks(spark, tmp_path):
     kept = kept.select(F.col("l_orderkey").alias("n"), deliveries.alias("d")).where(
         "(d.v = 0 or (d.v = 1 and n % 3 = 0) or (d.v = 2 and n % 7 = 0)) and (d.t = 0 or n % 11 = 0)")
     assert spread.agg(F.sum("n")).first()[0] == kept.count()
+
+
+FEEDS = ["m04_cancellation_on_request", "m10_item", "m12_orders", "m15_reconciliation", "m18_returns", "m19_returns_order_lines"]
+
+
+@pytest.fixture
+def bases(spark, tmp_path):
+    """Base tables with numbers that repeat, numbers whose first key is NULL, and no number."""
+    numbers = spark.range(0, 600, 1, 1).select(
+        F.when(F.col("id") % 50 != 49, F.when(F.col("id") < 150, F.col("id") % 40).otherwise(F.col("id"))).alias("k"))
+    numbers.selectExpr("k as l_orderkey", "cast(1 + k % 3 as int) as l_linenumber").write.parquet(str(tmp_path / "lineitem.parquet"))
+    numbers.selectExpr("k as o_orderkey").write.parquet(str(tmp_path / "orders.parquet"))
+    numbers.selectExpr("k as p_partkey").write.parquet(str(tmp_path / "part.parquet"))
+    return str(tmp_path)
+
+
+def dealt(monkeypatch, numbers):
+    monkeypatch.setattr(raw, "NUMBERS_PER_TASK", numbers)
+    monkeypatch.setattr(raw, "FEWER_PER_TASK", {})
+
+
+@pytest.mark.parametrize("name", FEEDS)
+def test_dealt_numbers_give_the_same_raw_rows(spark, bases, monkeypatch, name):
+    def texts():
+        return Counter(row[0] for row in raw_frame(spark, bases, name, "Acme").select(F.to_json(F.struct("*"))).collect())
+
+    whole = texts()
+    dealt(monkeypatch, 100)
+    assert raw_frame(spark, bases, name, "Acme").select(F.spark_partition_id()).distinct().count() > 1
+    assert texts() == whole
+
+
+@pytest.mark.parametrize("name", FEEDS)
+def test_raw_rows_are_ranked_where_they_are_made(spark, bases, monkeypatch, name):
+    """No raw row is sent: what moves are the numbers, before they are widened."""
+    dealt(monkeypatch, 100)
+    out = unify(spark, SPECS[name], registry(spark, bases, name), settings=Settings(hot_key_rows=None))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "ENSURE_REQUIREMENTS" not in plan
+
+
+@pytest.mark.parametrize("name", ["m18_returns", "m19_returns_order_lines", "m12_orders_json_inner", "m12_orders_variant", "src_shared_source"])
+def test_dealt_numbers_give_the_same_results(spark, bases, monkeypatch, name):
+    def texts():
+        return Counter(row[0] for row in QUERIES[name](spark, bases).select(F.to_json(F.struct("*"))).collect())
+
+    whole = texts()
+    dealt(monkeypatch, 100)
+    assert texts() == whole
