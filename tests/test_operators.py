@@ -242,6 +242,15 @@ def test_split_products_keep_the_rows(spark, most, outer):
     assert split_products(df.limit(0), paths, most, ["id"]).count() == 0
 
 
+def test_cuts_are_sent_with_their_slices_only(spark):
+    rows = spark.range(3).select("id", F.sequence(F.lit(1), F.lit(50)).alias("a"), F.sequence(F.lit(1), F.lit(3)).alias("b"))
+    cut = split_products(rows, ["a", "b"], 30, ["id"])
+    above, below = cut._jdf.queryExecution().executedPlan().toString().split("REPARTITION_BY_NUM")
+    assert "slice(" not in above and "slice(" in below
+    assert cut.agg(F.sum(F.size("a"))).first()[0] == 150 and cut.count() == 15
+
+
+
 def test_one_product_is_spread_over_tasks(spark):
     numbers = F.transform(F.sequence(F.lit(1), F.lit(100)), lambda i: F.struct(i.alias("x")))
     df = spark.range(1).select("id", *[numbers.alias(name) for name in "abc"])
