@@ -7,7 +7,8 @@ from fixtures import raw
 from fixtures.queries import QUERIES
 from fixtures.raw import NUMBERS_PER_TASK, SPECS, raw_frame, registry
 from marketloom import Settings
-from marketloom.plans import unify
+from marketloom.operators import latest, without_copies
+from marketloom.plans import pipeline, unify
 
 
 def test_numbers_of_one_row_group_are_widened_by_several_tasks(spark, tmp_path):
@@ -74,3 +75,35 @@ def test_dealt_numbers_give_the_same_results(spark, bases, monkeypatch, name):
     whole = texts()
     dealt(monkeypatch, 100)
     assert texts() == whole
+
+
+def test_copies_are_dropped_where_they_are(spark):
+    """One of each row is kept; rows that differ in a NULL or inside an array are no copies."""
+    kinds = "k string, x double, lines array<struct<a:int,b:array<string>>>"
+    rows = [
+        ("a", 1.0, [(1, ["x"])]), ("a", 1.0, [(1, ["x"])]), ("a", 1.0, [(1, ["y"])]), ("a", None, [(1, ["x"])]),
+        ("a", 1.0, None), ("a", 1.0, []),
+        ("a", 1.0, [(1, None)]), ("a", 1.0, [(1, [])]), ("a", 1.0, [(1, ["x"]), (1, [])]), ("a", 1.0, [(1, []), (1, ["x"])]),
+        (None, None, None), (None, None, None),
+    ]
+    dealt = spark.createDataFrame(rows, kinds).repartition(3, "k")
+    kept = without_copies(dealt)
+    assert Counter(map(str, kept.collect())) == Counter(set(map(str, dealt.collect())))
+    assert kept.columns == dealt.columns
+    assert "ENSURE_REQUIREMENTS" not in kept._jdf.queryExecution().executedPlan().toString()
+    variants = dealt.withColumn("v", F.expr("parse_json('1')"))
+    assert without_copies(variants).count() == len(rows)
+
+
+def test_copies_of_returns_do_not_multiply(spark, tmp_path, monkeypatch):
+    """An order's return is unnested once, however often its raw row is delivered."""
+    monkeypatch.setattr(raw, "NUMBERS_PER_TASK", 100)
+    lines = spark.range(0, 400, 1, 1).select((F.col("id") % 20).alias("l_orderkey"))
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    ranked = []
+    monkeypatch.setattr(pipeline, "latest", lambda df, *a, **b: ranked.append(df.cache()) or latest(df, *a, **b))
+    frames = registry(spark, str(tmp_path), "m19_returns_order_lines")
+    assert sum(table.load(spark).count() for table in frames.tables) > 400
+    unify(spark, SPECS["m19_returns_order_lines"], frames, settings=Settings()).collect()
+    rows = ranked[0].groupBy(*[f"`{name}`" for name, kind in ranked[0].dtypes if not kind.startswith("array")]).count()
+    assert rows.where("count > 1").count() == 0
