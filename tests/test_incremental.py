@@ -5,7 +5,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from marketloom.sinks import Sink, exists, merge_into_table, read_table, upsert, write_table
+from marketloom.sinks import Sink, exists, merge_into_table, read_table, tables, upsert, write_table
 from marketloom.sinks.tables import key_range
 from marketloom.streaming import high_water_mark, lookback_filter, merge_upsert, stored_mark
 from marketloom.streaming.incremental import newest_batch
@@ -295,3 +295,70 @@ def test_a_large_day_is_cut(spark, tmp_path):
     for file in files[:2]:
         keys = [row.k for row in spark.read.parquet(str(file)).select("k").collect()]
         assert keys == sorted(keys)
+
+
+def sent_rows(df):
+    """Rows that the shuffles of a query sent, broadcasts aside."""
+    df.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = df._jdf.queryExecution().executedPlan()
+        plan.executeCollect()
+        nodes, total = [plan], 0
+        while nodes:
+            node = nodes.pop()
+            nodes += [node.children().apply(i) for i in range(node.children().size())]
+            if node.nodeName() == "Exchange":
+                total += node.metrics().apply("shuffleRecordsWritten").value()
+        return total
+    finally:
+        df.sparkSession.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_rows_that_stay_in_large_days_are_not_sent(spark, tmp_path, monkeypatch):
+    path, sent = str(tmp_path / "t"), []
+    day = F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") % 5).cast("int"))
+    table = spark.range(4000).select(F.col("id").cast("int").alias("k"), day.alias("day"), F.lit("x").alias("x"))
+    write_table(table, path, DAILY)
+    arranged = tables.layout
+
+    def counted(*args):
+        sent.append(sent_rows(arranged(*args)))
+        return arranged(*args)
+
+    monkeypatch.setattr(tables, "layout", counted)
+    monkeypatch.setattr(tables, "SETTLED_BYTES", 1, raising=False)
+    updates = table.where("k % 40 = 1").withColumn("x", F.lit("new")).withColumn("day", F.date_add("day", 1))
+    upsert(updates, path, ["k"], DAILY)
+    assert sent == [100]
+    assert rows(read_table(spark, path)) == rows(table.where("k % 40 <> 1").union(updates))
+
+
+@pytest.mark.parametrize("null_safe, hot_rows, blocks", [(False, 1_000_000, 16_384), (True, 2, 16_384), (False, None, 0)])
+def test_merging_into_large_days_gives_the_same_rows(spark, tmp_path, monkeypatch, null_safe, hot_rows, blocks):
+    """Files of several bitmaps and row groups, of which some pages are passed over; keys that
+    repeat, NULL keys and days; days that lose all rows, get their first, or are small."""
+    monkeypatch.setattr(tables, "SETTLED_BYTES", 4000)
+    monkeypatch.setattr(tables, "TASK_BYTES", 200_000)
+    monkeypatch.setattr(tables, "MOST_BLOCKS", blocks)
+    day = F.expr("case when id % 50 = 0 then null when id < 90000 then date'2024-01-01' else date'2024-01-02' end")
+    keys = [F.expr("cast(if(id % 97 = 0, null, id % 60000) as int)").alias("k"), F.expr("if(id % 89 = 0, null, id % 7)").alias("l")]
+    table = spark.range(150_000).select(*keys, day.alias("day"), F.md5(F.col("id").cast("string")).alias("x"))
+    alone = [spark.sql(f"select cast({k} as int) k, 1L l, date'2024-02-0{d}' day, 'alone' x") for k, d in ((70_000, 1), (70_001, 2), (20_007, 2))]
+    table = reduce(lambda a, b: a.union(b), alone, table)
+    updates = table.where("(k between 20000 and 45000 or k is null) and k <=> k div 3 * 3 or k = 70000")
+    updates = updates.limit(20_000).withColumn("x", F.concat("x", F.lit("!"))).withColumn("day", F.date_add("day", 1)).localCheckpoint()
+    path, sink = str(tmp_path / "t"), Sink(("k", "l"), "day")
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    settings.setInt("parquet.block.size", 256 << 10)
+    try:
+        write_table(table, path, sink)
+    finally:
+        settings.unset("parquet.block.size")
+    expected = merge_upsert(table, updates, ["k", "l"], null_safe, hot_rows=None)
+    for _ in range(2):
+        upsert(updates, path, ["k", "l"], sink, null_safe, hot_rows=hot_rows)
+        stored = read_table(spark, path)
+        assert stored.dtypes == table.dtypes
+        assert stored.exceptAll(expected).count() == 0 and stored.count() == expected.count()
+        expected = merge_upsert(expected, updates, ["k", "l"], null_safe, hot_rows=None)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
