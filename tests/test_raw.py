@@ -7,7 +7,7 @@ from fixtures import raw
 from fixtures.queries import QUERIES
 from fixtures.raw import NUMBERS_PER_TASK, SPECS, raw_frame, registry
 from marketloom import Settings
-from marketloom.operators import latest, without_copies
+from marketloom.operators import latest, prune_type, without_copies
 from marketloom.plans import pipeline, unify
 
 
@@ -77,6 +77,39 @@ def test_dealt_numbers_give_the_same_results(spark, bases, monkeypatch, name):
     assert texts() == whole
 
 
+@pytest.mark.parametrize("name", ["m06_inventory", "m12_orders", "m18_returns", "m25_unpublished_items"])
+def test_arrays_are_compiled(name):
+    """Lambdas are interpreted, so no array is made by one."""
+    texts = [text for column, text in raw.raw_expressions(name, raw.Spark()) if not column.startswith("_batch")]
+    assert any("slice(" in text for text in texts) and not any("transform(" in text for text in texts)
+
+
+@pytest.mark.parametrize("name", ["m12_orders", "m19_returns_order_lines"])
+def test_narrow_raw_rows_hold_the_same_values(spark, bases, monkeypatch, name):
+    """Fields that nobody asks for are not made; the others keep their values."""
+    dealt(monkeypatch, 100)
+    spec, kind = SPECS[name], pipeline.raw_type(SPECS[name])
+    keys = [output for output in spec.outputs if output.name in spec.keys]
+    narrow = prune_type(kind, [*pipeline.raw_paths(spec, keys), "_batch_runtime"])
+    few = raw_frame(spark, bases, name, "Acme", narrow=narrow)
+    assert len(few.schema.json()) < len(kind.json()) / 2
+
+    def texts(df):
+        same = F.to_json(F.from_json(F.to_json(F.struct(*narrow.names)), narrow))
+        return Counter(row[0] for row in df.select(same).collect())
+
+    assert texts(few) == texts(raw_frame(spark, bases, name, "Acme"))
+
+
+def test_keys_are_counted_on_narrow_raw_rows(spark, bases, monkeypatch):
+    """What finds the hot keys of orders does not make their other arrays."""
+    asked = []
+    make = raw.raw_frame
+    monkeypatch.setattr(raw, "raw_frame", lambda *a, narrow=None, **b: asked.append(narrow) or make(*a, narrow=narrow, **b))
+    unify(spark, SPECS["m12_orders"], registry(spark, bases, "m12_orders"), settings=Settings())
+    assert any(kind is not None and "orderLines" in kind.names and "shipments" not in kind.names for kind in asked)
+
+
 def test_copies_are_dropped_where_they_are(spark):
     """One of each row is kept; rows that differ in a NULL or inside an array are no copies."""
     kinds = "k string, x double, lines array<struct<a:int,b:array<string>>>"
