@@ -250,6 +250,16 @@ def test_cuts_are_sent_with_their_slices_only(spark):
     assert cut.agg(F.sum(F.size("a"))).first()[0] == 150 and cut.count() == 15
 
 
+def test_small_cuts_of_a_row_stay_together(spark):
+    """Many small cuts share a task, up to ten thousand rows; beyond that they are spread."""
+    rows = spark.range(50).select("id", F.sequence(F.lit(1), F.lit(50)).alias("a"))
+    tasks = split_products(rows, ["a"], 2, ["id"]).withColumn("task", F.spark_partition_id()).groupBy("id").agg(
+        F.count("*").alias("cuts"), F.count_distinct("task").alias("tasks"))
+    assert {(row.cuts, row.tasks) for row in tasks.collect()} == {(25, 1)}
+    thousand = F.sequence(F.lit(1), F.lit(1000))
+    cut = split_products(spark.range(1).select("id", thousand.alias("a"), thousand.alias("b")), ["a", "b"], 2, ["id"])
+    assert cut.count() == 1000 and cut.select(F.spark_partition_id()).distinct().count() > 4
+
 
 def test_one_product_is_spread_over_tasks(spark):
     numbers = F.transform(F.sequence(F.lit(1), F.lit(100)), lambda i: F.struct(i.alias("x")))
